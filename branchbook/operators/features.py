@@ -77,13 +77,13 @@ def standardise(df: DataFrame, cols: list[str], suffix: str = "_scaled") -> Data
         x = F.coalesce(dbl(c), F.lit(0.0))
         aggs += [F.avg(x).alias(f"__mu_{c}"), F.stddev_pop(x).alias(f"__sd_{c}")]
     st = df.agg(*aggs)
-    out = df.crossJoin(F.broadcast(st))
+    scaled = []
     for c in cols:
         x = F.coalesce(dbl(c), F.lit(0.0))
         sd = F.col(f"__sd_{c}")
         # a constant column scales to 0, as the standard scaler does
-        out = out.withColumn(f"{c}{suffix}", F.when(sd == 0, F.lit(0.0)).otherwise((x - F.col(f"__mu_{c}")) / sd))
-    return out.drop(*[f"__mu_{c}" for c in cols], *[f"__sd_{c}" for c in cols])
+        scaled.append(F.when(sd == 0, F.lit(0.0)).otherwise((x - F.col(f"__mu_{c}")) / sd).alias(f"{c}{suffix}"))
+    return df.crossJoin(F.broadcast(st)).select(*[F.col(f"`{c}`") for c in df.columns], *scaled)
 
 
 def lag_count(monthly: DataFrame, branch: str = "filial_id", period: str = "period") -> int:

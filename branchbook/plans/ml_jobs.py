@@ -1 +1,76 @@
-"""Registered queries."""
+"""Models without a SQL oracle (checked by invariants in tests)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from branchbook.operators import features as fe
+from branchbook.operators import ml
+from branchbook.plans.catalog import register
+from branchbook.plans.enrichment import contract_frame
+from branchbook.sources.star import star
+
+ISO_FEATURES = ["SUMMA", "CNT"]
+ROW_ID = ["filial_id", "inc_gk", "operation_date", "sender_category", "SUMMA", "CNT", "WEIGHT"]
+
+
+def eda_rows(spark, sf_dir):
+    f = star(spark, sf_dir).fact()
+    return f.select("filial_id", "inc_gk", "operation_date", "sender_category",
+                    F.col("summa").alias("SUMMA"), F.col("cnt").alias("CNT"), F.col("weight").alias("WEIGHT"))
+
+
+@register("isolation_forest", "M5")
+def q_isolation_forest(spark, sf_dir):
+    return ml.isolation_forest(eda_rows(spark, sf_dir), ISO_FEATURES, id_cols=ROW_ID)
+
+
+@register("anomaly_summary", "M7 M5 M6")
+def q_anomaly_summary(spark, sf_dir):
+    return ml.anomaly_summary(q_isolation_forest(spark, sf_dir), "SUMMA")
+
+
+def named_fact(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return s.fact().select("filial_id", "period", "period_idx", "summa").join(
+        F.broadcast(s.dim_filials().select("filial_id", "filial_name")), "filial_id")
+
+
+def branch_clusters(spark, sf_dir):
+    nf = named_fact(spark, sf_dir)
+    # the pivot values: the months present (bounded by the calendar)
+    months = [r[0] for r in nf.select("period_idx").distinct().orderBy("period_idx").collect()]
+    return ml.kmeans_branches(ml.branch_vectors(nf, months))
+
+
+@register("kmeans_branches", "M8 A9 X3")
+def q_kmeans_branches(spark, sf_dir):
+    labels, inertia = branch_clusters(spark, sf_dir)
+    return labels.withColumn("inertia", F.round(F.lit(inertia), 4))
+
+
+@register("cluster_stats", "M9 A10 J8 A7")
+def q_cluster_stats(spark, sf_dir):
+    labels, _ = branch_clusters(spark, sf_dir)
+    return ml.cluster_stats(named_fact(spark, sf_dir), labels)
+
+
+def forecast_frame(spark, sf_dir):
+    c = fe.temporal_features(contract_frame(spark, sf_dir).select("filial_id", "period", "revenue"))
+    lf, feats = fe.lag_frame(c)
+    lf = fe.standardise(lf, feats, suffix="_scaled")  # as in the reference; trees ignore it
+    return lf, [f"{x}_scaled" for x in feats], feats
+
+
+@register("rf_forecast_cv", "M12 M13 X4 W11 A13")
+def q_rf_forecast_cv(spark, sf_dir):
+    lf, scaled, names = forecast_frame(spark, sf_dir)
+    return ml.rf_cross_validate(lf, scaled, "revenue", ["filial_id", "period"], names=names)
+
+
+@register("feature_importance", "M14 M12")
+def q_feature_importance(spark, sf_dir):
+    lf, scaled, names = forecast_frame(spark, sf_dir)
+    imp = ml.rf_importances(lf, scaled, "revenue")
+    mapping = dict(zip(scaled, names))
+    return imp.replace(mapping, subset=["feature"])
