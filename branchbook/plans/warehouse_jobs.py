@@ -297,3 +297,28 @@ def q_full_load(spark, sf_dir):
                  load_time(spark, sf_dir))
     fact = spark.read.parquet(f"{root}/fact_operations")
     return fact.groupBy("period").agg(F.count(F.lit(1)).alias("rows_cnt"), dbl(F.sum("summa")).alias("revenue"))
+
+
+@register("raw_csv_load", "S1 S2 F1 F2", with_ctes("""
+select PERIOD as period, cast(split_part(PERIOD, '_', 2) as int) as month_num, cast(count(*) as bigint) as rows_cnt,
+       cast(sum(SUMMA) as double) as revenue,
+       min(strptime(DATA, '%d.%m.%y')::date) as first_date, max(strptime(DATA, '%d.%m.%y')::date) as last_date
+from raw_operations group by PERIOD
+""", "raw_operations"))
+def q_raw_csv_load(spark, sf_dir):
+    """The raw operations as the source system exports them (CSV with a header),
+    read back by suffix with the explicit schema, dates parsed from dd.MM.yy."""
+    from branchbook.functions.periods import month_of_raw_period
+    from branchbook.sources.warehouse import RAW_SCHEMA, new_root, raw_to_fact, read_table
+
+    path = f"{new_root(spark, 'raw_csv')}/opdata.csv"
+    fx.raw_operations(star(spark, sf_dir)).write.option("header", True).csv(path)
+    raw = read_table(spark, path, RAW_SCHEMA)
+    f = raw_to_fact(raw)
+    return f.groupBy("period").agg(
+        month_of_raw_period(F.first("period")).alias("month_num"),
+        F.count(F.lit(1)).alias("rows_cnt"),
+        dbl(F.sum("summa")).alias("revenue"),
+        F.min("operation_date").alias("first_date"),
+        F.max("operation_date").alias("last_date"),
+    )

@@ -78,7 +78,7 @@ def write_versioned(df: DataFrame, base: str) -> str:
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """A (one-row) metrics / quality report as JSON."""
+    """A small metrics / quality report (a checks table, one row of metrics) as JSON."""
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
@@ -125,6 +125,7 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
 
     report: list[tuple[str, int]] = []
     checks = q.preload_checks(landed_raw, **({"min_rows": min_rows} if min_rows is not None else {}))
+    write_report(checks, f"{root}/reports/preload_checks")
     q.assert_checks(checks)
     report.append(("preload_checks", checks.count()))
 
@@ -167,6 +168,7 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
     # post-load gate against the current dimension versions
     cur_dims = spark.read.parquet(new_dim).filter("is_current")
     post = q.postload_checks(fact, cur_dims, dim_products, now)
+    write_report(post, f"{root}/reports/postload_checks")
     q.assert_checks(post)
     report.append(("postload_checks", post.count()))
 
