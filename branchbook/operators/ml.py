@@ -276,17 +276,22 @@ def rf_cross_validate(frame: DataFrame, features: list[str], label: str, id_cols
     data = VectorAssembler(inputCols=features, outputCol="features").transform(
         folded.select(*features, F.col(label).cast("double").alias("label"), "fold")
     ).coalesce(1).cache()
-    res = []
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run_fold(f: int) -> dict:
+        rf = RandomForestRegressor(numTrees=trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="all")
+        model = rf.fit(data.filter(F.col("fold") != f))
+        pred = model.transform(data.filter(F.col("fold") == f))
+        ev = {m: RegressionEvaluator(metricName=m).evaluate(pred) for m in ("r2", "mae", "rmse")}
+        if name == "LeaveOneOut":
+            ev["r2"] = float("nan")
+        return ev
+
     try:
         n = data.count()
-        for f in range(k):
-            rf = RandomForestRegressor(numTrees=trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="all")
-            model = rf.fit(data.filter(F.col("fold") != f))
-            pred = model.transform(data.filter(F.col("fold") == f))
-            ev = {m: RegressionEvaluator(metricName=m).evaluate(pred) for m in ("r2", "mae", "rmse")}
-            if name == "LeaveOneOut":
-                ev["r2"] = float("nan")
-            res.append(ev)
+        # folds are independent Spark jobs: submit them concurrently
+        with ThreadPoolExecutor(max_workers=min(k, 8)) as pool:
+            res = list(pool.map(run_fold, range(k)))
     finally:
         data.unpersist()
     arr = {m: np.array([r[m] for r in res]) for m in ("r2", "mae", "rmse")}

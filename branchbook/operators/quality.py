@@ -115,17 +115,23 @@ def numeric_profile(df: DataFrame, cols: list[str], spark: SparkSession | None =
     Moments come from one aggregate; quantiles from ``exact_quantiles`` (no task
     holds a whole column). Values are rounded to 6 places.
     """
+    from pyspark import StorageLevel
+
     spark = spark or df.sparkSession
     aggs = []
     for c in cols:
         x = dbl(c)
         aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std")]
-    m = df.agg(*aggs).first()
-    rows = []
-    for c in cols:
-        q25, q50, q75 = exact_quantiles(df, c, list(PROFILE_QUANTILES))
-        rows.append((c, m[f"{c}__min"], m[f"{c}__max"], m[f"{c}__mean"], q50, m[f"{c}__std"], q25, q75))
+    src = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass below
+    try:
+        m = src.agg(*aggs).first()
+        rows = []
+        for c in cols:
+            q25, q50, q75 = exact_quantiles(src, c, list(PROFILE_QUANTILES))
+            rows.append((c, m[f"{c}__min"], m[f"{c}__max"], m[f"{c}__mean"], q50, m[f"{c}__std"], q25, q75))
+    finally:
+        src.unpersist()
     schema = "column_name string, min double, max double, mean double, median double, std double, q25 double, q75 double"
     out = spark.createDataFrame(rows, schema)
     return out.select("column_name", *[rnd(k, 6).alias(k) for k in ("min", "max", "mean", "median", "std", "q25", "q75")])

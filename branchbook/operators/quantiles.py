@@ -51,7 +51,18 @@ def _order_stats(x: DataFrame, ranks: list[int], n: int, max_collect: int) -> di
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], max_collect: int = MAX_COLLECT) -> list[float | None]:
     """Linear-interpolated quantiles (pandas / ``quantile_cont``) of a numeric column."""
+    from pyspark import StorageLevel
+
+    # several passes read the column: keep the one projected column, spill to disk if needed
     x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _quantiles(x, probs, max_collect)
+    finally:
+        x.unpersist()
+
+
+def _quantiles(x: DataFrame, probs: list[float], max_collect: int) -> list[float | None]:
     n = x.count()
     if n == 0:
         return [None for _ in probs]

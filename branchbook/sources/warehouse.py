@@ -98,6 +98,11 @@ def raw_to_fact(raw: DataFrame) -> DataFrame:
     )
 
 
+def _settle(checks: DataFrame) -> DataFrame:
+    """A checks table (a handful of rows) computed once and reused for report, gate and count."""
+    return checks.sparkSession.createDataFrame(checks.collect(), checks.schema)
+
+
 def new_root(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared scratch folder."""
     return f"{scratch_dir(spark)}/{name}/{uuid.uuid4().hex[:12]}"
@@ -124,7 +129,7 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
     from branchbook.operators import warehouse as wh
 
     report: list[tuple[str, int]] = []
-    checks = q.preload_checks(landed_raw, **({"min_rows": min_rows} if min_rows is not None else {}))
+    checks = _settle(q.preload_checks(landed_raw, **({"min_rows": min_rows} if min_rows is not None else {})))
     write_report(checks, f"{root}/reports/preload_checks")
     q.assert_checks(checks)
     report.append(("preload_checks", checks.count()))
@@ -154,9 +159,11 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
     fact_path = f"{root}/fact_operations"
     target = read_fact(spark, root)
     staged_l = staged.withColumn("loaded_at", F.lit(now))
-    if target is None:
-        target = spark.createDataFrame([], staged_l.schema)
-    merged = wh.upsert_facts(target.select(*staged_l.columns), staged_l, now)
+    if target is None:  # first load: every key is an insert (after the keyed-dedup rule)
+        rest = [c for c in staged_l.columns if c not in wh.UPSERT_KEY]
+        merged = q.dedup_keyed(staged_l, wh.UPSERT_KEY, rest).select(*staged_l.columns)
+    else:
+        merged = wh.upsert_facts(target.select(*staged_l.columns), staged_l, now)
     # the merge reads the partitions it replaces: cut the lineage first
     mpath = f"{root}/_merge/{uuid.uuid4().hex[:8]}"
     merged.write.mode("overwrite").parquet(mpath)
@@ -167,7 +174,7 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
 
     # post-load gate against the current dimension versions
     cur_dims = spark.read.parquet(new_dim).filter("is_current")
-    post = q.postload_checks(fact, cur_dims, dim_products, now)
+    post = _settle(q.postload_checks(fact, cur_dims, dim_products, now))
     write_report(post, f"{root}/reports/postload_checks")
     q.assert_checks(post)
     report.append(("postload_checks", post.count()))
@@ -175,9 +182,10 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
     # KPI refresh for the touched months
     touched = merged.select("period_idx").distinct()
     kpi = wh.refresh_kpi(fact, touched)
-    kpi.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period_idx").parquet(
-        f"{root}/mv_filial_monthly_kpi")
-    report.append(("kpi_rows_refreshed", kpi.count()))
+    kpi_rows = Observation("kpi")
+    kpi.observe(kpi_rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("period_idx").parquet(f"{root}/mv_filial_monthly_kpi")
+    report.append(("kpi_rows_refreshed", int(kpi_rows.get["rows"])))
 
     # watermark: last row wins per table
     wm_path = f"{root}/etl_watermark"
