@@ -106,33 +106,40 @@ def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: l
     cnt and the load time (only where summa differs when ``only_if_changed``);
     weight and period keep the stored value. Unmatched staged rows are inserted.
     Returns the new content of the touched month partitions only.
+
+    Written as a left join from the table (AQE can split a hot key on that
+    side) plus an anti join of the staged rows against the table's distinct
+    keys (a hot key collapses map-side), not as a full outer join, which AQE
+    cannot split.
     """
     rest = [c for c in staged.columns if c not in key]
     s = dedup_keyed(staged, key, rest)
     months = s.select("period_idx").distinct()
     t = target.join(F.broadcast(months), "period_idx", "left_semi")  # month count: small
-    ts = t.select(*[F.col(c).alias(f"t_{c}") for c in t.columns], F.lit(1).alias("t__m"))
     ss = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns], F.lit(1).alias("s__m"))
-    cond: Column = F.lit(True)
-    for k in key:
-        cond = cond & F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}"))
-    j = ts.join(ss, cond, "full_outer")
-    t_present = F.col("t__m").isNotNull()
-    s_present = F.col("s__m").isNotNull()
-    changed = F.col("t_summa") != F.col("s_summa") if only_if_changed else F.lit(True)
-    upd = t_present & s_present & F.coalesce(changed, F.lit(False))
-    new = ~t_present & s_present
-    out = []
-    for c in target.columns:
-        if c in key:
-            out.append(F.when(t_present, F.col(f"t_{c}")).otherwise(F.col(f"s_{c}")).alias(c))
-        elif c in ("summa", "cnt"):
-            out.append(F.when(upd | new, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
-        elif c == "loaded_at":
-            out.append(F.when(upd | new, F.lit(now)).otherwise(F.col(f"t_{c}")).alias(c))
-        else:
-            out.append(F.when(t_present, F.col(f"t_{c}")).otherwise(F.col(f"s_{c}")).alias(c))
-    return j.select(*out)
+
+    def on(left: DataFrame, right_prefix: str) -> Column:
+        cond: Column = F.lit(True)
+        for k in key:
+            cond = cond & left[k].eqNullSafe(F.col(f"{right_prefix}{k}"))
+        return cond
+
+    j = t.join(ss, on(t, "s_"), "left")
+    matched = F.col("s__m").isNotNull()
+    changed = F.col("summa") != F.col("s_summa") if only_if_changed else F.lit(True)
+    upd = matched & F.coalesce(changed, F.lit(False))
+    kept = j.select(*[
+        F.when(upd, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) if c in ("summa", "cnt")
+        else F.when(upd, F.lit(now)).otherwise(F.col(c)).alias(c) if c == "loaded_at"
+        else F.col(c)
+        for c in target.columns
+    ])
+    t_keys = t.select(*[F.col(k).alias(f"t_{k}") for k in key]).distinct()
+    new = s.join(t_keys, on(s, "t_"), "left_anti")
+    inserted = new.select(*[
+        F.lit(now).alias(c) if c == "loaded_at" and c not in new.columns else F.col(c) for c in target.columns
+    ])
+    return kept.unionByName(inserted)
 
 
 def refresh_kpi(fact: DataFrame, touched_months: DataFrame) -> DataFrame:
