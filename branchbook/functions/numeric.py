@@ -36,3 +36,12 @@ def pct_change(cur: Column | str, prev: Column | str, scale: int = 2) -> Column:
 
 def millions(c: Column | str, scale: int = 2) -> Column:
     return rnd(dbl(c) / F.lit(1e6), scale)
+
+
+def one_row(stats) -> Column:
+    """A one-row aggregate as a struct-valued scalar subquery: ``one_row(st)["field"]``.
+
+    Attaches global statistics to every row without a join; the subquery runs
+    once and its value is inlined into each task.
+    """
+    return stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns])).scalar()

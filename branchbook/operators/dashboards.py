@@ -70,10 +70,8 @@ def influencers(fact_p: DataFrame, factors: list[str], branch: str = "filial_id"
 def account_pareto(by_account: DataFrame, value: str = "revenue", key: str = "inc_gk") -> DataFrame:
     """Accounts by revenue with the cumulative share; the running sum is partitioned."""
     r = running_total(by_account, value, [F.desc(value), F.asc(key)], out="running")
-    tot = by_account.agg(F.sum(value).alias("__grand"))
-    return r.crossJoin(F.broadcast(tot)).withColumn(
-        "cumulative_pct", dbl("running") / dbl("__grand") * F.lit(100.0)
-    ).drop("__grand")
+    grand = by_account.agg(F.sum(value)).scalar()
+    return r.withColumn("cumulative_pct", dbl("running") / dbl(grand) * F.lit(100.0))
 
 
 @dataclass
@@ -111,5 +109,5 @@ def row_security(fact: DataFrame, grants: DataFrame, user: str | None = None) ->
     """
     g = grants if user is None else grants.filter(F.col("user_name") == user)
     if user is not None:
-        return fact.join(F.broadcast(g.select("filial_id")), "filial_id", "left_semi")
-    return fact.join(F.broadcast(g), "filial_id")
+        return fact.join(checked_broadcast(g.select("filial_id")), "filial_id", "left_semi")
+    return fact.join(checked_broadcast(g), "filial_id")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from branchbook.functions.numeric import dbl, rnd
+from branchbook.functions.numeric import dbl, one_row, rnd
 from branchbook.functions.periods import period_start
 from branchbook.operators.joins import checked_broadcast
 
@@ -71,19 +71,19 @@ def interaction_features(df: DataFrame, revenue: str = "revenue", period: str =
 
 
 def standardise(df: DataFrame, cols: list[str], suffix: str = "_scaled") -> DataFrame:
-    """(x - mean) / population std with nulls as 0; a one-row stats frame broadcast."""
+    """(x - mean) / population std with nulls as 0; the stats are one scalar subquery."""
     aggs = []
     for c in cols:
         x = F.coalesce(dbl(c), F.lit(0.0))
         aggs += [F.avg(x).alias(f"__mu_{c}"), F.stddev_pop(x).alias(f"__sd_{c}")]
-    st = df.agg(*aggs)
+    st = one_row(df.agg(*aggs))
     scaled = []
     for c in cols:
         x = F.coalesce(dbl(c), F.lit(0.0))
-        sd = F.col(f"__sd_{c}")
+        sd = st[f"__sd_{c}"]
         # a constant column scales to 0, as the standard scaler does
-        scaled.append(F.when(sd == 0, F.lit(0.0)).otherwise((x - F.col(f"__mu_{c}")) / sd).alias(f"{c}{suffix}"))
-    return df.crossJoin(F.broadcast(st)).select(*[F.col(f"`{c}`") for c in df.columns], *scaled)
+        scaled.append(F.when(sd == 0, F.lit(0.0)).otherwise((x - st[f"__mu_{c}"]) / sd).alias(f"{c}{suffix}"))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns], *scaled)
 
 
 def lag_count(monthly: DataFrame, branch: str = "filial_id", period: str = "period") -> int:

@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchbook.functions.numeric import dbl, rnd
+from branchbook.functions.numeric import dbl, one_row, rnd
 from branchbook.operators.quantiles import exact_quantiles
 
 # Thresholds of the reference's load gates.
@@ -140,14 +140,12 @@ def numeric_profile(df: DataFrame, cols: list[str], spark: SparkSession | None =
 def zscores(df: DataFrame, col: str, out: str = "z") -> DataFrame:
     """V7: z = (x - mean) / population std over the whole frame, nulls as 0.
 
-    The mean and std are a one-row aggregate joined back by broadcast (no
+    The mean and std are a one-row aggregate attached as a scalar subquery (no
     keyless window, which would pull every row into one task).
     """
     x = F.coalesce(dbl(col), F.lit(0.0))
-    st = df.agg(F.avg(x).alias("__mu"), F.stddev_pop(x).alias("__sd"))
-    return df.crossJoin(F.broadcast(st)).withColumn(
-        out, (x - F.col("__mu")) / F.nullif(F.col("__sd"), F.lit(0.0))
-    ).drop("__mu", "__sd")
+    st = one_row(df.agg(F.avg(x).alias("mu"), F.stddev_pop(x).alias("sd")))
+    return df.withColumn(out, (x - st["mu"]) / F.nullif(st["sd"], F.lit(0.0)))
 
 
 def zscore_outliers(df: DataFrame, col: str, limit: float = Z_LIMIT) -> DataFrame:
@@ -180,8 +178,7 @@ def dataset_profile(raw: DataFrame) -> DataFrame:
         rnd(F.stddev_samp(dbl("SUMMA")), 4).alias("summa_std"),
         nulls.cast("bigint").alias("missing_cells"),
     )
-    med = spark.createDataFrame([(median,)], "summa_median double").select(rnd("summa_median", 4).alias("summa_median"))
-    return a.crossJoin(med)
+    return a.withColumn("summa_median", rnd(F.lit(median).cast("double"), 4))
 
 
 def preload_checks(raw: DataFrame, min_rows: int = MIN_EXPECTED_ROWS, max_dup_pct: float = MAX_DUPLICATE_PCT) -> DataFrame:
@@ -198,8 +195,8 @@ def preload_checks(raw: DataFrame, min_rows: int = MIN_EXPECTED_ROWS, max_dup_pc
         key_nulls.alias("key_nulls"),
         F.sum(F.when(F.col("SUMMA") < 0, 1).otherwise(0)).alias("negative_summa"),
     )
-    d = duplicate_stats(raw)
-    j = a.crossJoin(d)
+    d = one_row(duplicate_stats(raw))
+    j = a.withColumn("duplicate_pct", d["duplicate_pct"])
     checks = f"""stack(5,
         'row_count', cast(rows as double), cast({min_rows} as double), 'error', rows >= {min_rows},
         'missing_columns', cast({missing_cols} as double), 0D, 'error', {missing_cols} = 0,
@@ -230,9 +227,7 @@ def postload_checks(fact: DataFrame, dim_filials: DataFrame, dim_products: DataF
         F.max(loaded_at).alias("last_load"),
     )
     fresh = F.timestamp_diff("SECOND", F.col("last_load"), F.lit(as_of)) / F.lit(3600.0)
-    j = ob.select(F.col("v").alias("ob")).crossJoin(op.select(F.col("v").alias("op"))).crossJoin(
-        zr.select(F.col("zero"), rnd(fresh, 4).alias("fresh"))
-    )
+    j = zr.select(F.col("zero"), rnd(fresh, 4).alias("fresh"), one_row(ob)["v"].alias("ob"), one_row(op)["v"].alias("op"))
     return j.selectExpr(f"""stack(4,
         'orphaned_filials', cast(ob as double), 0D, 'error', ob = 0,
         'orphaned_products', cast(op as double), cast({max_orphan_products} as double), 'error', op <= {max_orphan_products},
@@ -256,15 +251,19 @@ def quality_report(records: DataFrame, id_col: str = "rid", sample: int = 5) ->
         for c in fields
     )
     valid, bad = split_valid(dedup)
-    d = dedup.agg(F.count(F.lit(1)).alias("distinct_rows"), blanks.cast("bigint").alias("missing_cells"))
-    v = valid.agg(F.count(F.lit(1)).alias("valid_rows"))
-    b = bad.agg(F.count(F.lit(1)).alias("validation_error_count"))
+    d = one_row(dedup.agg(F.count(F.lit(1)).alias("distinct_rows"), blanks.cast("bigint").alias("missing_cells")))
+    v = one_row(valid.agg(F.count(F.lit(1)).alias("valid_rows")))
+    b = one_row(bad.agg(F.count(F.lit(1)).alias("validation_error_count")))
     first = bad.select(F.col(id_col)).orderBy(id_col).limit(sample)  # distributed top-k
-    b = b.crossJoin(first.agg(
-        F.array_join(F.sort_array(F.collect_list(id_col)).cast("array<string>"), ",").alias("validation_errors_sample")
+    f = one_row(first.agg(
+        F.array_join(F.sort_array(F.collect_list(id_col)).cast("array<string>"), ",").alias("sample")
     ))
-    o = zscore_outliers(valid, "revenue").agg(F.count(F.lit(1)).alias("outlier_count"))
-    j = total.crossJoin(d).crossJoin(v).crossJoin(b).crossJoin(o)
+    o = one_row(zscore_outliers(valid, "revenue").agg(F.count(F.lit(1)).alias("outlier_count")))
+    j = total.select(
+        "total_rows", d["distinct_rows"].alias("distinct_rows"), d["missing_cells"].alias("missing_cells"),
+        v["valid_rows"].alias("valid_rows"), b["validation_error_count"].alias("validation_error_count"),
+        f["sample"].alias("validation_errors_sample"), o["outlier_count"].alias("outlier_count"),
+    )
     return j.select(
         F.col("total_rows").cast("bigint").alias("total_rows"),
         F.col("valid_rows").cast("bigint").alias("valid_rows"),

@@ -225,9 +225,9 @@ def q_watermark(spark, sf_dir):
     lf = loaded_fact(spark, sf_dir)
     cur = lf.agg(F.lit("fact_operations").alias("table_name"), F.max("loaded_at").alias("loaded_at"),
                  F.count(F.lit(1)).alias("rows_loaded")).unionByName(
-        lf.agg(F.max("loaded_at").alias("loaded_at")).crossJoin(
-            s.dim_filials().agg(F.count(F.lit(1)).alias("rows_loaded"))
-        ).select(F.lit("dim_filials").alias("table_name"), "loaded_at", "rows_loaded"))
+        lf.agg(F.max("loaded_at").alias("loaded_at")).select(
+            F.lit("dim_filials").alias("table_name"), "loaded_at",
+            s.dim_filials().agg(F.count(F.lit(1))).scalar().alias("rows_loaded")))
     stg = fx.stg_operations(s, fx.last_months(s, 2))
     new = stg.agg(F.count(F.lit(1)).alias("rows_loaded")).select(
         F.lit("fact_operations").alias("table_name"), F.lit(load_time(spark, sf_dir)).alias("loaded_at"), "rows_loaded")
