@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,28 +146,44 @@ class Star:
             ).cast("decimal(18,2)").alias("summa"),
         )
 
-    def warehouse_path(self) -> str:
-        return f"{scratch_dir(self.spark)}/warehouse/{_source_key(self.sf_dir)}/fact_operations"
+    def warehouse_base(self) -> str:
+        return f"{scratch_dir(self.spark)}/warehouse/{_source_key(self.sf_dir)}"
+
+    def finished_copy(self) -> str | None:
+        """A complete copy of the fact table (one with ``_SUCCESS``), if any."""
+        base = self.warehouse_base()
+        p, fs = _fs(self.spark, f"{base}/fact-*/_SUCCESS")
+        found = fs.globStatus(p)
+        if not found:
+            return None
+        return sorted(str(st.getPath().getParent().toString()) for st in found)[0]
 
     def build_fact(self) -> str:
-        """Write the month-partitioned fact table unless a finished copy exists."""
-        path = self.warehouse_path()
-        if not path_exists(self.spark, f"{path}/_SUCCESS"):
-            # contiguous (month, date, account) ranges per task: few files per month of about
-            # TARGET_FILE_BYTES each, a month spread over many tasks at scale (the month alone has
-            # only ~83 values), and rows clustered by date so parquet min/max stats prune dates
-            src = plan_size_bytes(self.table("lineitem").select(
-                "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"))
-            n = max(1, math.ceil((src or TARGET_FILE_BYTES) / TARGET_FILE_BYTES))
-            (
-                self.fact_mapped()
-                .repartitionByRange(n, "period_idx", "operation_date", "inc_gk")
-                .write.mode("overwrite")
-                .option("maxRecordsPerFile", 4_000_000)
-                .partitionBy("period_idx")
-                .parquet(path)
-            )
-        return path
+        """Write the month-partitioned fact table unless a finished copy exists.
+
+        Each builder writes its own folder (``fact-<id>``); readers take the first
+        folder with ``_SUCCESS``. Concurrent builders cannot clobber each other and
+        a job killed mid-write leaves a folder nobody reads.
+        """
+        done = self.finished_copy()
+        if done is not None:
+            return done
+        path = f"{self.warehouse_base()}/fact-{uuid.uuid4().hex[:12]}"
+        # contiguous (month, date, account) ranges per task: few files per month of about
+        # TARGET_FILE_BYTES each, a month spread over many tasks at scale (the month alone has
+        # only ~83 values), and rows clustered by date so parquet min/max stats prune dates
+        src = plan_size_bytes(self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"))
+        n = max(1, math.ceil((src or TARGET_FILE_BYTES) / TARGET_FILE_BYTES))
+        (
+            self.fact_mapped()
+            .repartitionByRange(n, "period_idx", "operation_date", "inc_gk")
+            .write.mode("errorifexists")
+            .option("maxRecordsPerFile", 4_000_000)
+            .partitionBy("period_idx")
+            .parquet(path)
+        )
+        return self.finished_copy() or path
 
     def fact(self) -> DataFrame:
         """``fact_operations`` (columns in FACT_COLUMNS order)."""
