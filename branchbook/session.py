@@ -28,7 +28,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "bra
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "4g")
+        .config("spark.driver.memory", "6g")
         .getOrCreate()
     )
 
