@@ -90,8 +90,9 @@ def stg_products(s):
         .otherwise(F.col("direction")).alias("direction"),
     )
     first = d.agg(F.min("inc_gk").alias("g"))
+    # the new account: -(smallest key + 1), i.e. -1 (a column expression, not a literal key)
     new = d.join(first, d.inc_gk == first.g).select(
-        F.lit(fx.NEW_ACCOUNT).cast("bigint").alias("inc_gk"), F.lit("NEW ACCOUNT").alias("inc_name"),
+        (-(F.col("inc_gk") + 1)).alias("inc_gk"), F.lit("NEW ACCOUNT").alias("inc_name"),
         "product", "subcategory", "direction")
     return changed.unionByName(new)
 
@@ -104,7 +105,7 @@ select inc_gk, case when inc_gk % 11 = 0 then inc_name || ' v2' else inc_name en
        case when inc_gk % 13 = 0 then case when direction = 'DOM' then 'INT' else 'DOM' end else direction end as direction
 from dim_products where inc_gk % 17 <> 0
 union all
-select cast(-1 as bigint), 'NEW ACCOUNT', product, subcategory, direction
+select -(inc_gk + 1), 'NEW ACCOUNT', product, subcategory, direction
 from dim_products where inc_gk = (select min(inc_gk) from dim_products)
 """, ("dim_products",))
 

@@ -214,8 +214,10 @@ def stg_filials(s: Star) -> DataFrame:
         F.when(F.col("filial_id") % RENAME_MOD == 0, F.concat("filial_name", F.lit(" (new)")))
         .otherwise(F.col("filial_name")).alias("filial_name"),
     )
+    # derived from branch 0's row (0 + 999), so the key stays a column expression
     extra = d.filter(F.col("filial_id") == 0).select(
-        F.lit(NEW_BRANCH).cast("int").alias("filial_id"), F.lit(f"NATION_{NEW_BRANCH}").alias("filial_name")
+        (F.col("filial_id") + F.lit(NEW_BRANCH)).cast("int").alias("filial_id"),
+        F.lit(f"NATION_{NEW_BRANCH}").alias("filial_name"),
     )
     return renamed.unionByName(extra)
 
