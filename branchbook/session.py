@@ -14,6 +14,35 @@ from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: str | None = None
 
+# Settings for the cluster runs (~100 TB of facts, ~1000 executors). The initial
+# shuffle partition count is high and AQE coalesces it to ~256 MB partitions, so
+# one setting serves the month aggregates (tiny) and the source join (huge);
+# skewed join partitions are split at run time; file splits of 256 MB keep scan
+# tasks short; broadcasts stay under 64 MB (see operators/joins.checked_broadcast).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.aggregatePushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def cluster_session(app: str = "branchbook") -> SparkSession:
+    """A session for a cluster: the master, executors and ``spark.checkpoint.dir``
+    come from the submit; only the SQL settings above are added."""
+    b = SparkSession.builder.appName(app)
+    for k, v in CLUSTER_CONF.items():
+        b = b.config(k, v)
+    return b.getOrCreate()
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "branchbook") -> SparkSession:
     """A local session configured the way the tests and the bench expect."""
