@@ -152,7 +152,7 @@ def q_preload_checks(spark, sf_dir):
 def loaded_fact(spark, sf_dir):
     """The fact as loaded by the monthly job: loaded_at = 06:00 of the operation day."""
     return star(spark, sf_dir).fact().withColumn(
-        "loaded_at", F.col("operation_date").cast("timestamp") + F.expr("interval 6 hours")
+        "loaded_at", F.to_timestamp(F.concat(F.date_format("operation_date", "yyyy-MM-dd"), F.lit(" 06:00:00")))
     )
 
 

@@ -150,7 +150,7 @@ def q_pit_join(spark, sf_dir):
 
 def loaded_fact(spark, sf_dir):
     return star(spark, sf_dir).fact().withColumn(
-        "loaded_at", F.col("operation_date").cast("timestamp") + F.expr("interval 6 hours"))
+        "loaded_at", F.to_timestamp(F.concat(F.date_format("operation_date", "yyyy-MM-dd"), F.lit(" 06:00:00"))))
 
 
 def upserted(spark, sf_dir):

@@ -61,3 +61,13 @@ def test_forest_metrics_are_floats(spark):
         assert isinstance(m[k], float)
     imp = catalog.QUERIES["feature_importance"](spark, SMALL).collect()
     assert abs(sum(r.importance for r in imp) - 1.0) < 0.01
+
+
+def test_eda_run_trend_is_the_top_branch(spark):
+    from branchbook.api import eda_run
+
+    out = eda_run(spark, SMALL)
+    top = catalog.QUERIES["top_branch"](spark, SMALL).first().filial_name
+    trend = out["trend"].collect()
+    assert len(trend) == 1 and trend[0].filial_name == top
+    assert out["period_totals"].count() > 0
