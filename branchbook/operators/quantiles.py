@@ -41,11 +41,16 @@ def _order_stats(x: DataFrame, ranks: list[int], n: int, max_collect: int) -> di
         if a == b:  # a hot value: every wanted rank holds it
             return {r: float(a) for r in ranks}
         cur = cur.filter((F.col("x") >= a) & (F.col("x") <= b))
-    if m > max_collect:
-        raise RuntimeError(f"quantile bracket stuck at {m} values")
-    vals = [r[0] for r in cur.orderBy("x").collect()]
-    for r in ranks:
-        out[r] = float(vals[r - below])
+    # value counts of what is left: ties collapse, so a hot value costs one row
+    vc = cur.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    if m > max_collect and vc.count() > max_collect:
+        raise RuntimeError(f"quantile bracket stuck at {m} rows with more than {max_collect} distinct values")
+    cum = below
+    for v, c in vc.orderBy("x").collect():
+        for r in ranks:
+            if cum <= r < cum + c:
+                out[r] = float(v)
+        cum += c
     return out
 
 

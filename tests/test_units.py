@@ -138,3 +138,11 @@ def test_rfm_high_is_good_flips_scores(spark):
     a = {r.filial_id: r.m_score for r in rv.rfm_scores(f, dims(spark, range(1, 6)), as_of).collect()}
     b = {r.filial_id: r.m_score for r in rv.rfm_scores(f, dims(spark, range(1, 6)), as_of, high_is_good=True).collect()}
     assert a[5] == 1 and b[5] == 5
+
+
+def test_exact_quantiles_hot_value_at_the_bracket_edge(spark):
+    # a third of the rows hold one value and the median falls just past it
+    vals = [5.0] * 2000 + [float(i) for i in range(6, 4007)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
+    got = exact_quantiles(df, "x", [0.25, 0.5, 0.3333], max_collect=100)
+    assert np.allclose(got, np.quantile(vals, [0.25, 0.5, 0.3333]))
