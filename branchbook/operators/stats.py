@@ -1,7 +1,8 @@
 """Statistics.
 
-Correlations are single aggregates (Pearson) or Spark ML's distributed rank
-correlation (Spearman: global sort, ties get the average rank). The trend and
+Correlations are single aggregates: Pearson on the values, Spearman as Pearson
+on average ranks computed with map-side collapsed value counts and a
+partitioned running total (no global sort of every row). The trend and
 seasonal jobs run for every branch at once: per-branch windows over its months
 (tens of rows) and per-branch aggregates, no driver loop.
 """
@@ -32,16 +33,31 @@ def pearson_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float
     return [(a, b, row[f"{a}__{b}"]) for a, b in pairs]
 
 
-def spearman_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float | None]]:
-    """M2: Spearman rho (average ranks for ties) via ``pyspark.ml.stat.Correlation``."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
+    """1-based rank of ``col`` with ties sharing their mean rank, attached to every row.
+
+    Distinct values are counted first (a value held by a third of the rows
+    collapses to one row map-side); their running count comes from the
+    partitioned running total; the (value -> rank) table is joined back on the
+    value, where AQE splits a hot value's partition on the row side.
+    """
+    from branchbook.operators.joins import checked_broadcast
+    from branchbook.operators.windows import running_total
+
+    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
+    cum = running_total(vc, "__c", [F.asc(col)], out="__cum")
+    ranks = cum.select(col, (dbl("__cum") - dbl("__c") + (dbl("__c") + F.lit(1.0)) / F.lit(2.0)).alias(out))
+    return df.join(checked_broadcast(ranks), col)
 
+
+def spearman_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float | None]]:
+    """M2: Spearman rho (average ranks for ties) = Pearson r of the average ranks, one aggregate."""
     x = df.select(*[dbl(c).alias(c) for c in cols]).dropna()
-    vec = VectorAssembler(inputCols=list(cols), outputCol="__v").transform(x).select("__v")
-    m = Correlation.corr(vec, "__v", "spearman").head()[0].toArray()
-    idx = {c: i for i, c in enumerate(cols)}
-    return [(a, b, float(m[idx[a], idx[b]])) for a, b in combinations(cols, 2)]
+    for c in cols:
+        x = average_ranks(x, c, f"__r_{c}")
+    pairs = list(combinations(cols, 2))
+    row = x.agg(*[F.corr(f"__r_{a}", f"__r_{b}").alias(f"{a}__{b}") for a, b in pairs]).first()
+    return [(a, b, row[f"{a}__{b}"]) for a, b in pairs]
 
 
 def corr_pairs(df: DataFrame, cols: list[str] = list(CORR_COLUMNS), n: int = 5) -> DataFrame:
