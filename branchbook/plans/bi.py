@@ -9,7 +9,7 @@ from branchbook.functions.numeric import dbl, div0, rnd
 from branchbook.operators import dashboards as db
 from branchbook.operators import measures as ms
 from branchbook.operators.joins import checked_broadcast
-from branchbook.operators.windows import prior_period, year_to_date
+from branchbook.operators.windows import year_to_date
 from branchbook.plans.catalog import register
 from branchbook.plans.oracle_base import with_ctes
 from branchbook.sources import fixtures as fx
