@@ -146,3 +146,15 @@ def test_exact_quantiles_hot_value_at_the_bracket_edge(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
     got = exact_quantiles(df, "x", [0.25, 0.5, 0.3333], max_collect=100)
     assert np.allclose(got, np.quantile(vals, [0.25, 0.5, 0.3333]))
+
+
+def test_feature_columns_present(spark):
+    from branchbook.plans.enrichment import contract_frame
+
+    c = contract_frame(spark, "/root/testdata/sf0.001").select("filial_id", "period", "revenue", "operations_count")
+    out = fe.interaction_features(fe.temporal_features(c))
+    for col in ("month", "quarter", "year", "revenue_per_filial", "concentration_ratio", "revenue_share"):
+        assert col in out.columns, col
+    scaled = fe.standardise(out, ["revenue", "operations_count"])
+    assert {"revenue_scaled", "operations_count_scaled"} <= set(scaled.columns)
+    assert scaled.count() == c.count()
