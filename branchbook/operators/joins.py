@@ -20,9 +20,11 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def plan_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan, or None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     except Exception:  # noqa: BLE001 - e.g. Spark Connect, where the plan is remote
         return None
+    # py4j hands a Scala BigInt over as a Python int; older gateways as an object
+    return int(v) if isinstance(v, int) else int(str(v.toString()))
 
 
 def checked_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

@@ -3,7 +3,7 @@
 The driver tables hold no nulls, duplicates or rule breaks, so the quality and
 warehouse jobs get inputs with faults injected by fixed rules over the whole
 table (every row is read; the rules only decide which rows carry a fault).
-Each builder has a twin CTE in ``ORACLE_CTES`` so DuckDB derives the same rows.
+Each builder has a twin CTE (registered with ``cte``) so DuckDB derives the same rows.
 """
 
 from __future__ import annotations

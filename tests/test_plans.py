@@ -41,3 +41,16 @@ def test_fact_scan_reads_only_needed_columns(spark):
     text = plan_text(catalog.QUERIES["rolling_revenue"](spark, MEDIUM))
     scans = [line for line in text.splitlines() if line.startswith("ReadSchema: struct<filial_id")]
     assert scans and all("inc_gk" not in s and "weight" not in s for s in scans)
+
+
+def test_broadcast_hint_only_under_the_size_limit(spark):
+    from branchbook.operators.joins import checked_broadcast, plan_size_bytes
+    from branchbook.sources.star import star
+
+    dim = star(spark, MEDIUM).dim_products()
+    size = plan_size_bytes(dim)
+    assert size is not None and size > 0
+    big = checked_broadcast(dim, limit_bytes=size - 1)
+    small = checked_broadcast(dim, limit_bytes=size + 1)
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
