@@ -265,36 +265,34 @@ def quality_report(records: DataFrame, id_col: str = "rid", sample: int = 5) ->
     """The report of the record validation, one row.
 
     Order as in the reference: dedup -> blanks counted on the deduped rows ->
-    rule filter -> z-score outliers on the valid rows.
+    rule filter -> z-score outliers on the valid rows. One group-by over all
+    columns gives the distinct rows with their multiplicity (total = sum, distinct
+    = count); every other statistic reads that same aggregate (one exchange, reused).
     """
-    total = records.agg(F.count(F.lit(1)).alias("total_rows"))
-    dedup = records.dropDuplicates()
+    g = records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("__n"))
     fields = [c for c in RECORD_FIELDS if c in records.columns]
     types = dict(records.dtypes)
     blanks = sum(
         F.sum(F.when(F.col(c).isNull() | (F.isnan(c) if types[c] == "double" else F.lit(False)), 1).otherwise(0))
         for c in fields
     )
-    valid, bad = split_valid(dedup)
-    d = one_row(dedup.agg(F.count(F.lit(1)).alias("distinct_rows"), blanks.cast("bigint").alias("missing_cells")))
-    v = one_row(valid.agg(F.count(F.lit(1)).alias("valid_rows")))
-    b = one_row(bad.agg(F.count(F.lit(1)).alias("validation_error_count")))
-    first = bad.select(F.col(id_col)).orderBy(id_col).limit(sample)  # distributed top-k
+    e = with_errors(g)
+    ok = F.size("errors") == 0
+    valid = e.filter(ok).drop("errors", "__n")
+    first = e.filter(~ok).select(F.col(id_col)).orderBy(id_col).limit(sample)  # distributed top-k
     f = one_row(first.agg(
         F.array_join(F.sort_array(F.collect_list(id_col)).cast("array<string>"), ",").alias("sample")
     ))
     o = one_row(zscore_outliers(valid, "revenue").agg(F.count(F.lit(1)).alias("outlier_count")))
-    j = total.select(
-        "total_rows", d["distinct_rows"].alias("distinct_rows"), d["missing_cells"].alias("missing_cells"),
-        v["valid_rows"].alias("valid_rows"), b["validation_error_count"].alias("validation_error_count"),
-        f["sample"].alias("validation_errors_sample"), o["outlier_count"].alias("outlier_count"),
-    )
-    return j.select(
-        F.col("total_rows").cast("bigint").alias("total_rows"),
-        F.col("valid_rows").cast("bigint").alias("valid_rows"),
-        (F.col("total_rows") - F.col("distinct_rows")).cast("bigint").alias("duplicate_rows"),
-        "missing_cells",
-        F.col("outlier_count").cast("bigint").alias("outlier_count"),
-        F.col("validation_error_count").cast("bigint").alias("validation_error_count"),
-        "validation_errors_sample",
+    return e.agg(
+        F.sum("__n").cast("bigint").alias("total_rows"),
+        F.sum(F.when(ok, 1).otherwise(0)).cast("bigint").alias("valid_rows"),
+        (F.sum("__n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"),
+        blanks.cast("bigint").alias("missing_cells"),
+        F.sum(F.when(~ok, 1).otherwise(0)).cast("bigint").alias("validation_error_count"),
+    ).select(
+        "total_rows", "valid_rows", "duplicate_rows", "missing_cells",
+        o["outlier_count"].cast("bigint").alias("outlier_count"),
+        "validation_error_count",
+        f["sample"].alias("validation_errors_sample"),
     )
