@@ -294,8 +294,9 @@ def q_full_load(spark, sf_dir):
     raw = fx.raw_operations(s)
     landed = raw.unionByName(raw.filter(F.col("INC_GK") % fx.DUP_MOD == 0))
     root = new_root(spark, "full_load")
-    monthly_load(spark, root, landed, fx.stg_filials(s), s.dim_products(), load_day(spark, sf_dir),
-                 load_time(spark, sf_dir))
+    day = load_day(spark, sf_dir)
+    monthly_load(spark, root, landed, fx.stg_filials(s), s.dim_products(), day,
+                 _dt.datetime.combine(day, _dt.time(6, 0)))
     fact = spark.read.parquet(f"{root}/fact_operations")
     return fact.groupBy("period").agg(F.count(F.lit(1)).alias("rows_cnt"), dbl(F.sum("summa")).alias("revenue"))
 
