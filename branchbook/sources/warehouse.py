@@ -50,12 +50,32 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     raise ValueError(f"Unsupported file type: {path}")
 
 
+INGEST_COLUMNS = ("ingest_file", "ingest_block", "ingest_seq")
+
+
+def with_ingest_order(scan: DataFrame) -> DataFrame:
+    """V3's "earliest physical row": source file, split start and a scan-time id.
+
+    Apply directly on a file scan (``_metadata`` is a column of file sources).
+    Ordering by the three columns follows the physical order even when a file
+    is read as several splits in tasks of any order.
+    """
+    return scan.select(
+        "*",
+        F.col("_metadata.file_path").alias("ingest_file"),
+        F.col("_metadata.file_block_start").alias("ingest_block"),
+        F.monotonically_increasing_id().alias("ingest_seq"),
+    )
+
+
 def stage(df: DataFrame, path: str) -> dict[str, int]:
     """S3: exact dedup and full refresh of a staging folder; returns row counts
-    before and after, observed in the write job itself."""
+    before and after, observed in the write job itself. Ingest-order columns are
+    not part of the row for the dedup."""
     before, after = Observation("before"), Observation("after")
     obs_in = df.observe(before, F.count(F.lit(1)).alias("rows"))
-    out = obs_in.dropDuplicates().observe(after, F.count(F.lit(1)).alias("rows"))
+    data_cols = [c for c in df.columns if c not in INGEST_COLUMNS]
+    out = obs_in.dropDuplicates(data_cols).observe(after, F.count(F.lit(1)).alias("rows"))
     out.write.mode("overwrite").parquet(path)
     return {"rows_in": int(before.get["rows"]), "rows_staged": int(after.get["rows"])}
 
@@ -83,9 +103,11 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def raw_to_fact(raw: DataFrame) -> DataFrame:
-    """Raw layout -> fact columns (dates parsed with the two-digit-year rule)."""
+    """Raw layout -> fact columns (dates parsed with the two-digit-year rule);
+    ingest-order columns, when present, come first."""
     d = raw_date("DATA")
     return raw.select(
+        *[c for c in INGEST_COLUMNS if c in raw.columns],
         F.col("FILIAL").alias("filial_id"),
         F.col("INC_GK").alias("inc_gk"),
         d.alias("operation_date"),
@@ -159,11 +181,12 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
     fact_path = f"{root}/fact_operations"
     target = read_fact(spark, root)
     staged_l = staged.withColumn("loaded_at", F.lit(now))
+    fact_cols = [c for c in staged_l.columns if c not in INGEST_COLUMNS]
     if target is None:  # first load: every key is an insert (after the keyed-dedup rule)
-        rest = [c for c in staged_l.columns if c not in wh.UPSERT_KEY]
-        merged = q.dedup_keyed(staged_l, wh.UPSERT_KEY, rest).select(*staged_l.columns)
+        rest = [c for c in staged_l.columns if c not in wh.UPSERT_KEY]  # ingest order first when present
+        merged = q.dedup_keyed(staged_l, wh.UPSERT_KEY, rest).select(*fact_cols)
     else:
-        merged = wh.upsert_facts(target.select(*staged_l.columns), staged_l, now)
+        merged = wh.upsert_facts(target.select(*fact_cols), staged_l, now)
     # the merge reads the partitions it replaces: cut the lineage first
     mpath = f"{root}/_merge/{uuid.uuid4().hex[:8]}"
     merged.write.mode("overwrite").parquet(mpath)
