@@ -71,3 +71,14 @@ def test_eda_run_trend_is_the_top_branch(spark):
     trend = out["trend"].collect()
     assert len(trend) == 1 and trend[0].filial_name == top
     assert out["period_totals"].count() > 0
+
+
+def test_analysis_run_returns_every_frame(spark):
+    from branchbook.api import analysis_run
+
+    out = analysis_run(spark, SMALL)
+    assert set(out) == {"profile", "temporal_features", "interaction_features", "scaled_features",
+                        "model_metrics", "feature_importances"}
+    m = out["model_metrics"].first()
+    assert m.n_samples > 0 and m.cv_method.startswith(("KFold", "LeaveOneOut"))
+    assert out["profile"].first().total_rows > 0
