@@ -163,21 +163,11 @@ def released(spark: SparkSession, *frames: DataFrame) -> None:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def blob_rows(bucket: np.ndarray, n_buckets: int, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, dict[str, bytes]]]:
-    """Deal parallel arrays out by bucket, one packed row each; the order within a bucket is kept."""
-    order = np.argsort(bucket, kind="stable")
-    cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-    for b in range(n_buckets):
-        rows = order[cut[b] : cut[b + 1]]
-        if len(rows):
-            yield b, {k: v[rows].tobytes() for k, v in columns.items()}
-
-
-def oriented(mask_start: np.ndarray, mask_stop: np.ndarray, n: int) -> np.ndarray:
+def cover(start: np.ndarray, stop: np.ndarray, n: int) -> np.ndarray:
     """Boolean cover of [0, n) by the stretches [start, stop)."""
     d = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(d, mask_start, 1)
-    np.add.at(d, mask_stop, -1)
+    np.add.at(d, start, 1)
+    np.add.at(d, stop, -1)
     return np.cumsum(d[:-1]) > 0
 
 
@@ -215,31 +205,42 @@ def from_low_bytes(blob: bytes, n: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-MARK_SCHEMA = "doc_id bigint, spans binary"
-MARK_ARROW = pa.schema([("doc_id", pa.int64()), ("spans", pa.binary())])
+MARK_SCHEMA = "part int, docs binary, spans binary"
+_MARK = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("spans", pa.binary())])
+_PER_DOC = pa.schema([("doc_id", pa.int64()), ("spans", pa.binary())])
+
+
+def mark_table(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, n_parts: int) -> pa.Table:
+    """Marked stretches of documents, packed: one row for each part of the documents."""
+    part = (mix(doc.astype(np.int64).view(U64)) % U64(n_parts)).astype(np.int64)
+    order = np.lexsort((start, doc, part))
+    part, doc = part[order], doc[order]
+    pairs = np.stack([start[order], stop[order]], axis=1).astype("<u4")
+    cut = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)) if len(part) else np.zeros(1, dtype=np.int64)
+    rows = [(int(part[a]), packed_ids(doc[a:b]), pairs[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+    return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(_MARK.types)], schema=_MARK)
 
 
-def mark_table(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Table:
-    """One row per document: its marked stretches as packed pairs of unsigned 32-bit numbers."""
-    if not len(doc):
-        return MARK_ARROW.empty_table()
-    order = np.lexsort((start, doc))
-    doc, pairs = doc[order], np.stack([start[order], stop[order]], axis=1).astype("<u4")
-    first = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1 if doc[0] > NO_ID else doc[0] + 1))
-    cut = np.append(first, len(doc))
-    blobs = [pairs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-    return pa.table([pa.array(doc[first]), pa.array(blobs, pa.binary())], schema=MARK_ARROW)
+def _marks_by_doc(table: pa.Table) -> pa.Table:
+    doc = np.concatenate([unpacked_ids(b) for b in table.column("docs").to_pylist()])
+    pairs = np.frombuffer(b"".join(table.column("spans").to_pylist()), dtype="<u4").reshape(-1, 2)
+    order = np.argsort(doc, kind="stable")
+    doc, pairs = doc[order], pairs[order]
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = doc[1:] != doc[:-1]
+    cut = np.append(np.flatnonzero(new), len(doc))
+    return pa.table([pa.array(doc[cut[:-1]]), pa.array([pairs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], schema=_PER_DOC)
 
 
 def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(doc_id, text, marks array<binary>): every document with what was marked in it."""
-    per = marks.groupBy("doc_id").agg(F.collect_list("spans").alias("marks")).withColumnRenamed("doc_id", "__doc")
-    return docs.join(per, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("__doc"), "left").select("doc_id", "text", "marks")
+    """(doc_id, text, marks): every document with the stretches marked in it, from rows of MARK_SCHEMA."""
+    per = marks.groupBy("part").applyInArrow(_marks_by_doc, "doc_id bigint, spans binary").withColumnRenamed("doc_id", "__doc")
+    return docs.join(per, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("__doc"), "left").select("doc_id", "text", "spans")
 
 
-def covered(blobs: list[bytes] | None, n: int) -> np.ndarray:
+def covered(blob: bytes | None, n: int) -> np.ndarray:
     """Boolean cover of a document's n units by its marks."""
-    if not blobs or not n:
+    if not blob or not n:
         return np.zeros(n, dtype=bool)
-    pairs = np.minimum(np.frombuffer(b"".join(blobs), dtype="<u4").reshape(-1, 2).astype(np.int64), n)
-    return oriented(pairs[:, 0], pairs[:, 1], n)
+    pairs = np.minimum(np.frombuffer(blob, dtype="<u4").reshape(-1, 2).astype(np.int64), n)
+    return cover(pairs[:, 0], pairs[:, 1], n)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchbook.llm.common import ALNUM, FOLDED_NAMES, Words, chunks, oriented, runs, text_buffer
+from branchbook.llm.common import ALNUM, FOLDED_NAMES, Words, chunks, cover, runs, text_buffer
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -90,7 +90,8 @@ def suffix_array(ids: np.ndarray, window: int, bits: int) -> tuple[np.ndarray, n
     lead = keys[0][at]
     same = lead[1:] == lead[:-1]
     tied = np.zeros(len(at), dtype=bool)
-    tied[1:], tied[:-1] = same, tied[:-1] | same
+    tied[1:] |= same
+    tied[:-1] |= same
     if n_keys > 1 and tied.any():
         sub = at[tied]
         at[tied] = sub[np.lexsort([k[sub] for k in reversed(keys)])]
@@ -143,7 +144,7 @@ def _shard(w: Words, doc_ids: list, tests: TestSuffixes) -> Iterator[tuple]:
             yield doc_ids[d], int(n_words[d]), [], [], []
             continue
         cls, at = found[d]
-        a, b = runs(oriented(at, at + tests.size[cls], int(n_words[d])))
+        a, b = runs(cover(at, at + tests.size[cls], int(n_words[d])))
         spans = [{"start": int(x), "stop": int(y)} for x, y in zip(a, b)]
         n = tests.cut[cls + 1] - tests.cut[cls]
         take = np.repeat(tests.cut[cls], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)

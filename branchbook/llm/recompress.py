@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import (
-    BYTE_NAMES, MARK_SCHEMA, NO_ID, NOT_SPACE, U64, WORD_BASE, Rolling, Words, blob_rows, chunks, covered,
-    from_low_bytes, low_bytes, mark_table, mix, packed_ids, parts, runs, text_buffer, unpacked_ids, with_marks,
+    BYTE_NAMES, MARK_SCHEMA, NO_ID, NOT_SPACE, U64, WORD_BASE, Rolling, Words, chunks, covered,
+    from_low_bytes, low_bytes, mark_table, mix, packed_ids, parts, text_buffer, unpacked_ids, with_marks,
 )
 
 WINDOW = 13
@@ -128,7 +128,7 @@ def _entries(raw: np.ndarray, offs: np.ndarray, ids: np.ndarray, window: int, n_
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ENTRY.types)], schema=_ENTRY)
 
 
-def _verified(table: pa.Table) -> pa.Table:
+def _verified(table: pa.Table, n_parts: int) -> pa.Table:
     """Windows of a bucket that also start in a document with a smaller id, as spans by document."""
     col = {c: table.column(c).to_pylist() for c in table.column_names if c != "bucket"}
     doc, pos, lead, n, name, windows = [], [], [], [], [], []
@@ -150,7 +150,7 @@ def _verified(table: pa.Table) -> pa.Table:
     windows = windows[np.repeat(shared, n)]
     doc, pos, lead, n, name = doc[shared], pos[shared].astype(np.int64), lead[shared].astype(np.int64), n[shared], name[shared]
     if not len(doc):
-        return mark_table(doc, pos, pos)
+        return mark_table(doc, pos, pos, n_parts)
     # verify: equal windows around the symbol
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     place = np.repeat(lead, n) - step
@@ -164,7 +164,7 @@ def _verified(table: pa.Table) -> pa.Table:
     again[order] = owner > least[np.cumsum(first) - 1]
     entry = np.repeat(np.arange(len(n)), n)
     a, b = _runs_within(again, entry)
-    return mark_table(doc[entry[a]], pos[entry[a]] + step[a], pos[entry[a]] + step[b - 1] + WINDOW)
+    return mark_table(doc[entry[a]], pos[entry[a]] + step[a], pos[entry[a]] + step[b - 1] + WINDOW, n_parts)
 
 
 def _runs_within(mask: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +199,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, spans): packed stretches of words whose windows also start in a document with a smaller id."""
+    """Rows of MARK_SCHEMA: the stretches of words whose windows also start in a document with a smaller id."""
     n_buckets = parts(docs.sparkSession)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +210,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield from _entries(raw, offs[lo : lo + (1 << 15) + 1], ids[lo : lo + (1 << 15)], window, n_buckets)
 
     filed = docs.mapInArrow(entries, ENTRY_SCHEMA)
-    return filed.groupBy("bucket").applyInArrow(_verified, MARK_SCHEMA)
+    return filed.groupBy("bucket").applyInArrow(lambda t: _verified(t, n_buckets), MARK_SCHEMA)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
