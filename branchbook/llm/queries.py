@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from branchbook.llm import decontam, recompress, sufdedup
+from branchbook.llm import decontam, minhash, recompress, sufdedup
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 @query
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sufdedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
