@@ -11,11 +11,11 @@ Buckets are never expanded into all pairs. Round one links every member to the
 bucket's centre (the least hashed id, mostly the same in all bands). Links are
 verified on full shingle sets, and connected components are taken from what holds.
 Buckets whose members then lie in different components go on: members outside the
-bucket's largest component are compared with all others by signature, in blocks of a
-bounded size; links that would join components are verified, first a spanning forest
-of the likely ones, then every remaining pair whose signatures agree in 64 % of the
-coordinates (a pair at 0.8 stays below with probability 3e-6). So no link between
-components goes untested, however large a bucket is.
+bucket's largest component are compared with all others in blocks of a bounded size,
+by signature first and, if 64 % of the coordinates agree (a pair at 0.8 stays below
+with probability 3e-6), on full sets. A pair is compared in the first band it shares
+and only while its ends are in different components; what comes out is a forest of
+links, however large a bucket is.
 
 Components are found with alternating large-star and small-star steps on tables in
 the shared folder. Defined cases: null, empty and wordless texts have an empty set and
@@ -38,8 +38,8 @@ from branchbook.llm.common import (
 )
 
 BANDS, ROWS = 32, 4
-BLOCK = 4096  # members of one side of a signature comparison
-SURE, UNSURE = 0.8, 0.64
+BLOCK = 1024  # members of one side of a comparison
+LIKELY = 0.64  # agreement of signatures below which no link is looked for
 SIG_SCHEMA = "doc_id bigint, n bigint, d1 bigint, d2 bigint, sig binary"
 _SIG = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("sig", pa.binary())])
 
@@ -116,7 +116,7 @@ def _banded(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.Re
         key = np.zeros((len(ids), BANDS), dtype=U64) + np.arange(1, BANDS + 1, dtype=U64)
         for r in range(ROWS):
             key = mix(key * U64(0x9E3779B97F4A7C15) + sig[:, :, r])
-        key = key.reshape(-1)
+        key = ((key & ~U64(BANDS - 1)) | np.arange(BANDS, dtype=U64)).reshape(-1)  # the low bits say which band
         row = np.repeat(np.arange(len(ids)), BANDS)
         bucket = (key % U64(n_buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -169,13 +169,23 @@ def _linked(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok)], schema=schema)
 
 
-def _proposed(table: pa.Table, sure: bool) -> pa.Table:
-    """Pairs of a block that would join components: a spanning forest of the likely ones, or all that signatures allow."""
-    col = {c: table.column(c).to_numpy() for c in ("id", "n", "comp", "ask")}
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint32).reshape(table.num_rows, -1)
-    ask, rest = np.flatnonzero(col["ask"]), np.flatnonzero(~col["ask"])
-    found: list[tuple[int, int]] = []
+def _joined(table: pa.Table, k: int, percent: int) -> pa.Table:
+    """Links of a block that join components: a spanning forest, each link verified on full sets.
+
+    A pair that meets in several bands is compared in the first one only.
+    """
+    band = int(table.column("band")[0].as_py()) & (BANDS - 1)
+    ids, n, comp, ask = (table.column(c).to_numpy() for c in ("id", "n", "comp", "ask"))
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint32).reshape(table.num_rows, BANDS, ROWS)
+    raw, offs = text_buffer(table.column("text"))
+    sets: dict[int, frozenset] = {}
     root: dict[int, int] = {}
+    links: list[tuple[int, int]] = []
+
+    def shingles(i: int) -> frozenset:
+        if i not in sets:
+            sets[i] = frozenset(shingle_sets(Words(raw, offs, i, i + 1, NOT_SPACE, FOLDED_NAMES), k)[0].tolist())
+        return sets[i]
 
     def top(c: int) -> int:
         while root.get(c, c) != c:
@@ -183,21 +193,23 @@ def _proposed(table: pa.Table, sure: bool) -> pa.Table:
             c = root[c]
         return c
 
-    least = SURE if sure else UNSURE
-    for q in ask:
-        m = rest[(col["comp"][rest] != col["comp"][q]) & (100 * np.minimum(col["n"][rest], col["n"][q]) >= 80 * np.maximum(col["n"][rest], col["n"][q]))]
+    rest = np.flatnonzero(~ask)
+    for q in np.flatnonzero(ask):
+        m = rest[(comp[rest] != comp[q]) & (100 * np.minimum(n[rest], n[q]) >= percent * np.maximum(n[rest], n[q]))]
         if not len(m):
             continue
-        agree = (sig[m] == sig[q]).mean(axis=1)
-        m, agree = m[agree >= least], agree[agree >= least]
-        for j in np.argsort(-agree, kind="stable"):
-            a, b = top(int(col["comp"][q])), top(int(col["comp"][m[j]]))
-            if sure and a == b:
+        equal = sig[m] == sig[q]
+        agree = equal.mean(axis=(1, 2))
+        m, agree = (x[(equal.all(axis=2).argmax(axis=1) == band) & (agree >= LIKELY)] for x in (m, agree))
+        for j in m[np.argsort(-agree, kind="stable")]:
+            a, b = top(int(comp[q])), top(int(comp[j]))
+            if a == b:
                 continue
-            root[max(a, b)] = min(a, b)
-            found.append((int(col["id"][q]), int(col["id"][m[j]])))
-    pairs = {(min(p), max(p)) for p in found}
-    return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+            both = len(shingles(int(q)) & shingles(int(j)))
+            if 100 * both >= percent * (len(sets[int(q)]) + len(sets[int(j)]) - both):
+                root[max(a, b)] = min(a, b)
+                links.append((int(ids[q]), int(ids[j])))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -239,21 +251,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     centre = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("c"))
     star = members.join(centre, "band").where("id != c.id and 100 * least(n, c.n) >= 80 * greatest(n, c.n)")
     tested = stored(verified(star.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()), "links")
-    for sure in (True, True, False):
-        labels = components(copies.unionByName(tested.where("linked").select("a", "b")))
-        pairs = _open_pairs(members, nodes, labels, sure).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        more = stored(verified(pairs), "links")
-        if not more.isEmpty():
-            tested = tested.unionByName(more)
-    labels = components(copies.unionByName(tested.where("linked").select("a", "b"))) if not more.isEmpty() else labels
+    known = copies.unionByName(tested.where("linked").select("a", "b"))
+    blocks = _open_blocks(members, nodes, texts, components(known))
+    more = blocks.groupBy("band", "q", "r").applyInArrow(lambda t: _joined(t, shingle, percent), "a bigint, b bigint")
+    labels = components(known.unionByName(more))
     out = signed.select("doc_id", "n").join(labels, F.col("doc_id") == F.col("id"), "left")
     real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     comp = F.coalesce("label", "doc_id")
     return out.select(real.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(comp != NO_ID, comp).alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
 
 
-def _open_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, sure: bool) -> DataFrame:
-    """Pairs to verify in the bands whose members lie in different components."""
+def _open_blocks(members: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the bands whose members lie in different components, dealt into blocks: asking rows against all."""
     placed = members.join(labels, "id", "left").select("band", "id", "n", F.coalesce("label", "id").alias("comp"))
     sizes = placed.groupBy("band", "comp").agg(F.count("*").alias("size"))
     bands = sizes.groupBy("band").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("m"), F.count("*").alias("comps")).where("comps > 1 and m > 2")
@@ -262,12 +271,11 @@ def _open_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, sure: b
     ask_blocks = F.ceil((F.col("m") - F.col("main_size")) / BLOCK).cast("int")
     all_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     place = F.pmod(F.xxhash64("id"), F.lit(2**31 - 1))
-    cols = ["band", "id", "n", "comp", "sig"]
+    rows = rows.join(texts, "id")
+    cols = ["band", "id", "n", "comp", "sig", "text"]
     ask = rows.where("comp != main").select(*cols, F.pmod(place, ask_blocks).alias("q"), F.explode(F.sequence(F.lit(0), all_blocks - 1)).alias("r"), F.lit(True).alias("ask"))
     rest = rows.select(*cols, F.explode(F.sequence(F.lit(0), ask_blocks - 1)).alias("q"), F.pmod(place, all_blocks).alias("r"), F.lit(False).alias("ask"))
-    types = {"q": "int", "r": "int"}
-    every = ask.withColumns({c: F.col(c).cast(t) for c, t in types.items()}).unionByName(rest.withColumns({c: F.col(c).cast(t) for c, t in types.items()}))
-    return every.groupBy("band", "q", "r").applyInArrow(lambda t: _proposed(t, sure), "a bigint, b bigint")
+    return ask.unionByName(rest).withColumns({"q": F.col("q").cast("int"), "r": F.col("r").cast("int")})
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
