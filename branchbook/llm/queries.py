@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from branchbook.llm import decontam, minhash, recompress, sufdedup
+from branchbook.llm import decontam, langid, minhash, puquality, recompress, sufdedup, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +37,18 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return puquality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
