@@ -89,9 +89,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
             n += batch.num_rows
             for lo, hi in chunks(offs):
                 w = Words(raw, offs, lo, hi, ALNUM, FOLDED_NAMES)
-                of, place, owner = word_ngrams(w)
-                # distinct (text, place): through distinct (text, word)
-                doc, at, _ = _vectors(w) if len(of) else (of, of, of)
+                at = _vectors(w)[1] if len(w.name) else np.zeros(0, dtype=np.int64)
                 df += np.bincount(at, minlength=SIZE)
         part = SIZE // SLICES
         yield pa.RecordBatch.from_arrays(

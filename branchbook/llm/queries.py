@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from branchbook.llm import decontam, langid, minhash, puquality, recompress, sufdedup, toxicity
+from branchbook.llm import decontam, langid, mcdrules, minhash, puquality, recompress, sufdedup, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +52,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_mcd_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mcdrules.judged(table(spark, sf_dir, "documents"))
