@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from branchbook.llm import decontam, langid, mcdrules, minhash, puquality, recompress, sufdedup, toxicity
+from branchbook.llm import decontam, langid, mcdrules, minhash, packing, puquality, recompress, sufdedup, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +57,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_mcd_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mcdrules.judged(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
