@@ -232,9 +232,14 @@ def _marks_by_doc(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(doc[cut[:-1]]), pa.array([pairs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], schema=_PER_DOC)
 
 
+def marks_by_document(marks: DataFrame) -> DataFrame:
+    """(doc_id, spans): one row per marked document, from rows of MARK_SCHEMA."""
+    return marks.groupBy("part").applyInArrow(_marks_by_doc, "doc_id bigint, spans binary")
+
+
 def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """(doc_id, text, marks): every document with the stretches marked in it, from rows of MARK_SCHEMA."""
-    per = marks.groupBy("part").applyInArrow(_marks_by_doc, "doc_id bigint, spans binary").withColumnRenamed("doc_id", "__doc")
+    per = marks_by_document(marks).withColumnRenamed("doc_id", "__doc")
     return docs.join(per, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("__doc"), "left").select("doc_id", "text", "spans")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from branchbook.llm import decontam, langid, mcdrules, minhash, packing, puquality, recompress, sufdedup, toxicity
+from branchbook.llm import decontam, langid, mcdrules, minhash, packing, puquality, recompress, sufdedup, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +68,47 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op4_warc"] = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+q as (select page_id, octet_length(encode(h))::bigint as payload_bytes, sha256(h) as payload_digest from p),
+r as (select *, min(page_id) over (partition by payload_digest) as least from q)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id > least then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id > least then least end as refers_to
+from r
+"""
+ORACLE["op1_decontamination"] = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bw as (select distinct item_id, least(10, len(w)) as k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') as g
+       from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from b where len(w) > 0)),
+dw as (select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') as g
+       from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from d, (select distinct k from bw) where len(w) >= k)),
+hit as (select doc_id, item_id, i, dw.k from dw join bw on dw.g = bw.g and dw.k = bw.k),
+words as (select doc_id, count(distinct p)::bigint as n_hit from (select distinct doc_id, unnest(range(i, i + k)) as p from hit) group by doc_id),
+items as (select doc_id, count(*)::bigint as n_items, string_agg(s, ',' order by s) as l from (select distinct doc_id, item_id::varchar as s from hit) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(l, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (doc_id) left join items using (doc_id)
+"""
+ORACLE["op6_recompression"] = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select doc_id, i, array_to_string(w[i:i + 12], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from d where len(w) >= 13)),
+f as (select g, min(doc_id) as least from g group by g),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as p from g join f using (g) where doc_id > least),
+w as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from d),
+k as (select w.doc_id, count(*)::bigint as n_words, count(gone.p)::bigint as n_removed,
+             coalesce(string_agg(word, ' ' order by w.p) filter (where gone.p is null), '') as kept
+      from w left join gone on gone.doc_id = w.doc_id and gone.p = w.p group by w.doc_id)
+select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join k using (doc_id)
+"""

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import (
-    BYTE_NAMES, MARK_SCHEMA, NO_ID, U64, Rolling, chunks, covered, from_low_bytes, low_bytes, mark_table, mix,
+    BYTE_NAMES, MARK_SCHEMA, NO_ID, U64, Rolling, chunks, covered, from_low_bytes, low_bytes, mark_table, marks_by_document, mix,
     packed_ids, parts, runs, stored, text_buffer, unpacked_ids, with_marks,
 )
 
@@ -320,3 +320,40 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     """One row per document row: bytes, bytes and runs removed, the kept bytes and their hash."""
     src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return with_marks(src, repeated_spans(src, length)).mapInArrow(_kept, OUT_SCHEMA)
+
+
+def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with repeated strings taken out of their texts, other columns unchanged.
+
+    A removed run is narrowed to whole characters, so the text stays valid; ``n_chars``
+    follows the text where the documents have it. Null texts stay null.
+    """
+    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    marks = marks_by_document(repeated_spans(src, length))
+    names, schema = docs.columns, docs.schema
+    at = names.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offs = text_buffer(batch.column(at))
+            old, blobs = batch.column(at), batch.column(batch.num_columns - 1).to_pylist()
+            texts = []
+            for d, blob in enumerate(blobs):
+                if not blob:
+                    texts.append(old[d].as_py())
+                    continue
+                data = raw[int(offs[d]) : int(offs[d + 1])]
+                gone = covered(blob, len(data))
+                head = np.flatnonzero((data & 0xC0) != 0x80)  # characters go whole or stay
+                whole = np.logical_and.reduceat(gone, head) if len(head) else np.zeros(0, dtype=bool)
+                kept = data[~np.repeat(whole, np.diff(np.append(head, len(data))))]
+                texts.append(kept.tobytes().decode())
+            cols = list(batch.columns[:-1])
+            cols[at] = pa.array(texts, cols[at].type)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    key, blob = "__marked_doc", "__marks"
+    per = marks.select(F.col("doc_id").alias(key), F.col("spans").alias(blob))
+    joined = docs.join(per, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col(key), "left").drop(key)
+    out = joined.mapInArrow(cut, schema)
+    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out
