@@ -59,7 +59,7 @@ def op8_mcd_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mcdrules.judged(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+def rank_file(name: str = "byte_bpe_50k.tiktoken") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -67,7 +67,7 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+    return packing.pack(table(spark, sf_dir, "documents"), rank_file())
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from branchbook.llm import decontam, minhash, packing, sufdedup, toxicity
 from branchbook.llm.common import stored
-from branchbook.llm.queries import table, tokenizer_file
+from branchbook.llm.queries import rank_file, table
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 1024 tokens."""
-    return packing.pack(docs, tokenizer_file())
+    return packing.pack(docs, rank_file())
 
 
 STAGES = [

@@ -117,8 +117,8 @@ def test_packing(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    tok = Tokenizer.from_file(path)
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     tok.encode_special_tokens = True
     rows = [*docs, (500, "a \n b\n\nc  d\t e it's  'S x\x1cy z\x85 q   "), (501, "<|endoftext|> hi"), (502, docs[13][1])]
     pieces = packing.pack(frame(spark, rows), path).toPandas()
