@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.operators.joins import checked_broadcast
-from branchbook.operators.quality import dedup_keyed
 
 # Fixed values of the slowly changing dimensions.
 OPEN_END = _dt.date(9999, 12, 31)
@@ -100,9 +99,9 @@ def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: l
                  only_if_changed: bool = True) -> DataFrame:
     """Keyed upsert of staged facts into the months they touch.
 
-    Staged rows are first reduced to one per key (earliest by the remaining
-    columns, the keyed-dedup rule). Keys match null-safe (``<=>``) so reloads
-    stay idempotent with a null category. Matched rows take the staged summa,
+    Staged rows are first reduced to one per key (least by the remaining
+    columns); grouping takes null keys as equal, as the null-safe match (``<=>``)
+    after it does, so reloads stay idempotent with a null category. Matched rows take the staged summa,
     cnt and the load time (only where summa differs when ``only_if_changed``);
     weight and period keep the stored value. Unmatched staged rows are inserted.
     Returns the new content of the touched month partitions only.
@@ -113,7 +112,7 @@ def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: l
     cannot split.
     """
     rest = [c for c in staged.columns if c not in key]
-    s = dedup_keyed(staged, key, rest)
+    s = staged.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__r")).select(*key, "__r.*").select(*staged.columns)
     months = s.select("period_idx").distinct()
     t = target.join(F.broadcast(months), "period_idx", "left_semi")  # month count: small
     ss = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns], F.lit(1).alias("s__m"))

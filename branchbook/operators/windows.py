@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from branchbook.session import scratch_dir
+
 
 def prior_period(value: str, keys: list[str], idx: str = "period_idx") -> Column:
     """Value of the calendar month before (idx - 1) in the same keys; null across a gap.
@@ -38,14 +40,17 @@ def running_total(df: DataFrame, value: str, order: list[Column], out: str = "ru
                   partitions: int | None = None) -> DataFrame:
     """W6 for frames of any size: ROWS running sum in a total order.
 
-    1. range-partition by the order (each task holds one contiguous slice),
+    1. range-partition by the order (each task holds one contiguous slice) and
+       checkpoint the rows with their slice, as both later steps must see the
+       same slices,
     2. sum each slice (one row per partition) and turn those into offsets with
        a window over the partition ids (a few hundred rows),
     3. running sum inside each slice plus the broadcast offset.
     The order must be total (end it with a unique key) for a stable result.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id())
+    scratch_dir(df.sparkSession)  # makes sure a checkpoint folder is set
+    r = df.repartitionByRange(n, *order).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
     sums = r.groupBy("__pid").agg(F.sum(value).alias("__psum"))
     offs = sums.select(
         "__pid", F.sum("__psum").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)).alias("__off")

@@ -77,6 +77,8 @@ def scratch_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if conf_dir:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="branchbook-scratch-")

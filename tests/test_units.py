@@ -158,3 +158,14 @@ def test_feature_columns_present(spark):
     scaled = fe.standardise(out, ["revenue", "operations_count"])
     assert {"revenue_scaled", "operations_count_scaled"} <= set(scaled.columns)
     assert scaled.count() == c.count()
+
+
+def test_running_total_with_further_columns(spark):
+    """The slices of both steps are the same rows whatever columns travel along."""
+    df = spark.range(20000).selectExpr("id as k", "cast(pmod(id * 7919, 1009) as bigint) as v", "concat('n', id) as name", "id % 3 as c").repartition(7)
+    rows = running_total(df, "v", [F.desc("v"), F.asc("k")], partitions=6).collect()
+    rows.sort(key=lambda r: (-r["v"], r["k"]))
+    total = 0
+    for r in rows:
+        total += r["v"]
+        assert r["running"] == total

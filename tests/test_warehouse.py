@@ -98,3 +98,16 @@ def test_incremental_stream_rerun_changes_nothing(spark):
     after_one = _rows(spark.read.parquet(fact_path))
     run_incremental(spark, f"{root}/landing/a", fact_path, f"{root}/ck", now, stg.schema)  # nothing new
     assert _rows(spark.read.parquet(fact_path)) == after_one
+
+
+def test_upsert_with_null_keys_twice_equals_once(spark):
+    """Two staged rows of one key with a null category do not multiply on reloads."""
+    s = star(spark, SMALL)
+    now = load_time(spark, SMALL)
+    stg = fx.stg_operations(s, fx.last_months(s, 1)).withColumn("sender_category", F.lit(None).cast("string"))
+    stg = stg.unionByName(stg.withColumn("cnt", F.col("cnt") + 1))
+    target = loaded_fact(spark, SMALL)
+    once = wh.upsert_facts(target, stg, now)
+    rest = target.join(once.select("period_idx").distinct(), "period_idx", "left_anti")
+    twice = wh.upsert_facts(rest.unionByName(once), stg, now)
+    assert _rows(once) == _rows(twice)
