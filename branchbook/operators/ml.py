@@ -1,12 +1,12 @@
 """Machine learning jobs.
 
 * Isolation forest (Liu, Ting and Zhou, ICDM 2008) has no Spark ML class. The
-  tree samples are drawn on Spark (a distributed top-k by a seeded row hash),
-  each tree is grown by ``applyInPandas`` on its 256 rows, the node table (at
-  most trees x 511 rows: a proven bound) is broadcast, and all rows are scored
-  by ``mapInPandas`` with numpy over Arrow batches.
-* K-means and the random forest are Spark ML; inputs are small (branches x
-  months) and cached for the repeated fits, then released.
+  tree samples are drawn on Spark (seeded hashes of row copies), each tree is
+  grown by ``applyInPandas`` on its 256 rows, the node table (at most trees x
+  511 rows: a proven bound) is broadcast, and all rows are scored by a pandas
+  UDF over the feature columns.
+* K-means and the random forest are Spark ML; inputs are branches x months,
+  cached for the repeated fits, then released.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ SEED = 42
 N_CLUSTERS = 3
 N_STARTS = 10
 RF_TREES = 100
-RF_MAX_DEPTH = 8  # Spark caps depth at 30; 8 keeps 6 fits in seconds (see README)
+RF_MAX_DEPTH = 30  # the most Spark allows
+POOL_FACTOR = 4  # isolation forest: rows in the common pool, in multiples of trees x sample
 # Training knobs that change speed, not the model: cache node ids per row and let
 # one pass over the data split more nodes at a time.
 RF_SPEED = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
@@ -76,27 +77,59 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple[int
 NODE_SCHEMA = "tree int, node int, feat int, thr double, left int, right int, size int"
 
 
+def _tree_samples(x: DataFrame, fcols: list[str], id_cols: list[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
+    """(fcols, tree): ``psi`` of the ``n`` rows for each tree, drawn uniformly and independently of order and partitions.
+
+    Equal rows are counted first (map-side), so a row value that many rows share costs
+    one row and enters by its number of copies, not as a block. Every copy joins a
+    common pool of about POOL_FACTOR x trees x psi rows with the same chance; from the
+    pool, each tree takes the psi copies of least hash.
+    """
+    share = min(1.0, POOL_FACTOR * n_trees * psi / n)
+    counted = x.groupBy(F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed)).alias("h"), *fcols).agg(F.count(F.lit(1)).alias("c"))
+
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            h, c = pdf["h"].to_numpy().view(np.uint64), pdf["c"].to_numpy()
+            kept = c if share >= 1.0 else ((h >> np.uint64(11)) * 2.0**-53 < share).astype(int)
+            if share < 1.0:
+                for i in np.flatnonzero(c > 1):
+                    kept[i] = np.random.default_rng([seed, int(h[i])]).binomial(c[i], share)
+            out = pdf.loc[pdf.index.repeat(kept), ["h", *fcols]]
+            yield out.assign(copy=out.groupby(level=0).cumcount())
+
+    schema = "h bigint, " + ", ".join(f"{c} double" for c in fcols) + ", copy bigint"
+    pool = counted.mapInPandas(thin, schema).checkpoint(eager=True)  # bounded by the pool size
+    part = min(1.0, (2 * psi + 64) / max(pool.count(), 1))  # the least psi hashes lie below twice their expected place
+    dealt = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))).withColumn("g", F.xxhash64("h", "copy", "tree", F.lit(seed)))
+    dealt = dealt.filter(F.col("g") <= F.lit(min(2**63 - 1, int(-(2**63) + part * 2**64))))
+    order = Window.partitionBy("tree").orderBy("g", "h", "copy")
+    return dealt.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= psi).select(*fcols, "tree")
+
+
 def isolation_forest(df: DataFrame, features: list[str], n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
                      contamination: float = CONTAMINATION, seed: int = SEED, id_cols: list[str] | None = None
                      ) -> DataFrame:
     """M5: adds ``iso_score`` (higher = more anomalous) and ``anomaly_iso`` (-1 anomaly, 1 normal).
 
-    Each tree gets ``sample_size`` rows: rows are ranked by a seeded hash of
-    their identity and the first trees x sample_size are dealt out to trees
-    (disjoint uniform subsamples). Nulls in features count as 0. The threshold
-    is the (1 - contamination) quantile of the score, exact.
+    Each tree draws min(``sample_size``, rows) rows without replacement, on its
+    own, by a hash of row copy and tree (see ``_tree_samples``). Nulls in features
+    count as 0. The threshold is the (1 - contamination) quantile of the score,
+    exact. An empty table stays empty.
     """
     from branchbook.operators.quantiles import exact_quantiles
+    from branchbook.session import scratch_dir
 
     spark = df.sparkSession
-    id_cols = id_cols or df.columns
+    scratch_dir(spark)  # makes sure a checkpoint folder is set
     x = df.withColumns({f"__f{i}": F.coalesce(dbl(c), F.lit(0.0)) for i, c in enumerate(features)})
     fcols = [f"__f{i}" for i in range(len(features))]
-    h = F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))
-    picked = x.select(*fcols, h.alias("__h")).orderBy("__h").limit(n_trees * sample_size)  # distributed top-k
-    picked = picked.withColumn("tree", ((F.row_number().over(Window.orderBy("__h")) - 1) / sample_size).cast("int"))
-    psi = min(sample_size, picked.count() // max(n_trees, 1) or 1)
+    n = df.count()
+    if n == 0:
+        return df.withColumn("iso_score", F.lit(None).cast("double")).withColumn("anomaly_iso", F.lit(1))
+    psi = min(sample_size, n)
     limit = int(math.ceil(math.log2(max(psi, 2))))
+    picked = _tree_samples(x, fcols, id_cols or df.columns, n, n_trees, psi, seed)
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
@@ -118,39 +151,32 @@ def isolation_forest(df: DataFrame, features: list[str], n_trees: int = N_TREES,
             arr[k][ti, sub["node"].to_numpy()] = sub[k].to_numpy()
     bc = spark.sparkContext.broadcast({k: v for k, v in arr.items()})
     c_psi = float(avg_path_length(np.array([psi]))[0])
-    n_fc = len(fcols)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def score(f: pd.DataFrame) -> pd.Series:
         a = bc.value
         feat, thr, left, right, size = a["feat"], a["thr"], a["left"], a["right"], a["size"]
-        for pdf in batches:
-            xs = pdf[fcols].to_numpy(dtype=float) if n_fc else np.zeros((len(pdf), 0))
-            total = np.zeros(len(pdf))
-            rows = np.arange(len(pdf))
-            for ti in range(feat.shape[0]):
-                node = np.zeros(len(pdf), dtype=int)
-                depth = np.zeros(len(pdf))
-                for _ in range(limit + 1):
-                    f = feat[ti, node]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    go_left = xs[rows, np.maximum(f, 0)] < thr[ti, node]
-                    nxt = np.where(go_left, left[ti, node], right[ti, node])
-                    node = np.where(inner, nxt, node)
-                    depth = depth + inner
-                total += depth + avg_path_length(size[ti, node])
-            mean_h = total / max(feat.shape[0], 1)
-            out = pdf.drop(columns=fcols)
-            out["iso_score"] = np.power(2.0, -mean_h / c_psi) if c_psi > 0 else 0.5
-            yield out
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in x.drop(*fcols).dtypes) + ", iso_score double"
-    from branchbook.session import scratch_dir
+        xs = f.to_numpy(dtype=float)
+        total = np.zeros(len(f))
+        rows = np.arange(len(f))
+        for ti in range(feat.shape[0]):
+            node = np.zeros(len(f), dtype=int)
+            depth = np.zeros(len(f))
+            for _ in range(limit + 1):
+                at = feat[ti, node].astype(int)
+                inner = at >= 0
+                if not inner.any():
+                    break
+                go_left = xs[rows, np.maximum(at, 0)] < thr[ti, node]
+                nxt = np.where(go_left, left[ti, node], right[ti, node]).astype(int)
+                node = np.where(inner, nxt, node)
+                depth = depth + inner
+            total += depth + avg_path_length(size[ti, node])
+        mean_h = total / feat.shape[0]
+        return pd.Series(np.power(2.0, -mean_h / c_psi) if c_psi > 0 else np.full(len(f), 0.5))
 
-    scratch_dir(spark)  # makes sure a checkpoint folder is set
     # scored once: the quantile passes and the caller reread a checkpoint, not the forest
-    scored = x.mapInPandas(score, schema).checkpoint(eager=True)
+    scored = x.withColumn("iso_score", score(F.struct(*fcols))).drop(*fcols).checkpoint(eager=True)
     thr_v = exact_quantiles(scored, "iso_score", [1.0 - contamination])[0]
     return scored.withColumn("anomaly_iso", F.when(F.col("iso_score") > F.lit(thr_v), F.lit(-1)).otherwise(F.lit(1)))
 
@@ -217,7 +243,7 @@ def kmeans_branches(vec: DataFrame, key: str = "filial_name", k: int = N_CLUSTER
         k = max(2, n - 1)
     data = standardise_vectors(vec).select(
         key, F.aggregate("x", F.lit(0.0), lambda a, v: a + v).alias("__tot"), array_to_vector("z").alias("features")
-    ).orderBy(key).coalesce(1).cache()
+    ).orderBy(key).cache()
     data.count()  # materialise once before the concurrent fits read it
 
     def fit(s: int):
@@ -252,16 +278,19 @@ def cluster_stats(fact_named: DataFrame, labels: DataFrame, key: str = "filial_n
 def cv_folds(frame: DataFrame, id_cols: list[str], seed: int = SEED) -> tuple[DataFrame, int, str]:
     """Fold ids. n < 10: leave-one-out; else shuffled K-fold, k = min(5, n).
 
-    The shuffle is a seeded hash order; the frame is one row per branch-month.
+    The shuffle is a seeded hash order, ranked by a partitioned running total.
     """
+    from branchbook.operators.windows import running_total
+
     n = frame.count()
     if n < 10:
         k, name = n, "LeaveOneOut"
     else:
         k = min(5, n)
         name = f"KFold(n_splits={k})"
-    w = Window.orderBy(F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed)), *id_cols)  # branch-months: small
-    return frame.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int")), k, name
+    order = [F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed)), *[F.col(c) for c in id_cols]]
+    ranked = running_total(frame.withColumn("__one", F.lit(1)), "__one", order, out="__rank")
+    return ranked.withColumn("fold", ((F.col("__rank") - 1) % k).cast("int")).drop("__one", "__rank"), k, name
 
 
 def rf_cross_validate(frame: DataFrame, features: list[str], label: str, id_cols: list[str],
@@ -278,7 +307,7 @@ def rf_cross_validate(frame: DataFrame, features: list[str], label: str, id_cols
     folded, k, name = cv_folds(frame, id_cols, seed)
     data = VectorAssembler(inputCols=features, outputCol="features").transform(
         folded.select(*features, F.col(label).cast("double").alias("label"), "fold")
-    ).coalesce(1).cache()
+    ).cache()
     from concurrent.futures import ThreadPoolExecutor
 
     def run_fold(f: int) -> dict:
@@ -320,7 +349,7 @@ def rf_importances(frame: DataFrame, features: list[str], label: str, max_depth:
 
     data = VectorAssembler(inputCols=features, outputCol="features").transform(
         frame.select(*features, F.col(label).cast("double").alias("label"))
-    ).coalesce(1)
+    )
     model = RandomForestRegressor(numTrees=trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="all",
                                   **RF_SPEED).fit(data)
     imp = model.featureImportances.toArray()

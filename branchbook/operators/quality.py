@@ -210,23 +210,24 @@ def preload_checks(raw: DataFrame, min_rows: int = MIN_EXPECTED_ROWS, max_dup_pc
     """V9: the gate before staging, as a checks table (check, value, threshold, severity, passed).
 
     One aggregate over the file plus the duplicate count; ``assert_checks``
-    raises on failed ``error`` rows.
+    raises on failed ``error`` rows. A check that needs an absent column has a
+    null value and fails.
     """
     present = set(raw.columns)
     missing_cols = len([c for c in REQUIRED_RAW_COLUMNS if c not in present])
-    key_nulls = sum(F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)) for c in KEY_RAW_COLUMNS if c in present)
-    a = raw.agg(
-        F.count(F.lit(1)).alias("rows"),
-        key_nulls.alias("key_nulls"),
-        F.sum(F.when(F.col("SUMMA") < 0, 1).otherwise(0)).alias("negative_summa"),
-    )
+    unknown = F.lit(None).cast("bigint")
+    key_nulls = unknown
+    if present.issuperset(KEY_RAW_COLUMNS):
+        key_nulls = sum((F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)) for c in KEY_RAW_COLUMNS), F.lit(0))
+    negative = F.sum(F.when(F.col("SUMMA") < 0, 1).otherwise(0)) if "SUMMA" in present else unknown
+    a = raw.agg(F.count(F.lit(1)).alias("rows"), key_nulls.alias("key_nulls"), negative.alias("negative_summa"))
     d = one_row(duplicate_stats(raw))
     j = a.withColumn("duplicate_pct", d["duplicate_pct"])
     checks = f"""stack(5,
         'row_count', cast(rows as double), cast({min_rows} as double), 'error', rows >= {min_rows},
         'missing_columns', cast({missing_cols} as double), 0D, 'error', {missing_cols} = 0,
-        'key_nulls', cast(key_nulls as double), 0D, 'error', key_nulls = 0,
-        'negative_summa', cast(negative_summa as double), 0D, 'error', negative_summa = 0,
+        'key_nulls', cast(key_nulls as double), 0D, 'error', coalesce(key_nulls = 0, false),
+        'negative_summa', cast(negative_summa as double), 0D, 'error', coalesce(negative_summa = 0, false),
         'duplicate_pct', duplicate_pct, cast({max_dup_pct} as double), 'warning', duplicate_pct <= {max_dup_pct}
     ) as (check_name, value, threshold, severity, passed)"""
     return j.selectExpr(checks)

@@ -6,8 +6,10 @@ the target ranks are bracketed instead: ``approxQuantile`` (Greenwald-Khanna,
 rank error <= eps * m) gives two values that must enclose the wanted ranks, one
 aggregate counts what falls below and inside, and the bracket shrinks by about
 1 / (4 eps) per pass. Once at most ``max_collect`` values remain in the bracket
-they are fetched sorted and the exact order statistics are read off. Each pass
-is one distributed scan; the driver never holds more than ``max_collect`` values.
+they are fetched sorted and the exact order statistics are read off; if passes can't
+bring it down to that, a partitioned running total of the value counts finds the rows
+of the wanted ranks on the executors. Each pass is one distributed scan; the driver
+never holds more than ``max_collect`` values.
 """
 
 from __future__ import annotations
@@ -43,8 +45,8 @@ def _order_stats(x: DataFrame, ranks: list[int], n: int, max_collect: int) -> di
         cur = cur.filter((F.col("x") >= a) & (F.col("x") <= b))
     # value counts of what is left: ties collapse, so a hot value costs one row
     vc = cur.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    if m > max_collect and vc.count() > max_collect:
-        raise RuntimeError(f"quantile bracket stuck at {m} rows with more than {max_collect} distinct values")
+    if m > max_collect and vc.limit(max_collect + 1).count() > max_collect:
+        return _picked(vc, ranks, below)
     cum = below
     for v, c in vc.orderBy("x").collect():
         for r in ranks:
@@ -54,6 +56,18 @@ def _order_stats(x: DataFrame, ranks: list[int], n: int, max_collect: int) -> di
     return out
 
 
+def _picked(vc: DataFrame, ranks: list[int], below: int) -> dict[int, float]:
+    """Values at the ranks from value counts of any number: at most one row per rank reaches the driver."""
+    from branchbook.operators.windows import running_total
+
+    cum = running_total(vc, "c", [F.asc("x")], out="cum")
+    wanted = F.lit(False)
+    for r in ranks:
+        wanted = wanted | ((F.col("cum") > r - below) & (F.col("cum") - F.col("c") <= r - below))
+    rows = cum.filter(wanted).select("x", "c", "cum").collect()
+    return {r: float(v) for r in ranks for v, c, s in rows if s - c <= r - below < s}
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], max_collect: int = MAX_COLLECT) -> list[float | None]:
     """Linear-interpolated quantiles (pandas / ``quantile_cont``) of a numeric column."""
     from pyspark import StorageLevel

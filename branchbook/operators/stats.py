@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, rnd
@@ -33,9 +33,12 @@ def pearson_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float
     return [(a, b, row[f"{a}__{b}"]) for a, b in pairs]
 
 
-def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
+def average_ranks(df: DataFrame, col: str, out: str, among: Column | None = None) -> DataFrame:
     """1-based rank of ``col`` with ties sharing their mean rank, attached to every row.
 
+    Null values have a null rank. ``among`` limits the rows that are ranked; the
+    rank attached to other rows has no meaning.
+
     Distinct values are counted first (a value held by a third of the rows
     collapses to one row map-side); their running count comes from the
     partitioned running total; the (value -> rank) table is joined back on the
@@ -44,19 +47,34 @@ def average_ranks(df: DataFrame, col: str, out: str) -> DataFrame:
     from branchbook.operators.joins import checked_broadcast
     from branchbook.operators.windows import running_total
 
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
+    ranked = df.filter(F.col(col).isNotNull() if among is None else F.col(col).isNotNull() & among)
+    vc = ranked.groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
     cum = running_total(vc, "__c", [F.asc(col)], out="__cum")
     ranks = cum.select(col, (dbl("__cum") - dbl("__c") + (dbl("__c") + F.lit(1.0)) / F.lit(2.0)).alias(out))
-    return df.join(checked_broadcast(ranks), col)
+    return df.join(checked_broadcast(ranks), col, "left")
 
 
 def spearman_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float | None]]:
-    """M2: Spearman rho (average ranks for ties) = Pearson r of the average ranks, one aggregate."""
-    x = df.select(*[dbl(c).alias(c) for c in cols]).dropna()
-    for c in cols:
-        x = average_ranks(x, c, f"__r_{c}")
+    """M2: Spearman rho (average ranks for ties) = Pearson r of the average ranks, one aggregate.
+
+    Rows with a null are left out pair by pair: a column is ranked among the rows
+    where its partner is present. Partners without a null beside a value of the
+    column leave all its rows, so one ranking serves all of those pairs.
+    """
+    x = df.select(*[dbl(c).alias(c) for c in cols])
     pairs = list(combinations(cols, 2))
-    row = x.agg(*[F.corr(f"__r_{a}", f"__r_{b}").alias(f"{a}__{b}") for a, b in pairs]).first()
+    both_ways = [p for a, b in pairs for p in ((a, b), (b, a))]
+    gaps = x.agg(*[F.count_if(F.col(a).isNotNull() & F.col(b).isNull()).alias(f"{a}__{b}") for a, b in both_ways]).first()
+    names: dict[tuple[str, str], str] = {}
+    for a, b in both_ways:
+        name = f"__r_{a}__{b}" if gaps[f"{a}__{b}"] else f"__r_{a}"
+        if name not in names.values():
+            x = average_ranks(x, a, name, F.col(b).isNotNull() if gaps[f"{a}__{b}"] else None)
+        names[a, b] = name
+    both = [F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs]
+    row = x.agg(*[
+        F.corr(F.when(ok, F.col(names[a, b])), F.when(ok, F.col(names[b, a]))).alias(f"{a}__{b}") for ok, (a, b) in zip(both, pairs)
+    ]).first()
     return [(a, b, row[f"{a}__{b}"]) for a, b in pairs]
 
 

@@ -196,9 +196,14 @@ def q_waterfall(spark, sf_dir):
 
 
 @register("matrix_branch_product", "D3 A9", with_ctes("""
-pivot (select f.filial_id, d.product, f.summa as revenue
-       from fact_operations f join dim_products d on f.inc_gk = d.inc_gk)
-on product using coalesce(cast(sum(revenue) as double), 0) group by filial_id
+select f.filial_id,
+  coalesce(cast(sum(case when d.product = 'ECONOMY' then f.summa end) as double), 0) as "ECONOMY",
+  coalesce(cast(sum(case when d.product = 'LARGE' then f.summa end) as double), 0) as "LARGE",
+  coalesce(cast(sum(case when d.product = 'MEDIUM' then f.summa end) as double), 0) as "MEDIUM",
+  coalesce(cast(sum(case when d.product = 'PROMO' then f.summa end) as double), 0) as "PROMO",
+  coalesce(cast(sum(case when d.product = 'SMALL' then f.summa end) as double), 0) as "SMALL",
+  coalesce(cast(sum(case when d.product = 'STANDARD' then f.summa end) as double), 0) as "STANDARD"
+from fact_operations f join dim_products d on f.inc_gk = d.inc_gk group by f.filial_id
 """, "fact_operations", "dim_products"))
 def q_matrix_branch_product(spark, sf_dir):
     s = star(spark, sf_dir)

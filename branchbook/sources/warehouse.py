@@ -71,11 +71,17 @@ def with_ingest_order(scan: DataFrame) -> DataFrame:
 def stage(df: DataFrame, path: str) -> dict[str, int]:
     """S3: exact dedup and full refresh of a staging folder; returns row counts
     before and after, observed in the write job itself. Ingest-order columns are
-    not part of the row for the dedup."""
+    not part of the row for the dedup; the earliest copy's are kept."""
     before, after = Observation("before"), Observation("after")
     obs_in = df.observe(before, F.count(F.lit(1)).alias("rows"))
     data_cols = [c for c in df.columns if c not in INGEST_COLUMNS]
-    out = obs_in.dropDuplicates(data_cols).observe(after, F.count(F.lit(1)).alias("rows"))
+    order_cols = [c for c in INGEST_COLUMNS if c in df.columns]
+    if order_cols:
+        one = obs_in.groupBy(*data_cols).agg(F.min(F.struct(*order_cols)).alias("__first"))
+        one = one.select(*[F.col(f"__first.{c}").alias(c) if c in order_cols else F.col(c) for c in df.columns])
+    else:
+        one = obs_in.dropDuplicates(data_cols)
+    out = one.observe(after, F.count(F.lit(1)).alias("rows"))
     out.write.mode("overwrite").parquet(path)
     return {"rows_in": int(before.get["rows"]), "rows_staged": int(after.get["rows"])}
 

@@ -82,3 +82,28 @@ def test_analysis_run_returns_every_frame(spark):
     m = out["model_metrics"].first()
     assert m.n_samples > 0 and m.cv_method.startswith(("KFold", "LeaveOneOut"))
     assert out["profile"].first().total_rows > 0
+
+
+def _tree_rows(df, n, trees=100):
+    x = df.select("id", F.col("SUMMA").alias("__f0"))
+    got = ml._tree_samples(x, ["__f0"], ["__f0"], n, trees, min(256, n), 42).groupBy("tree").count().collect()
+    return [r["count"] for r in got]
+
+
+def test_isolation_forest_every_tree_draws_its_own_sample_at_every_size(spark):
+    for n in (100, 500, 6000, 60_000):
+        df = spark.range(n).select("id", F.rand(3).alias("SUMMA"))
+        assert _tree_rows(df, n) == [min(256, n)] * 100
+
+
+def test_isolation_forest_samples_copies_in_proportion(spark):
+    n = 150_000  # beyond the pool; a third of the rows are equal
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1.0)).otherwise(F.col("id").cast("double")).alias("__f0"))
+    got = ml._tree_samples(df, ["__f0"], ["__f0"], n, 100, 256, 42).agg(F.avg((F.col("__f0") == -1.0).cast("int"))).first()[0]
+    assert abs(got - 1 / 3) < 0.02
+
+
+def test_isolation_forest_of_an_empty_table_is_empty(spark):
+    df = spark.createDataFrame([], "id int, SUMMA double, CNT double")
+    out = ml.isolation_forest(df, ["SUMMA", "CNT"], id_cols=["id"])
+    assert out.count() == 0 and out.columns == ["id", "SUMMA", "CNT", "iso_score", "anomaly_iso"]

@@ -55,3 +55,16 @@ def test_trend_summary_statuses(spark):
     assert got["A"].status == "rolling_trend_only" and got["B"].status == "skipped"
     # n = 3 -> window 2: start = first value, end = mean of the last two
     assert got["A"].trend_start == 10.0 and got["A"].trend_end == 11.5
+
+
+def test_spearman_leaves_nulls_out_pair_by_pair(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({"a": rng.integers(0, 20, 300).astype(float), "b": rng.normal(size=300), "c": rng.integers(0, 5, 300).astype(float)})
+    frame.loc[::7, "b"] = None
+    frame.loc[3::11, "c"] = None
+    df = spark.createDataFrame([tuple(None if pd.isna(v) else float(v) for v in r) for r in frame.itertuples(index=False)], "a double, b double, c double")
+    for x, y, r in st.spearman_pairs(df, ["a", "b", "c"]):
+        both = frame[[x, y]].dropna().rank()
+        assert abs(r - both[x].corr(both[y])) < 1e-9

@@ -169,3 +169,32 @@ def test_running_total_with_further_columns(spark):
     for r in rows:
         total += r["v"]
         assert r["running"] == total
+
+
+def test_order_statistics_beyond_the_fetch_limit(spark):
+    from branchbook.operators.quantiles import _order_stats
+
+    df = spark.createDataFrame([(float(v % 700),) for v in range(2000)], "x double")
+    ranks = [0, 3, 999, 1000, 1999]
+    got = _order_stats(df, ranks, 2000, 0)
+    expect = sorted(float(v % 700) for v in range(2000))
+    assert got == {r: expect[r] for r in ranks}
+
+
+def test_preload_checks_report_missing_columns(spark):
+    from branchbook.operators.quality import preload_checks
+
+    df = spark.createDataFrame([("a", 1)], "FILIAL string, other int")
+    got = {r.check_name: r for r in preload_checks(df).collect()}
+    assert got["missing_columns"].value > 0 and not got["missing_columns"].passed
+    assert got["key_nulls"].passed is False and got["negative_summa"].passed is False
+
+
+def test_stage_keeps_the_earliest_copy(spark, tmp_path):
+    from branchbook.sources.warehouse import stage
+
+    rows = [("k", 1, f"f{i % 5}", 0, i) for i in range(200)] + [("z", 2, "f9", 0, 7)]
+    df = spark.createDataFrame(rows, "key string, v int, ingest_file string, ingest_block bigint, ingest_seq bigint").repartition(6)
+    assert stage(df, str(tmp_path / "s")) == {"rows_in": 201, "rows_staged": 2}
+    got = {r.key: (r.ingest_file, r.ingest_seq) for r in spark.read.parquet(str(tmp_path / "s")).collect()}
+    assert got == {"k": ("f0", 0), "z": ("f9", 7)}
