@@ -40,7 +40,7 @@ def enrich_left(fact: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFr
 
     SQL semantics: a null key never matches. The dimension goes through the
     checked broadcast; it is expected to be unique on its key (see
-    ``assert_unique``), otherwise matching facts fan out as in SQL.
+    ``duplicate_keys``), otherwise matching facts fan out as in SQL.
     """
     return fact.join(checked_broadcast(dim), on=key, how="left")
 
