@@ -26,6 +26,12 @@ def period_index(period: Column | str) -> Column:
     return (parts.getItem(0).try_cast("int") * 12 + parts.getItem(1).try_cast("int")).cast("int")
 
 
+def month_number(period: str) -> int:
+    """``period_index`` of one literal."""
+    year, month = period.replace("-", RAW_PERIOD_SEPARATOR).split(RAW_PERIOD_SEPARATOR)[:2]
+    return int(year) * 12 + int(month)
+
+
 def raw_date(text: Column | str) -> Column:
     """``TO_DATE(x, 'DD.MM.YY')`` with the SQL two-digit-year rule.
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, div0
+from branchbook.functions.periods import month_number
 from branchbook.operators.joins import checked_broadcast
 from branchbook.operators.windows import running_total
 
@@ -47,13 +48,15 @@ def top_n_per_group(df: DataFrame, group: str, value: str, n: int, key: str) ->
     return df.withColumn("rank_in_group", F.row_number().over(w)).filter(F.col("rank_in_group") <= n)
 
 
-def influencers(fact_p: DataFrame, factors: list[str], branch: str = "filial_id") -> DataFrame:
+def influencers(fact_p: DataFrame, factors: list[str], branch: str = "filial_id", rows: str | None = None) -> DataFrame:
     """For each factor value, average check in the branch vs the branch's average check.
 
     Facts are first reduced to (branch, factor values) sums, then unpivoted, so
-    the stack multiplies a small frame, not the facts.
+    the stack multiplies a small frame, not the facts. ``rows`` names a column that
+    says how many facts a row stands for, when the facts come summed up already.
     """
-    g = fact_p.groupBy(branch, *factors).agg(F.sum("summa").alias("rev"), F.count(F.lit(1)).alias("n"))
+    n = F.count(F.lit(1)) if rows is None else F.sum(rows)
+    g = fact_p.groupBy(branch, *factors).agg(F.sum("summa").alias("rev"), n.alias("n"))
     stack = ", ".join(f"'{f}', cast(`{f}` as string)" for f in factors)
     long = g.selectExpr(branch, "rev", "n", f"stack({len(factors)}, {stack}) as (factor, factor_value)")
     per = long.groupBy(branch, "factor", "factor_value").agg(F.sum("rev").alias("rev"), F.sum("n").alias("n"))
@@ -76,7 +79,11 @@ def account_pareto(by_account: DataFrame, value: str = "revenue", key: str = "in
 
 @dataclass
 class Slicers:
-    """Optional slicer / bookmark selections; empty fields do not filter."""
+    """Optional slicer / bookmark selections; empty fields do not filter.
+
+    Periods also become a filter on ``period_idx``, which partitions the fact, so
+    that only their months are read.
+    """
 
     periods: list[str] = field(default_factory=list)
     direction: str | None = None
@@ -88,6 +95,8 @@ class Slicers:
         f = fact
         if self.periods:
             f = f.filter(F.col("period").isin(self.periods))
+            if "period_idx" in f.columns:
+                f = f.filter(F.col("period_idx").isin([month_number(p) for p in self.periods]))
         if self.sender_category is not None:
             f = f.filter(F.col("sender_category") == self.sender_category)
         if self.filial_ids:

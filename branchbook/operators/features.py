@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, one_row, rnd
 from branchbook.functions.periods import period_start
-from branchbook.operators.joins import checked_broadcast
 
 # The analysis contract's column names.
 CONTRACT_NAMES = {
@@ -51,6 +50,10 @@ def interaction_features(df: DataFrame, revenue: str = "revenue", period: str =
 
     concentration_ratio = sum over the month's rows of share^2
                         = sum(revenue^2) / total^2, computed exactly in decimal.
+
+    The totals hold one row per month and per branch and month. Their size is bounded by
+    calendar and branch list, not by the facts, so they are broadcast; the size estimate
+    of a grouped frame grows with its input and would send every fact through a shuffle.
     """
     per = df.groupBy(period).agg(
         F.sum(revenue).alias("__tot"),
@@ -62,8 +65,8 @@ def interaction_features(df: DataFrame, revenue: str = "revenue", period: str =
     )
     fm = df.groupBy(branch, period).agg(F.sum(revenue).alias("revenue_per_filial"))
     out = (
-        df.join(checked_broadcast(per), period, "left")
-        .join(checked_broadcast(fm), [branch, period], "left")
+        df.join(F.broadcast(per), period, "left")
+        .join(F.broadcast(fm), [branch, period], "left")
         .withColumn("revenue_share", dbl(revenue) / F.nullif(dbl("__tot"), F.lit(0.0)))
         .drop("__tot")
     )

@@ -26,6 +26,7 @@ Z_LIMIT = 3.0
 # Row contract of a monthly record: YYYY-MM, month with or without a leading zero.
 PERIOD_PATTERN = r"^\d{4}-(0?[1-9]|1[0-2])$"
 RECORD_FIELDS = ("filial_id", "filial_name", "service_type", "period", "revenue", "operations_count", "region")
+NUMERIC_FIELDS = ("filial_id", "revenue", "operations_count")
 PROFILE_QUANTILES = (0.25, 0.5, 0.75)
 
 
@@ -179,7 +180,7 @@ def sorted_periods(period: str = "PERIOD") -> Column:
 
 
 def dataset_profile(raw: DataFrame, approx: bool = False) -> DataFrame:
-    """V8: rows, periods, distinct branches and accounts, SUMMA stats, total blanks.
+    """V8: rows, periods, distinct branches and accounts, SUMMA stats, blanks in total and per column (``missing_<column>``).
 
     ``approx=True`` switches the distinct counts to HyperLogLog++
     (``approx_count_distinct``) and the median to ``percentile_approx``: one pass,
@@ -191,8 +192,8 @@ def dataset_profile(raw: DataFrame, approx: bool = False) -> DataFrame:
     else:
         distinct = F.countDistinct
         median_col = F.lit(exact_quantiles(raw, "SUMMA", [0.5])[0]).cast("double")
-    nulls = sum(F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)) for c in raw.columns)
-    return raw.agg(
+    blanks = [F.count_if(F.col(c).isNull()).alias(f"missing_{c}") for c in raw.columns]
+    profile = raw.agg(
         F.count(F.lit(1)).alias("total_rows"),
         sorted_periods("PERIOD").alias("periods"),
         distinct("FILIAL").alias("unique_filials"),
@@ -201,9 +202,10 @@ def dataset_profile(raw: DataFrame, approx: bool = False) -> DataFrame:
         rnd(F.max(dbl("SUMMA")), 2).alias("summa_max"),
         rnd(F.avg(dbl("SUMMA")), 4).alias("summa_mean"),
         rnd(F.stddev_samp(dbl("SUMMA")), 4).alias("summa_std"),
-        nulls.cast("bigint").alias("missing_cells"),
         rnd(median_col, 4).alias("summa_median"),
+        *blanks,
     )
+    return profile.withColumn("missing_cells", sum((F.col(f"missing_{c}") for c in raw.columns), F.lit(0)).cast("bigint"))
 
 
 def preload_checks(raw: DataFrame, min_rows: int = MIN_EXPECTED_ROWS, max_dup_pct: float = MAX_DUPLICATE_PCT) -> DataFrame:
@@ -269,31 +271,46 @@ def quality_report(records: DataFrame, id_col: str = "rid", sample: int = 5) ->
     rule filter -> z-score outliers on the valid rows. One group-by over all
     columns gives the distinct rows with their multiplicity (total = sum, distinct
     = count); every other statistic reads that same aggregate (one exchange, reused).
+    Blanks are given in total and as ``missing_<column>``; the numeric columns of the
+    valid rows as ``<column>_min``, ``_max``, ``_mean`` and ``_std`` (quantiles:
+    ``numeric_profile``); the first failed rows by id and with their messages.
     """
     g = records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("__n"))
     fields = [c for c in RECORD_FIELDS if c in records.columns]
     types = dict(records.dtypes)
-    blanks = sum(
-        F.sum(F.when(F.col(c).isNull() | (F.isnan(c) if types[c] == "double" else F.lit(False)), 1).otherwise(0))
+    blanks = [
+        F.count_if(F.col(c).isNull() | (F.isnan(c) if types[c] == "double" else F.lit(False))).alias(f"missing_{c}")
         for c in fields
-    )
+    ]
     e = with_errors(g)
     ok = F.size("errors") == 0
+    numeric = []
+    for c in (c for c in NUMERIC_FIELDS if c in fields):
+        x = F.when(ok, dbl(c))
+        numeric += [rnd(fn(x), 6).alias(f"{c}_{k}") for k, fn in
+                    (("min", F.min), ("max", F.max), ("mean", F.avg), ("std", F.stddev_samp))]
     valid = e.filter(ok).drop("errors", "__n")
-    first = e.filter(~ok).select(F.col(id_col)).orderBy(id_col).limit(sample)  # distributed top-k
-    f = one_row(first.agg(
-        F.array_join(F.sort_array(F.collect_list(id_col)).cast("array<string>"), ",").alias("sample")
+    message = F.concat(F.col(id_col).cast("string"), F.lit(": "), F.array_join("errors", ","))
+    # distributed top-k
+    first = e.filter(~ok).select(F.col(id_col).alias("id"), message.alias("message")).orderBy("id", "message").limit(sample)
+    f = one_row(first.agg(F.sort_array(F.collect_list(F.struct("id", "message"))).alias("s")).select(
+        F.array_join(F.col("s.id").cast("array<string>"), ",").alias("sample"),
+        F.array_join(F.col("s.message"), "; ").alias("messages"),
     ))
     o = one_row(zscore_outliers(valid, "revenue").agg(F.count(F.lit(1)).alias("outlier_count")))
     return e.agg(
         F.sum("__n").cast("bigint").alias("total_rows"),
         F.sum(F.when(ok, 1).otherwise(0)).cast("bigint").alias("valid_rows"),
         (F.sum("__n") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"),
-        blanks.cast("bigint").alias("missing_cells"),
         F.sum(F.when(~ok, 1).otherwise(0)).cast("bigint").alias("validation_error_count"),
+        *blanks, *numeric,
     ).select(
-        "total_rows", "valid_rows", "duplicate_rows", "missing_cells",
+        "total_rows", "valid_rows", "duplicate_rows",
+        sum((F.col(f"missing_{c}") for c in fields), F.lit(0)).cast("bigint").alias("missing_cells"),
+        *[f"missing_{c}" for c in fields],
+        *[f"{c}_{k}" for c in NUMERIC_FIELDS if c in fields for k in ("min", "max", "mean", "std")],
         o["outlier_count"].cast("bigint").alias("outlier_count"),
         "validation_error_count",
         f["sample"].alias("validation_errors_sample"),
+        f["messages"].alias("validation_messages_sample"),
     )

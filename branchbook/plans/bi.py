@@ -9,6 +9,7 @@ from branchbook.functions.numeric import dbl, div0, rnd
 from branchbook.operators import dashboards as db
 from branchbook.operators import measures as ms
 from branchbook.operators.joins import checked_broadcast
+from branchbook.operators.ml import branch_matrix
 from branchbook.operators.windows import year_to_date
 from branchbook.plans.catalog import register
 from branchbook.plans.oracle_base import with_ctes
@@ -301,8 +302,9 @@ from per join b on per.filial_id = b.filial_id
 """, "fact_operations", "dim_products"))
 def q_influencers(spark, sf_dir):
     s = star(spark, sf_dir)
-    fp = db.with_product(s.fact(), s.dim_products())
-    r = db.influencers(fp, ["product", "direction", "sender_category"])
+    by_account = s.fact().groupBy("filial_id", "inc_gk", "sender_category").agg(F.sum("summa").alias("summa"), F.count(F.lit(1)).alias("rows"))
+    fp = db.with_product(by_account, s.dim_products())
+    r = db.influencers(fp, ["product", "direction", "sender_category"], rows="rows")
     return r.select("filial_id", "factor", "factor_value", "rows_cnt", ms.round6("avg_check"), ms.round6("lift"))
 
 
@@ -344,6 +346,27 @@ def q_matrix_account_branch(spark, sf_dir):
     return g.select("inc_gk", "filial_id", dbl("rev").alias("revenue"))
 
 
+# The branch codes and calendar months that the matrices below spread over columns.
+BRANCHES = list(range(25))
+MONTHS = [f"{y}_{m}" for y in range(1992, 1999) for m in range(1, 13)]
+
+
+@register("matrix_account_branch_wide", "D14 A9", with_ctes("select inc_gk, " + ", ".join(
+    f"coalesce(cast(sum(case when filial_id = {b} then summa end) as double), 0) as branch_{b}" for b in BRANCHES)
+    + " from fact_operations group by inc_gk", "fact_operations"))
+def q_matrix_account_branch_wide(spark, sf_dir):
+    m = db.pivot_sum(star(spark, sf_dir).fact(), "inc_gk", "filial_id", "summa", BRANCHES)
+    return m.select("inc_gk", *[dbl(F.col(f"`{b}`")).alias(f"branch_{b}") for b in BRANCHES])
+
+
+@register("matrix_branch_period", "A9", with_ctes("select filial_id, " + ", ".join(
+    f"coalesce(cast(sum(case when period = '{p}' then summa end) as double), 0) as \"m_{p}\"" for p in MONTHS)
+    + " from fact_operations group by filial_id", "fact_operations"))
+def q_matrix_branch_period(spark, sf_dir):
+    m = branch_matrix(star(spark, sf_dir).fact(), MONTHS, key="filial_id")
+    return m.select("filial_id", *[F.col(f"`{p}`").alias(f"m_{p}") for p in MONTHS])
+
+
 @register("product_trend", "D15 B9 W2", with_ctes(f"""
 with g as (select d.product, f.period, f.period_idx, sum(f.summa) as rev
            from fact_operations f join dim_products d on f.inc_gk = d.inc_gk group by d.product, f.period, f.period_idx),
@@ -381,6 +404,22 @@ def q_filtered_view(spark, sf_dir):
     return v.groupBy("filial_id", "product", "period").agg(dbl(F.sum("summa")).alias("revenue"))
 
 
+# Bookmark: two months of one product.
+MONTHS_BOOKMARK = db.Slicers(periods=["1995_3", "1996_11"], product="PROMO")
+
+
+@register("filtered_view_months", "P3", with_ctes("""
+select f.filial_id, d.product, f.period, cast(sum(f.summa) as double) as revenue
+from fact_operations f join dim_products d on f.inc_gk = d.inc_gk
+where d.product = 'PROMO' and f.period in ('1995_3', '1996_11')
+group by f.filial_id, d.product, f.period
+""", "fact_operations", "dim_products"))
+def q_filtered_view_months(spark, sf_dir):
+    s = star(spark, sf_dir)
+    v = MONTHS_BOOKMARK.apply(s.fact(), s.dim_products())
+    return v.groupBy("filial_id", "product", "period").agg(dbl(F.sum("summa")).alias("revenue"))
+
+
 @register("row_security", "P4", with_ctes("""
 select g.user_name, f.filial_id, f.period, cast(sum(f.summa) as double) as revenue
 from fact_operations f join user_grants g on f.filial_id = g.filial_id

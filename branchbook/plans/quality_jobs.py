@@ -124,7 +124,8 @@ select cast(count(*) as bigint) as total_rows,
   round(stddev_samp(cast(SUMMA as double)), 4) + 0.0 as summa_std,
   cast(count(*) * 9 - count(DATA) - count(INC_GK) - count(INC_NAME) - count(WEIGHT) - count(CNT) - count(SUMMA)
        - count(FILIAL) - count(PERIOD) - count(SNDRCTG) as bigint) as missing_cells,
-  round(quantile_cont(cast(SUMMA as double), 0.5), 4) + 0.0 as summa_median
+  round(quantile_cont(cast(SUMMA as double), 0.5), 4) + 0.0 as summa_median,
+""" + ", ".join(f"cast(count(*) - count({c}) as bigint) as missing_{c}" for c in _RAW_COLS) + """
 from faulty_operations
 """, "faulty_operations"))
 def q_dataset_profile(spark, sf_dir):
@@ -183,9 +184,14 @@ select (select cast(count(*) as bigint) from faulty_records) as total_rows,
   (select cast(count(*) as bigint) from faulty_records) - (select cast(count(*) as bigint) from dedup_rec) as duplicate_rows,
   (select cast(count(*) * 7 - count(filial_id) - count(filial_name) - count(service_type) - count(period)
           - count(revenue) - count(operations_count) - count(region) as bigint) from dedup_rec) as missing_cells,
+  {', '.join(f'(select cast(count(*) - count({c}) as bigint) from dedup_rec) as missing_{c}' for c in q.RECORD_FIELDS)},
+  {', '.join(f'(select round({fn}(cast({c} as double)), 6) + 0.0 from valid_rec) as {c}_{k}' for c in _PROFILE_COLS
+             for k, fn in (('min', 'min'), ('max', 'max'), ('mean', 'avg'), ('std', 'stddev_samp')))},
   (select cast(count(*) as bigint) from valid_rec, st where abs((coalesce(revenue, 0) - mu) / nullif(sd, 0)) > 3) as outlier_count,
   (select cast(count(*) as bigint) from bad_rec) as validation_error_count,
-  (select string_agg(cast(rid as varchar), ',' order by rid) from (select rid from bad_rec order by rid limit 5)) as validation_errors_sample
+  (select string_agg(cast(rid as varchar), ',' order by rid) from (select rid from bad_rec order by rid limit 5)) as validation_errors_sample,
+  (select string_agg(cast(rid as varchar) || ': ' || errors, '; ' order by rid) from
+     (select rid, errors from bad_rec order by rid limit 5)) as validation_messages_sample
 """, "faulty_records"))
 def q_quality_report(spark, sf_dir):
     return q.quality_report(fx.faulty_records(star(spark, sf_dir)))

@@ -37,6 +37,24 @@ def test_recent_window_prunes_months_and_pushes_the_date(spark):
     assert "GreaterThanOrEqual(operation_date" in text
 
 
+def test_month_slicer_prunes_months(spark):
+    text = plan_text(catalog.QUERIES["filtered_view_months"](spark, MEDIUM))
+    assert "PartitionFilters: [period_idx" in text and f"{1995 * 12 + 3}" in text
+
+
+def test_month_totals_are_broadcast_whatever_the_estimate(spark, monkeypatch):
+    from branchbook.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(catalog.QUERIES["interaction_features"](spark, MEDIUM))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 2
+
+
 def test_fact_scan_reads_only_needed_columns(spark):
     text = plan_text(catalog.QUERIES["rolling_revenue"](spark, MEDIUM))
     scans = [line for line in text.splitlines() if line.startswith("ReadSchema: struct<filial_id")]
