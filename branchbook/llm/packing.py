@@ -16,8 +16,9 @@ sequence its offset. Items are counted at the upper end of their step: that is w
 the little padding comes from, under 8 tokens an item.
 
 Token ids come from the vocabulary as a rank file, which holds the same ids as the
-tokenizer's JSON file and is read several times faster; special strings are ordinary
-text.
+tokenizer's JSON file and is read several times faster. The rank file has no added
+tokens: those are read from the JSON file and go whole to their ids, wherever a text
+holds them. Without a JSON file there are none, and special strings are ordinary text.
 
 Defined cases: a null or empty text is the id 0 alone; equal lengths are ranked by
 doc_id, repeated rows are packed each; an empty table gives no pieces; further columns
@@ -43,37 +44,47 @@ GROUP = 20_000  # documents of a bucket
 
 
 class Encoder:
-    """Token ids of whole texts from a rank file, with the byte-level pattern of its tokenizer."""
+    """Token ids of whole texts from a rank file and the added tokens of its tokenizer's JSON file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: str | None = None):
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        tokens = []
+        if added is not None:
+            with open(added, encoding="utf-8") as file:
+                tokens = json.load(file)["added_tokens"]
+        special = {t["content"]: t["id"] for t in tokens}
+        if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that depend on the text around them are not supported")
+        if any(a != b and a in b for a in special for b in special):
+            raise ValueError("added tokens inside one another are not supported")
+        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: str | None) -> np.ndarray:
         """The text's ids and one id 0."""
-        return np.array([*self.encoding.encode_ordinary(text or ""), 0], dtype="<u4")
+        return np.array([*self.encoding.encode(text or "", allowed_special="all"), 0], dtype="<u4")
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, str | None], Encoder] = {}
 DOC_SCHEMA = "doc_id bigint, n bigint, crcs array<bigint>"
 _DOC = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("crcs", pa.list_(pa.int64()))])
 
 
-def tokenized(docs: DataFrame, path: str, length: int) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, length: int, added: str | None = None) -> DataFrame:
     """(doc_id, n, crcs): number of ids of every document and the checksum of each piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _encoders:
-            _encoders[path] = Encoder(path)
+        if (path, added) not in _encoders:
+            _encoders[path, added] = Encoder(path, added)
         for batch in batches:
             _, offs = text_buffer(batch.column(1))
-            encode = _encoders[path].encode
+            encode = _encoders[path, added].encode
             for lo, hi in chunks(offs):
                 n, crcs = [], []
                 for t in batch.column(1)[lo:hi]:
@@ -192,10 +203,13 @@ PIECE_SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, do
 _PIECE = pa.schema([(c.split()[0], pa.int64()) for c in PIECE_SCHEMA.split(", ")])
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece: its place in the document and in its sequence."""
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", added: str | None = None) -> DataFrame:
+    """One row per piece: its place in the document and in its sequence.
+
+    ``tokenizer`` is the rank file, ``added`` the JSON file that names the added tokens.
+    """
     src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    lengths = stored(tokenized(src, tokenizer, length), "tokens")
+    lengths = stored(tokenized(src, tokenizer, length, added), "tokens")
     item = F.ceil((F.col("n") % length) / WIDTH)
     counts = lengths.groupBy(item.alias("r")).agg(F.count("*").alias("c")).collect()  # at most length / WIDTH + 1 rows
     items = sorted((r["r"], r["c"]) for r in counts if r["r"])

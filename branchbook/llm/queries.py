@@ -67,7 +67,7 @@ def rank_file(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), rank_file())
+    return packing.pack(table(spark, sf_dir, "documents"), rank_file(), added=rank_file("byte_bpe_50k.json"))
 
 
 @query

@@ -36,7 +36,7 @@ def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of 1024 tokens."""
-    return packing.pack(docs, rank_file())
+    return packing.pack(docs, rank_file(), added=rank_file("byte_bpe_50k.json"))
 
 
 STAGES = [

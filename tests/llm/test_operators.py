@@ -135,6 +135,24 @@ def test_packing(spark, docs):
     assert packing.pack(frame(spark, []), path).count() == 0
 
 
+def test_packing_ids_of_added_tokens(spark, tmp_path):
+    """op5_packing against the unmodified tokenizer, on texts that hold its added token."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from branchbook.llm import queries
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    rows = list(enumerate(["a page <|endoftext|> next", end, f"{end}{end} \n{end}x", f"  {end}  ", f"<{end}>", "<|endoftext", "<|EndOfText|>", f"it's{end}'s é{end}é"]))
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    pieces = {r.doc_id: r for r in queries.op5_packing(spark, str(tmp_path)).collect()}
+    for d, t in rows:
+        ids = np.array(tok.encode(t, add_special_tokens=False).ids + [0], dtype="<u4")
+        assert (pieces[d].doc_tokens, pieces[d].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_patterns_hold_every_item():
     import numpy as np
 
