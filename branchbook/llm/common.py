@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
@@ -131,11 +131,6 @@ class Words:
         return np.repeat(self.first[1:], n) - np.arange(len(self.start))
 
 
-def row_id(doc_id: str, text: str) -> Column:
-    """Tells rows of one doc_id apart when their texts differ."""
-    return F.xxhash64(F.col(doc_id), F.col(text))
-
-
 def parts(spark: SparkSession) -> int:
     """Buckets of a shuffle: the session's setting, which grows with the job."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -205,42 +200,101 @@ def from_low_bytes(blob: bytes, n: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+KEY = ("__doc", "__h1", "__h2")
+KEY_SCHEMA = ", ".join(f"{c} bigint" for c in KEY)
+KEY_ARROW = [(c, pa.int64()) for c in KEY]
+
+
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """The documents with the columns ``KEY``, which tell rows of different texts apart.
+
+    An id that only one row has is a key by itself. Rows of a null id, or of an id that
+    several rows share, have a 128-bit hash of the text besides; of the same id and the
+    same text they are copies and share a key. Only ids are counted, texts are not read.
+    """
+    doc = F.col("doc_id").cast("bigint")
+    counts = docs.select(doc.alias("__shared")).where("__shared is not null").groupBy("__shared").count()
+    shared = stored(counts.where("count > 1").select("__shared"), "shared-ids")
+    alone = doc.isNotNull()
+    out = docs
+    if not shared.isEmpty():
+        out = docs.join(shared, doc == F.col("__shared"), "left")
+        alone = alone & F.col("__shared").isNull()
+    hashes = [F.when(alone, F.lit(0)).otherwise(h).cast("bigint") for h in (F.xxhash64("text"), F.xxhash64(F.lit(977), "text"))]
+    return out.select(*(docs[c] for c in docs.columns), *(c.alias(k) for c, k in zip((F.coalesce(doc, F.lit(NO_ID)), *hashes), KEY)))
+
+
+def row_keys(batch: pa.RecordBatch) -> np.ndarray:
+    """The key columns of a batch, a row of three values each."""
+    return np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in KEY], axis=1)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Row keys in a blob: packed ids, and the hashes where any row has one."""
+    import zlib
+
+    ids = packed_ids(keys[:, 0])
+    return len(ids).to_bytes(4, "little") + ids + (zlib.compress(keys[:, 1:].tobytes(), 1) if keys[:, 1:].any() else b"")
+
+
+def unpacked_keys(blob: bytes) -> np.ndarray:
+    import zlib
+
+    n = 4 + int.from_bytes(blob[:4], "little")
+    ids = unpacked_ids(blob[4:n])
+    keys = np.zeros((len(ids), len(KEY)), dtype=np.int64)
+    keys[:, 0] = ids
+    if len(blob) > n:
+        keys[:, 1:] = np.frombuffer(zlib.decompress(blob[n:]), dtype=np.int64).reshape(-1, 2)
+    return keys
+
+
+def parts_of(keys: np.ndarray, n_parts: int) -> np.ndarray:
+    """The part of the documents each row key belongs to."""
+    k = keys.view(U64)
+    return (mix(k[:, 0] ^ k[:, 1]) % U64(n_parts)).astype(np.int64)
+
+
+def grouped_keys(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, bounds of equal keys in that order, the distinct keys) of row keys in blobs."""
+    keys = np.concatenate([unpacked_keys(b) for b in blobs])
+    order = np.lexsort(keys.T[::-1])
+    keys = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+    return order, np.append(np.flatnonzero(new), len(keys)), keys[new]
+
+
 MARK_SCHEMA = "part int, docs binary, spans binary"
 _MARK = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("spans", pa.binary())])
-_PER_DOC = pa.schema([("doc_id", pa.int64()), ("spans", pa.binary())])
+_PER_DOC = pa.schema([*KEY_ARROW, ("spans", pa.binary())])
 
 
-def mark_table(doc: np.ndarray, start: np.ndarray, stop: np.ndarray, n_parts: int) -> pa.Table:
-    """Marked stretches of documents, packed: one row for each part of the documents."""
-    part = (mix(doc.astype(np.int64).view(U64)) % U64(n_parts)).astype(np.int64)
-    order = np.lexsort((start, doc, part))
-    part, doc = part[order], doc[order]
+def mark_table(keys: np.ndarray, start: np.ndarray, stop: np.ndarray, n_parts: int) -> pa.Table:
+    """Marked stretches of documents, by row key, packed: one row for each part of the documents."""
+    part = parts_of(keys, n_parts)
+    order = np.lexsort((start, *keys.T[::-1], part))
+    part, keys = part[order], keys[order]
     pairs = np.stack([start[order], stop[order]], axis=1).astype("<u4")
     cut = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)) if len(part) else np.zeros(1, dtype=np.int64)
-    rows = [(int(part[a]), packed_ids(doc[a:b]), pairs[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+    rows = [(int(part[a]), packed_keys(keys[a:b]), pairs[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
     return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(_MARK.types)], schema=_MARK)
 
 
 def _marks_by_doc(table: pa.Table) -> pa.Table:
-    doc = np.concatenate([unpacked_ids(b) for b in table.column("docs").to_pylist()])
-    pairs = np.frombuffer(b"".join(table.column("spans").to_pylist()), dtype="<u4").reshape(-1, 2)
-    order = np.argsort(doc, kind="stable")
-    doc, pairs = doc[order], pairs[order]
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = doc[1:] != doc[:-1]
-    cut = np.append(np.flatnonzero(new), len(doc))
-    return pa.table([pa.array(doc[cut[:-1]]), pa.array([pairs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], schema=_PER_DOC)
+    order, cut, keys = grouped_keys(table.column("docs").to_pylist())
+    pairs = np.frombuffer(b"".join(table.column("spans").to_pylist()), dtype="<u4").reshape(-1, 2)[order]
+    return pa.table([*(pa.array(k) for k in keys.T), pa.array([pairs[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], schema=_PER_DOC)
 
 
 def marks_by_document(marks: DataFrame) -> DataFrame:
-    """(doc_id, spans): one row per marked document, from rows of MARK_SCHEMA."""
-    return marks.groupBy("part").applyInArrow(_marks_by_doc, "doc_id bigint, spans binary")
+    """(``KEY``, spans): one row per marked row key, from rows of MARK_SCHEMA."""
+    return marks.groupBy("part").applyInArrow(_marks_by_doc, f"{KEY_SCHEMA}, spans binary")
 
 
 def with_marks(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(doc_id, text, marks): every document with the stretches marked in it, from rows of MARK_SCHEMA."""
-    per = marks_by_document(marks).withColumnRenamed("doc_id", "__doc")
-    return docs.join(per, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("__doc"), "left").select("doc_id", "text", "spans")
+    """(doc_id, text, marks): every document with the stretches marked in it, from keyed documents and rows of MARK_SCHEMA."""
+    return docs.join(marks_by_document(marks), list(KEY), "left").select("doc_id", "text", "spans")
 
 
 def covered(blob: bytes | None, n: int) -> np.ndarray:

@@ -15,7 +15,8 @@ is bounded whatever the benchmark's is. Documents are never shuffled.
 Defined cases: a null or wordless text has no words and is clean; a null or
 wordless item is skipped; repeated item rows count once, items sharing a window
 are all named; repeated document rows each give a row; an empty benchmark leaves
-every document clean; further columns are ignored.
+every document clean; further columns are ignored. ``decontaminate`` rejects texts, not
+ids: a clean row stays whatever other rows of its doc_id, or other rows without one, hold.
 """
 
 from __future__ import annotations
@@ -192,7 +193,7 @@ def _joined(old: tuple, new: tuple) -> tuple:
 
 def find_matches(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, doc_id: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES,
+    item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, id_type: str = "bigint",
 ) -> DataFrame:
     """One row per document row: its words, the hit spans (in words), the items found and each item's longest match.
 
@@ -200,7 +201,8 @@ def find_matches(
     document's finds travel with its text from one block to the next.
     """
     spark = docs.sparkSession
-    out = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    schema = SCHEMA.replace("doc_id bigint", f"doc_id {id_type}")
+    out = docs.select(F.col(doc_id).cast(id_type).alias("doc_id"), F.col(text).alias("text"))
     blocks = [spark.sparkContext.broadcast(TestSuffixes(b, window)) for b in _blocks(benchmark, item_id, item_text, block_bytes)]
     for k, tests in enumerate(blocks):
         last = k == len(blocks) - 1
@@ -214,14 +216,14 @@ def find_matches(
                     if batch.num_columns > 2:
                         old = zip(*(batch.column(c)[lo:hi].to_pylist() for c in (3, 4, 5)))
                         rows = [(*r[:2], *_joined(o, r[2:])) for o, r in zip(old, rows)]
-                    cols = [pa.array(c, t) for c, t in zip(zip(*rows), _ARROW.types)]
+                    cols = [batch.column(0)[lo:hi], *(pa.array(c, t) for c, t in zip(list(zip(*rows))[1:], _ARROW.types[1:]))]
                     if last:
-                        yield pa.RecordBatch.from_arrays(cols, schema=_ARROW)
+                        yield pa.RecordBatch.from_arrays(cols, names=_ARROW.names)
                     else:
                         cols.insert(1, batch.column(1)[lo:hi])
                         yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text", *_ARROW.names[1:]])
 
-        out = out.mapInArrow(search, SCHEMA if last else SCHEMA.replace("doc_id bigint", "doc_id bigint, text string"))
+        out = out.mapInArrow(search, schema if last else schema.replace(",", ", text string,", 1))
     return out
 
 
@@ -236,5 +238,7 @@ def digest(matches: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any hit, their columns unchanged."""
-    bad = find_matches(docs, benchmark, window).where(F.size("items") > 0).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__bad")), "left_anti")
+    name = F.md5(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "text"))))
+    bad = find_matches(docs.select("text", name.alias("__name")), benchmark, window, doc_id="__name", id_type="string")
+    bad = bad.where(F.size("items") > 0).select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(bad, name == F.col("__bad"), "left_anti")

@@ -22,9 +22,9 @@ buckets by its many symbols.
 Windows are compared by 96 bits of names and their place around the boundary.
 Defined cases: a null or wordless text has no words and keeps the empty text; texts
 under a window's length are kept whole; a document is not compared with itself nor
-with rows of its own id; rows that share a doc_id are taken for one document, what is
-found in any of them is removed from each; a null doc_id counts as smallest; further
-columns are ignored.
+with rows of its own id; of rows that share a doc_id, or have none, each loses what is
+found in itself (marks go by doc_id and, for such ids, a hash of the text); a null
+doc_id counts as smallest; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import (
-    BYTE_NAMES, MARK_SCHEMA, NO_ID, NOT_SPACE, U64, WORD_BASE, Rolling, Words, chunks, covered,
-    from_low_bytes, low_bytes, mark_table, mix, packed_ids, parts, text_buffer, unpacked_ids, with_marks,
+    BYTE_NAMES, KEY, MARK_SCHEMA, NO_ID, NOT_SPACE, U64, WORD_BASE, Rolling, Words, chunks, covered,
+    from_low_bytes, low_bytes, mark_table, mix, packed_keys, parts, row_keys, text_buffer, unpacked_keys, with_marks, with_row_keys,
 )
 
 WINDOW = 13
@@ -91,7 +91,7 @@ def anchors(w: Words, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.
     return starts, at, mix(Rolling(w.name, WORD_BASE).grams(window)[starts])
 
 
-def _entries(raw: np.ndarray, offs: np.ndarray, ids: np.ndarray, window: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _entries(raw: np.ndarray, offs: np.ndarray, keys: np.ndarray, window: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
     got = []
     for lo, hi in chunks(offs):
         w = Words(raw, offs, lo, hi, NOT_SPACE, BYTE_NAMES)
@@ -122,7 +122,7 @@ def _entries(raw: np.ndarray, offs: np.ndarray, ids: np.ndarray, window: int, n_
         c = count[e]
         take = np.repeat(first[e], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
         out.append((
-            b, packed_ids(ids[own]), idx.astype("<u2").tobytes(), pos[e].astype("<u4").tobytes(), lead[e].astype(np.uint8).tobytes(),
+            b, packed_keys(keys[own]), idx.astype("<u2").tobytes(), pos[e].astype("<u4").tobytes(), lead[e].astype(np.uint8).tobytes(),
             c.astype(np.uint8).tobytes(), low_bytes(name[e], NAME_BYTES).tobytes(), low_bytes(windows[take], NAME_BYTES).tobytes(),
         ))
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ENTRY.types)], schema=_ENTRY)
@@ -131,15 +131,18 @@ def _entries(raw: np.ndarray, offs: np.ndarray, ids: np.ndarray, window: int, n_
 def _verified(table: pa.Table, n_parts: int) -> pa.Table:
     """Windows of a bucket that also start in a document with a smaller id, as spans by document."""
     col = {c: table.column(c).to_pylist() for c in table.column_names if c != "bucket"}
-    doc, pos, lead, n, name, windows = [], [], [], [], [], []
+    held = [unpacked_keys(b) for b in col["docs"]]
+    base, keys = np.cumsum([0, *map(len, held)]), np.concatenate(held)
+    row, pos, lead, n, name, windows = [], [], [], [], [], []
     for r in range(table.num_rows):
-        doc.append(unpacked_ids(col["docs"][r])[np.frombuffer(col["idx"][r], dtype="<u2")])
+        row.append(base[r] + np.frombuffer(col["idx"][r], dtype="<u2"))
         pos.append(np.frombuffer(col["pos"][r], dtype="<u4"))
         lead.append(np.frombuffer(col["lead"][r], dtype=np.uint8))
         n.append(np.frombuffer(col["n"][r], dtype=np.uint8))
         name.append(from_low_bytes(col["name"][r], NAME_BYTES))
         windows.append(from_low_bytes(col["windows"][r], NAME_BYTES))
-    doc, pos, lead, n, name, windows = (np.concatenate(c) for c in (doc, pos, lead, n, name, windows))
+    row, pos, lead, n, name, windows = (np.concatenate(c) for c in (row, pos, lead, n, name, windows))
+    doc = keys[row, 0]
     # reveal: symbols that more than one document holds
     _, sym = np.unique(name, return_inverse=True)
     low, high = np.full(sym.max() + 1, 2**63 - 1), np.full(sym.max() + 1, NO_ID)
@@ -148,9 +151,9 @@ def _verified(table: pa.Table, n_parts: int) -> pa.Table:
     shared = (low < high)[sym]
     n = n.astype(np.int64)
     windows = windows[np.repeat(shared, n)]
-    doc, pos, lead, n, name = doc[shared], pos[shared].astype(np.int64), lead[shared].astype(np.int64), n[shared], name[shared]
+    row, doc, pos, lead, n, name = row[shared], doc[shared], pos[shared].astype(np.int64), lead[shared].astype(np.int64), n[shared], name[shared]
     if not len(doc):
-        return mark_table(doc, pos, pos, n_parts)
+        return mark_table(keys[row], pos, pos, n_parts)
     # verify: equal windows around the symbol
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     place = np.repeat(lead, n) - step
@@ -164,7 +167,7 @@ def _verified(table: pa.Table, n_parts: int) -> pa.Table:
     again[order] = owner > least[np.cumsum(first) - 1]
     entry = np.repeat(np.arange(len(n)), n)
     a, b = _runs_within(again, entry)
-    return mark_table(doc[entry[a]], pos[entry[a]] + step[a], pos[entry[a]] + step[b - 1] + WINDOW, n_parts)
+    return mark_table(keys[row[entry[a]]], pos[entry[a]] + step[a], pos[entry[a]] + step[b - 1] + WINDOW, n_parts)
 
 
 def _runs_within(mask: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,15 +202,16 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows of MARK_SCHEMA: the stretches of words whose windows also start in a document with a smaller id."""
+    """Rows of MARK_SCHEMA: the stretches of words of the keyed documents whose windows also start in a document with a smaller id."""
+    docs = docs.select("text", *KEY)
     n_buckets = parts(docs.sparkSession)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offs = text_buffer(batch.column(1))
-            ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for lo in range(0, len(ids), 1 << 15):
-                yield from _entries(raw, offs[lo : lo + (1 << 15) + 1], ids[lo : lo + (1 << 15)], window, n_buckets)
+            raw, offs = text_buffer(batch.column("text"))
+            keys = row_keys(batch)
+            for lo in range(0, len(keys), 1 << 15):
+                yield from _entries(raw, offs[lo : lo + (1 << 15) + 1], keys[lo : lo + (1 << 15)], window, n_buckets)
 
     filed = docs.mapInArrow(entries, ENTRY_SCHEMA)
     return filed.groupBy("bucket").applyInArrow(lambda t: _verified(t, n_buckets), MARK_SCHEMA)
@@ -217,5 +221,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, doc_id: str = "doc_id"
     """One row per document row: words, words removed, the kept text and its hash."""
     if window != WINDOW:
         raise ValueError("the symbol boundaries are proven for windows of 13 words")
-    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    src = with_row_keys(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")))
     return with_marks(src, repeated_spans(src, window)).mapInArrow(_kept, OUT_SCHEMA)

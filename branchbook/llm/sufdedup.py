@@ -19,9 +19,9 @@ strings decide there. Names are 64 bits (the stretch) and 64 + 48 bits (a string
 its suffix).
 
 Defined cases: a null text is empty; texts under ``length`` bytes are kept; matches
-never cross documents; repeated rows are copies of each other; rows that share a
-doc_id are taken for one document, what is found in any of them is removed from each;
-a null doc_id is a document of its own; further columns are ignored.
+never cross documents; repeated rows are copies of each other; every row is a
+document of its own, whether its doc_id is null or shared with other rows (marks go by
+doc_id and, for such ids, a hash of the text); further columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import (
-    BYTE_NAMES, MARK_SCHEMA, NO_ID, U64, Rolling, chunks, covered, from_low_bytes, low_bytes, mark_table, marks_by_document, mix,
-    packed_ids, parts, runs, stored, text_buffer, unpacked_ids, with_marks,
+    BYTE_NAMES, KEY, KEY_ARROW, KEY_SCHEMA, MARK_SCHEMA, U64, Rolling, chunks, covered, from_low_bytes, grouped_keys, low_bytes, mark_table,
+    marks_by_document, mix, packed_keys, parts, parts_of, row_keys, runs, stored, text_buffer, unpacked_keys, with_marks, with_row_keys,
 )
 
 LENGTH = 200
@@ -45,7 +45,7 @@ STRING_BYTES = 6
 _SUFFIX = [("docs", None), ("idx", "<u2"), ("start", "<u4"), ("lead", "<u2"), ("n", "<u2"), ("name", "<u8"), ("stretch", "<u8")]
 SUFFIX_SCHEMA = "bucket int, " + ", ".join(f"{c} binary" for c, _ in _SUFFIX)
 _SUFFIX_ARROW = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c, _ in _SUFFIX)])
-_ASK = pa.schema([("doc_id", pa.int64()), ("asked", pa.binary())])
+_ASK = pa.schema([*KEY_ARROW, ("asked", pa.binary())])
 FOUND_SCHEMA = "settled boolean, part int, docs binary, spans binary, asked binary"
 _FOUND = pa.schema([("settled", pa.bool_()), ("part", pa.int32()), ("docs", pa.binary()), ("spans", pa.binary()), ("asked", pa.binary())])
 OUT_SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"
@@ -124,7 +124,7 @@ class LevelFamily:
         return np.concatenate([lv for _, lv in self.levels]) if self.levels else np.zeros(0, dtype=self.DTYPE)
 
 
-def _batch_arrays(raw: np.ndarray, offs: np.ndarray, ids: np.ndarray, length: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _batch_arrays(raw: np.ndarray, offs: np.ndarray, keys: np.ndarray, length: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
     got = []
     for lo, hi in chunks(offs):
         a = int(offs[lo])
@@ -145,7 +145,7 @@ def _batch_arrays(raw: np.ndarray, offs: np.ndarray, ids: np.ndarray, length: in
         if len(e):
             own, idx = np.unique(doc[e], return_inverse=True)
             cols = {"idx": idx, "start": start[e], "lead": lead[e], "n": n[e], "name": name[e], "stretch": stretch[e]}
-            out.append((b, packed_ids(ids[own]), *(cols[c].astype(t).tobytes() for c, t in _SUFFIX[1:])))
+            out.append((b, packed_keys(keys[own]), *(cols[c].astype(t).tobytes() for c, t in _SUFFIX[1:])))
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _SUFFIX_ARROW.types)], schema=_SUFFIX_ARROW)
 
 
@@ -153,11 +153,14 @@ def _indexed(table: pa.Table, length: int, n_parts: int) -> pa.Table:
     """Run a bucket's batches through the level family: settled stretches, and what is asked of the texts."""
     family = LevelFamily()
     col = {c: table.column(c).to_pylist() for c in table.column_names if c != "bucket"}
+    held = [unpacked_keys(b) for b in col["docs"]]
+    base = np.cumsum([0, *map(len, held)])
+    keys = np.concatenate(held)
     pending, n = [], 0
     for r in range(table.num_rows):
         cols = {c: np.frombuffer(col[c][r], dtype=t) for c, t in _SUFFIX[1:]}
         new = np.zeros(len(cols["idx"]), dtype=LevelFamily.DTYPE)
-        new["doc"] = unpacked_ids(col["docs"][r])[cols["idx"]]
+        new["doc"] = base[r] + cols["idx"]
         for c in ("start", "lead", "n", "name", "stretch"):
             new[c] = cols[c]
         pending.append(new)
@@ -169,7 +172,7 @@ def _indexed(table: pa.Table, length: int, n_parts: int) -> pa.Table:
     s = s[s["near"]]
     done = s[s["same"]]
     begin = done["start"].astype(np.int64)
-    marks = mark_table(done["doc"], begin, begin + done["n"].astype(np.int64) + length - 1, n_parts)
+    marks = mark_table(keys[done["doc"]], begin, begin + done["n"].astype(np.int64) + length - 1, n_parts)
     # suffixes with a partner of another stretch: one for each distinct stretch
     s = s[np.lexsort((s["start"], s["doc"], s["stretch"], s["name"]))]
     lead = np.ones(len(s), dtype=bool)
@@ -183,7 +186,7 @@ def _indexed(table: pa.Table, length: int, n_parts: int) -> pa.Table:
     asked = np.zeros(len(s), dtype=_ASKED)
     for c in ("start", "lead", "n", "name", "same"):
         asked[c] = s[c]
-    ask = _packed_by_part(s["doc"], asked, n_parts)
+    ask = _packed_by_part(keys[s["doc"]], asked, n_parts)
     null = pa.nulls(marks.num_rows, pa.binary())
     return pa.concat_tables([
         pa.table([pa.array([True] * marks.num_rows, pa.bool_()), marks.column("part"), marks.column("docs"), marks.column("spans"), null], schema=_FOUND),
@@ -196,23 +199,18 @@ BATCH_SUFFIXES = 1 << 16  # suffixes of a new batch within a bucket
 _ASKED = np.dtype([("start", "<u4"), ("lead", "<u2"), ("n", "<u2"), ("name", "<u8"), ("same", "u1")])
 
 
-def _packed_by_part(doc: np.ndarray, rows: np.ndarray, n_parts: int) -> list[tuple[int, bytes, bytes]]:
-    part = (mix(doc.astype(np.int64).view(U64)) % U64(n_parts)).astype(np.int64)
-    order = np.lexsort((doc, part))
-    part, doc, rows = part[order], doc[order], rows[order]
+def _packed_by_part(keys: np.ndarray, rows: np.ndarray, n_parts: int) -> list[tuple[int, bytes, bytes]]:
+    part = parts_of(keys, n_parts)
+    order = np.lexsort((keys[:, 0], part))
+    part, keys, rows = part[order], keys[order], rows[order]
     cut = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part)) if len(part) else [0]
-    return [(int(part[a]), packed_ids(doc[a:b]), rows[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+    return [(int(part[a]), packed_keys(keys[a:b]), rows[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
 
 
 def _asked_by_doc(table: pa.Table) -> pa.Table:
-    doc = np.concatenate([unpacked_ids(b) for b in table.column("docs").to_pylist()])
-    rows = np.frombuffer(b"".join(table.column("asked").to_pylist()), dtype=_ASKED)
-    order = np.argsort(doc, kind="stable")
-    doc, rows = doc[order], rows[order]
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = doc[1:] != doc[:-1]
-    cut = np.append(np.flatnonzero(new), len(doc))
-    return pa.table([pa.array(doc[cut[:-1]]), pa.array([rows[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], schema=_ASK)
+    order, cut, keys = grouped_keys(table.column("docs").to_pylist())
+    rows = np.frombuffer(b"".join(table.column("asked").to_pylist()), dtype=_ASKED)[order]
+    return pa.table([*(pa.array(k) for k in keys.T), pa.array([rows[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], schema=_ASK)
 
 
 STRING_SCHEMA = "bucket int, docs binary, idx binary, asked binary, strings binary"
@@ -222,12 +220,12 @@ _STRING = pa.schema([("bucket", pa.int32()), *((c, pa.binary()) for c in ("docs"
 def _strings(batches: Iterator[pa.RecordBatch], length: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
     """Names of the single strings of the asked suffixes, dealt by suffix name."""
     for batch in batches:
-        raw, offs = text_buffer(batch.column(1))
-        ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-        asks = batch.column(2)
-        for lo in range(0, len(ids), 1 << 15):
+        raw, offs = text_buffer(batch.column("text"))
+        keys = row_keys(batch)
+        asks = batch.column("asked")
+        for lo in range(0, len(keys), 1 << 15):
             got = []
-            for d in range(lo, min(lo + (1 << 15), len(ids))):
+            for d in range(lo, min(lo + (1 << 15), len(keys))):
                 rows = np.frombuffer(asks[d].as_py(), dtype=_ASKED)
                 data = raw[int(offs[d]) : int(offs[d + 1])]
                 rows = rows[rows["start"].astype(np.int64) + rows["n"] + length - 1 <= len(data)]
@@ -251,14 +249,14 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int, n_buckets: int) ->
                 if len(e):
                     own, idx = np.unique(doc[e], return_inverse=True)
                     take = np.repeat(first[e], n[e]) + np.arange(n[e].sum()) - np.repeat(np.cumsum(n[e]) - n[e], n[e])
-                    out.append((b, packed_ids(ids[own]), idx.astype("<u2").tobytes(), rows[e].tobytes(), low_bytes(names[take], STRING_BYTES).tobytes()))
+                    out.append((b, packed_keys(keys[own]), idx.astype("<u2").tobytes(), rows[e].tobytes(), low_bytes(names[take], STRING_BYTES).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _STRING.types)], schema=_STRING)
 
 
 def _compared(table: pa.Table, length: int, n_parts: int) -> pa.Table:
     """Strings of a bucket's asked suffixes that occur under more than one of them."""
     col = {c: table.column(c).to_pylist() for c in table.column_names if c != "bucket"}
-    doc = np.concatenate([unpacked_ids(a)[np.frombuffer(b, dtype="<u2")] for a, b in zip(col["docs"], col["idx"])])
+    keys = np.concatenate([unpacked_keys(a)[np.frombuffer(b, dtype="<u2")] for a, b in zip(col["docs"], col["idx"])])
     rows = np.frombuffer(b"".join(col["asked"]), dtype=_ASKED)
     names = from_low_bytes(b"".join(col["strings"]), STRING_BYTES)
     n = rows["n"].astype(np.int64)
@@ -277,26 +275,27 @@ def _compared(table: pa.Table, length: int, n_parts: int) -> pa.Table:
     first = np.flatnonzero(new)
     a, b = at[first], (at[np.append(first[1:], len(at)) - 1] if len(at) else at)
     start = rows["start"].astype(np.int64)[entry[a]]
-    return mark_table(doc[entry[a]], start + step[a], start + step[b] + length, n_parts)
+    return mark_table(keys[entry[a]], start + step[a], start + step[b] + length, n_parts)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Rows of MARK_SCHEMA: the bytes of every string of ``length`` bytes that occurs more than once."""
+    """Rows of MARK_SCHEMA: the bytes of every string of ``length`` bytes that occurs more than once in the keyed documents."""
+    docs = docs.select("text", *KEY)
     spark = docs.sparkSession
     n = parts(spark)
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, offs = text_buffer(batch.column(1))
-            ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            for lo in range(0, len(ids), 1 << 15):
-                yield from _batch_arrays(raw, offs[lo : lo + (1 << 15) + 1], ids[lo : lo + (1 << 15)], length, n)
+            raw, offs = text_buffer(batch.column("text"))
+            keys = row_keys(batch)
+            for lo in range(0, len(keys), 1 << 15):
+                yield from _batch_arrays(raw, offs[lo : lo + (1 << 15) + 1], keys[lo : lo + (1 << 15)], length, n)
 
     found = docs.mapInArrow(arrays, SUFFIX_SCHEMA).groupBy("bucket").applyInArrow(lambda t: _indexed(t, length, n), FOUND_SCHEMA)
     found = stored(found, "suffixes")
     settled = found.where("settled").select("part", "docs", "spans")
-    asked = found.where("not settled").groupBy("part").applyInArrow(_asked_by_doc, "doc_id bigint, asked binary").withColumnRenamed("doc_id", "__doc")
-    texts = docs.join(asked, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("__doc")).select("doc_id", "text", "asked")
+    asked = found.where("not settled").groupBy("part").applyInArrow(_asked_by_doc, f"{KEY_SCHEMA}, asked binary")
+    texts = docs.join(asked, list(KEY)).select("text", *KEY, "asked")
     strings = texts.mapInArrow(lambda it: _strings(it, length, n), STRING_SCHEMA)
     return settled.unionByName(strings.groupBy("bucket").applyInArrow(lambda t: _compared(t, length, n), MARK_SCHEMA))
 
@@ -318,7 +317,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: bytes, bytes and runs removed, the kept bytes and their hash."""
-    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    src = with_row_keys(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")))
     return with_marks(src, repeated_spans(src, length)).mapInArrow(_kept, OUT_SCHEMA)
 
 
@@ -328,7 +327,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     A removed run is narrowed to whole characters, so the text stays valid; ``n_chars``
     follows the text where the documents have it. Null texts stay null.
     """
-    src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    src = with_row_keys(docs)
     marks = marks_by_document(repeated_spans(src, length))
     names, schema = docs.columns, docs.schema
     at = names.index("text")
@@ -352,8 +351,6 @@ def cleaned(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    key, blob = "__marked_doc", "__marks"
-    per = marks.select(F.col("doc_id").alias(key), F.col("spans").alias(blob))
-    joined = docs.join(per, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col(key), "left").drop(key)
+    joined = src.join(marks.withColumnRenamed("spans", "__marks"), list(KEY), "left").select(*names, "__marks")
     out = joined.mapInArrow(cut, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out

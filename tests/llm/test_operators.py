@@ -101,6 +101,27 @@ def test_recompression_of_runs(spark):
     assert rows_of(got, ["doc_id", "n_words", "n_removed", "kept_sha256"]) == sorted(brute.word_repeats(rows), key=str)
 
 
+def test_rows_that_share_an_id(spark):
+    """What is found in one row leaves other rows of the same id, or other rows without an id, alone."""
+    rng = random.Random(21)
+    plain = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(150))
+    passage, other = plain(), plain()
+    rows = [(None, f"{passage} {plain()}"), (None, f"{plain()} {passage}"), (None, plain()), (None, None), (7, f"{other} x"), (7, plain()), (7, plain()),
+            (9, f"y {passage} {other}"), (9, f"y {passage} {other}"), (9, plain()), (3, plain()), (8, f"{plain()} {other}")]
+    cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    expected = brute.byte_repeats(rows)
+    assert rows_of(sufdedup.remove_repeats(frame(spark, rows)), cols) == sorted(expected, key=str)
+    cleaned = sorted(len((r.text or "").encode()) for r in sufdedup.cleaned(frame(spark, rows)).collect())
+    assert cleaned == sorted(n - gone for _, n, gone, _, _ in expected)
+    least = [(-1 if d is None else d, t) for d, t in rows]
+    expected = [(None if d == -1 else d, *rest) for d, *rest in brute.word_repeats(least)]
+    got = recompress.remove_repeats(frame(spark, rows))
+    assert rows_of(got, ["doc_id", "n_words", "n_removed", "kept_sha256"]) == sorted(expected, key=str)
+    bench = spark.createDataFrame([(1, " ".join(passage.split()[5:30]))], "item_id bigint, text string")
+    clean = decontam.decontaminate(frame(spark, rows), bench)
+    assert rows_of(clean, ["doc_id", "text"]) == sorted(((d, t) for d, t in rows if passage not in (t or "")), key=str)
+
+
 def test_warc_round_trip(spark):
     big = "<p>" + "x" * 200 + "WARC/1.1\r\nWARC-Type: response\r\n\r\n é</p>"
     pages = [(3, "http://a", big), (1, "http://b\r\nX: y", big), (2, None, big), (4, "u", None), (5, "u", ""), (6, "u", "short"), (7, "v", "short"), (8, "w", "y" * 100), (8, "w", "y" * 100)]
