@@ -4,8 +4,11 @@ Words are runs of letters, digits and characters above ASCII; each gives its cha
 n-grams of 1 to 4 with a mark at both ends, hashed to 2**16 places. Document
 frequencies are counted over all learning documents (text with a known language whose
 crc32 modulo 3 is not 1), summed by slices of the places on the executors. Weights are
-learnt by follow-the-regularised-leader with an elastic net from at most ``TRAIN_DOCS``
-of them (the least hashed ids); a fifth of these is set aside to fit the temperature.
+learnt by follow-the-regularised-leader with an elastic net from a sample: the least
+hashed ids of every language, about its share of ``TRAIN_DOCS`` or ``LEAST_DOCS`` (all,
+where it has fewer). Languages are counted over all learning documents, so none is lost to the
+bound; one sampled above its share has its bias shifted by the logarithm of the ratio. A
+fifth of each language's sample is set aside to fit the temperature, weighted alike.
 n-grams are computed once per distinct word of a chunk, so a text's score is a
 weighted sum over its words; term frequencies are relative to the text's n-grams.
 
@@ -24,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import ALNUM, FOLDED_NAMES, U64, Words, chunks, mix, text_buffer
-from branchbook.llm.linear import Ftrl, bounded_sample, remainder
+from branchbook.llm.linear import Ftrl, class_quotas, class_sample, log_shift, remainder
 
 BITS = 16
 SIZE = 1 << BITS
 TRAIN_DOCS = 2500
+LEAST_DOCS = 100  # of a language
 PASSES = 2
 SLICES = 16
 SCALE = 20.0
@@ -133,20 +137,30 @@ def train(docs: DataFrame, limit: int = TRAIN_DOCS) -> Model:
                     [batch.column(0)[lo:hi], batch.column(2)[lo:hi], pa.array([place[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
                      pa.array([tf[a:b].astype(np.float32).tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["doc_id", "lang", "place", "tf"])
 
-    sample = bounded_sample(learn.select("doc_id", "text", "lang"), learn.select("doc_id").distinct(), limit)
-    rows = sample.mapInArrow(sparse, "doc_id bigint, lang string, place binary, tf binary").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending")])
-    lang = rows.column("lang").to_pylist()
-    langs = sorted(set(lang))
+    known = learn.select("doc_id", "lang").distinct()
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row for each language
+    langs = sorted(counts)
     if len(langs) < 2:
         return Model(langs, np.zeros((SIZE, len(langs))), np.zeros(len(langs)), 1.0)
-    y = [langs.index(v) for v in lang]
+    picked = class_sample(known, "lang", counts, class_quotas(counts, limit, LEAST_DOCS))
+    sample = learn.select("doc_id", "text", "lang").join(F.broadcast(picked), ["doc_id", "lang"])
+    sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
+    rows = sample.mapInArrow(sparse, "doc_id bigint, lang string, place binary, tf binary").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    place_of = {v: i for i, v in enumerate(langs)}
+    y = [place_of[v] for v in rows.column("lang").to_pylist()]
     x = []
     for p, t in zip(rows.column("place").to_pylist(), rows.column("tf").to_pylist()):
         p, t = np.frombuffer(p, dtype=np.int32), np.frombuffer(t, dtype=np.float32)
         x.append((np.append(p, SIZE), np.append(SCALE * t / max(t.sum(), 1.0) * idf[p], 1.0)))
     order = np.random.Generator(np.random.PCG64(7)).permutation(len(x))
-    aside, rest = order[: len(x) // 5], order[len(x) // 5 :]
+    seen, apart = [0] * len(langs), np.zeros(len(x), dtype=bool)
+    for i in order:
+        seen[y[i]] += 1
+        apart[i] = seen[y[i]] % 5 == 0
+    aside, rest = order[apart[order]], order[~apart[order]]
+    share = np.array([counts[v] for v in langs]) / sum(counts.values())
+    taken = np.maximum(np.bincount([y[i] for i in rest], minlength=len(langs)), 1)
     learner = Ftrl(SIZE + 1, len(langs), alpha=0.5, l1=0.05, l2=0.05)
     for _ in range(PASSES):
         for i in rest:
@@ -156,12 +170,14 @@ def train(docs: DataFrame, limit: int = TRAIN_DOCS) -> Model:
             p[y[i]] -= 1.0
             learner.step(idx, v, p, w)
     w = learner.weights()
+    w[-1] += [log_shift(s, m / max(len(rest), 1)) for s, m in zip(share, taken)]
     temperature = 1.0
     if len(aside):
         z = np.array([x[i][1] @ w[x[i][0]] for i in aside])
         t_y = np.array([y[i] for i in aside])
         grid = np.exp(np.linspace(np.log(0.05), np.log(10), 60))
-        loss = [-np.log(_softmax(z / t)[np.arange(len(t_y)), t_y] + 1e-12).mean() for t in grid]
+        weight = (share / np.maximum(np.bincount(t_y, minlength=len(langs)), 1))[t_y]
+        loss = [-(weight * np.log(_softmax(z / t)[np.arange(len(t_y)), t_y] + 1e-12)).sum() for t in grid]
         temperature = float(grid[int(np.argmin(loss))])
     return Model(langs, SCALE * idf[:, None] * w[:-1], w[-1], temperature)
 

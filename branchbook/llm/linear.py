@@ -45,3 +45,26 @@ def bounded_sample(rows: DataFrame, keyed: DataFrame, limit: int) -> DataFrame:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = keyed.where("doc_id is not null").orderBy(*order).limit(limit)
     return rows.join(F.broadcast(picked), "doc_id").limit(limit)
+
+
+def class_quotas(counts: dict, limit: int, least: int) -> dict:
+    """How many examples to take of each class: its share of ``limit``, or ``least`` (all it has, if fewer)."""
+    total = sum(counts.values())
+    return {c: min(n, max(least, round(limit * n / total))) for c, n in counts.items()}
+
+
+def class_sample(known: DataFrame, label: str, counts: dict, quotas: dict) -> DataFrame:
+    """(doc_id, label) of the least hashed ids of every class: all below the quota's part of the hash's range.
+
+    ``known`` has distinct rows (doc_id, label), ``counts`` their numbers by class. A class
+    above its quota gives about as many rows, up to the spread of the hash; no rows are ranked.
+    """
+    schema = f"{label} {known.schema[label].dataType.simpleString()}, __below bigint"
+    given = known.sparkSession.createDataFrame([(c, 2**62 * q // counts[c]) for c, q in quotas.items()], schema)
+    near = known.select("doc_id", label).join(F.broadcast(given), label)
+    return near.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 2) < F.col("__below")).select("doc_id", label)
+
+
+def log_shift(share: float, sample_share: float) -> float:
+    """What a class taken at another rate than its share adds to its score."""
+    return float(np.log(share / sample_share))

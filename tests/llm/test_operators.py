@@ -207,6 +207,20 @@ def test_classifiers_on_held_out_rows(spark):
     assert (held.lang_pred == held.lang).mean() > 0.98
 
 
+def test_rare_languages_are_learnt(spark):
+    """Languages far below the sample's resolution are in the model and predicted."""
+    rng = random.Random(8)
+    alphabets = {"xa": "abcdefg", "xb": "hijklmn", "xc": "opqrst", "xd": "uvwxyz", "xe": "éèàüöß"}
+    text = lambda a: " ".join("".join(rng.choices(alphabets[a], k=5)) for _ in range(30))
+    langs = ["xa"] * 3000 + ["xb", "xc", "xd", "xe"] * 9
+    rows = spark.createDataFrame([(i, text(v), v) for i, v in enumerate(langs)], "doc_id bigint, text string, lang string")
+    model = langid.train(rows, limit=50)
+    assert model.langs == sorted(alphabets)
+    got = {r.doc_id: r.lang_pred for r in langid.predicted(rows, model).collect()}
+    assert sum(got[i] == v for i, v in enumerate(langs[3000:], 3000)) >= 34
+    assert sum(got[i] == v for i, v in enumerate(langs[:3000])) >= 2990
+
+
 def test_classifiers_on_odd_rows(spark, docs):
     rows = frame(spark, [*docs, (None, "no id")])
     labels = spark.createDataFrame([(3, 1, 0), (4, None, None), (4, 1, 1), (4, 0, 0), (9999, 1, 1)], LABELS)
