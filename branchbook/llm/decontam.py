@@ -10,7 +10,9 @@ to the longest verbatim match, reported with its place.
 
 The benchmark is the stated query set. It is cut into blocks of at most about
 ``block_bytes`` of text; one block at a time is fetched and broadcast, so its size
-is bounded whatever the benchmark's is. Documents are never shuffled.
+is bounded whatever the benchmark's is. With several blocks the documents and their
+finds are written after each but the last, and its broadcast is dropped before the next
+is fetched. Documents are never shuffled.
 
 Defined cases: a null or wordless text has no words and is clean; a null or
 wordless item is skipped; repeated item rows count once, items sharing a window
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchbook.llm.common import ALNUM, FOLDED_NAMES, Words, chunks, cover, runs, text_buffer
+from branchbook.llm.common import ALNUM, FOLDED_NAMES, Words, chunks, cover, released, runs, stored, text_buffer
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -168,13 +170,14 @@ def _shard(w: Words, doc_ids: list, tests: TestSuffixes) -> Iterator[tuple]:
         yield doc_ids[d], int(n_words[d]), spans, sorted({m["item_id"] for m in matches}), matches
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple]]:
+def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[tuple[bool, list[tuple]]]:
+    """(whether it is the last, items) of every block."""
     items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).dropDuplicates()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
     for b in range(n):
         one = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b)
-        yield sorted(((r["i"], r["t"]) for r in one.collect()), key=lambda r: (str(r[0]), str(r[1])))
+        yield b == n - 1, sorted(((r["i"], r["t"]) for r in one.collect()), key=lambda r: (str(r[0]), str(r[1])))
 
 
 def _joined(old: tuple, new: tuple) -> tuple:
@@ -197,15 +200,15 @@ def find_matches(
 ) -> DataFrame:
     """One row per document row: its words, the hit spans (in words), the items found and each item's longest match.
 
-    Several benchmark blocks are searched one after the other in the same tasks; a
-    document's finds travel with its text from one block to the next.
+    Several benchmark blocks are searched one after the other; a document's finds are
+    stored with its text from one block to the next.
     """
     spark = docs.sparkSession
     schema = SCHEMA.replace("doc_id bigint", f"doc_id {id_type}")
     out = docs.select(F.col(doc_id).cast(id_type).alias("doc_id"), F.col(text).alias("text"))
-    blocks = [spark.sparkContext.broadcast(TestSuffixes(b, window)) for b in _blocks(benchmark, item_id, item_text, block_bytes)]
-    for k, tests in enumerate(blocks):
-        last = k == len(blocks) - 1
+    before = None
+    for last, items in _blocks(benchmark, item_id, item_text, block_bytes):
+        tests = spark.sparkContext.broadcast(TestSuffixes(items, window))
 
         def search(batches: Iterator[pa.RecordBatch], tests=tests, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -224,6 +227,12 @@ def find_matches(
                         yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text", *_ARROW.names[1:]])
 
         out = out.mapInArrow(search, schema if last else schema.replace(",", ", text string,", 1))
+        if not last:
+            out = stored(out, "finds")
+            tests.destroy()
+            if before is not None:
+                released(spark, before)
+            before = out
     return out
 
 

@@ -59,6 +59,28 @@ def test_decontamination(spark, docs):
     assert decontam.find_matches(frame(spark, docs), bench.limit(0)).where("size(items) > 0").count() == 0
 
 
+def test_one_benchmark_block_at_a_time(spark, docs, monkeypatch):
+    """The broadcast of a block is gone before the next block is fetched."""
+    alive, most = set(), []
+    make = spark.sparkContext.broadcast
+
+    def broadcast(value):
+        made = make(value)
+        if isinstance(value, decontam.TestSuffixes):
+            drop = made.destroy
+            made.destroy = lambda *a, **b: (alive.discard(id(value)), drop(*a, **b))
+            alive.add(id(value))
+            most.append(len(alive))
+        return made
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", broadcast)
+    items = [(i, f"river stone {i} the rain") for i in range(12)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontam.digest(decontam.find_matches(frame(spark, docs), bench, block_bytes=60))
+    assert rows_of(got, got.columns) == sorted(brute.contamination(docs, items), key=str)
+    assert len(most) > 2 and max(most) == 1
+
+
 def test_near_duplicates(spark, docs):
     got = minhash.near_duplicates(frame(spark, docs), shingle=4)
     assert rows_of(got, ["doc_id", "n_shingles", "component_id", "kept"]) == sorted(brute.near(docs), key=str)
