@@ -15,9 +15,10 @@ symbols: equal windows are filed under equal symbols, whatever surrounds them. O
 shuffle by symbol brings together the documents that share it ("reveals"); there the
 windows themselves are compared ("verifies"): a window is removed if its words also
 start in a document with a smaller id. Symbols travel packed, one row per batch and
-bucket, so a symbol that a third of the corpus holds is a few bytes per occurrence,
-and buckets are dealt by symbol and window name: a frequent passage is spread over
-buckets by its many symbols.
+bucket, so a symbol that a third of the corpus holds is a few bytes per occurrence.
+Buckets are dealt by symbol only: a frequent passage is spread over buckets by its
+many symbols, but all occurrences of one hot symbol lie in one group. The comparison
+of windows decides what goes; the symbols only choose the bucket.
 
 Windows are compared by 96 bits of names and their place around the boundary.
 Defined cases: a null or wordless text has no words and keeps the empty text; texts
