@@ -10,7 +10,8 @@ New batches arrive as sorted suffix arrays, dealt over buckets by name. A bucket
 index is a family of sorted levels: a new array is merge-scanned against every level,
 which marks the suffixes that have a partner on either side, and levels of equal size
 then merge geometrically, as carries do in a binary counter. So each suffix is merged
-about log2(batches) times, and an index can take further batches.
+about log2(batches) times. The family lives in one task's memory for one run: it is not
+kept, so later batches can't be added, and a bucket (one hot name included) is never split.
 
 A suffix whose whole stretch occurs twice settles all its strings at once, copies and
 common passages thus need no further work. Suffixes that share 32 bytes but not the
