@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from branchbook.llm import decontam, langid, mcdrules, minhash, packing, puquality, recompress, sufdedup, toxicity, warc
+from branchbook.llm import decontam, hardneg, langid, mcdrules, minhash, packing, periodic, puquality, recompress, simhash, sufdedup, toxicity, warc
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -75,6 +76,23 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(hardneg.quantised(rows.withColumn("label", moved), "vec_id", "label", "embedding"), F.col("id") % 100 == 0)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True).drop("collapsed", "runs")
+
+
 ORACLE["op4_warc"] = """
 with p as (select page_id, coalesce(html, '') as h from pages),
 q as (select page_id, octet_length(encode(h))::bigint as payload_bytes, sha256(h) as payload_digest from p),
@@ -112,3 +130,19 @@ k as (select w.doc_id, count(*)::bigint as n_words, count(gone.p)::bigint as n_r
 select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
 from d left join k using (doc_id)
 """
+ORACLE["op12_hard_negatives"] = """
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as v
+           from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, list_inner_product(a.v, b.v)::bigint as score
+      from (select distinct * from r where vec_id % 100 = 0) a, r b),
+p as (select anchor_id, vec_id as positive_id, score as positive_score
+      from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as k from s where same and vec_id <> anchor_id)
+      where k <= 5),
+n as (select p.*, s.vec_id as negative_id, s.score as negative_score,
+             row_number() over (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+      from p join s on s.anchor_id = p.anchor_id and not same and 100 * s.score between 80 * positive_score and 100 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
