@@ -198,29 +198,23 @@ def _within(value: Column, bits: list[int], radius: int) -> Column:
 
 def links(nodes: DataFrame, plan: list[tuple[list[int], int]], bucket: int = BUCKET) -> DataFrame:
     """(a, b): fingerprints within two bits of each other, enough of them to connect all that are."""
-    n = nodes.count()
+    key = ["part", "value"]
     index = _filed(nodes, [g for g, _ in plan])
-    probes = None
+    hot = stored(index.groupBy(*key).count().where(F.col("count") > bucket).select(*key, F.lit(True).alias("hot")), "hot-values")
+
+    def tagged(rows: DataFrame) -> DataFrame:
+        return rows.join(hot, key, "left").withColumn("hot", F.col("hot").isNotNull())
+
+    index = stored(tagged(index), "simhash-index")
+    probes = index.where(F.col("part").isin([i for i, (_, t) in enumerate(plan) if t == 0]))
     for i, (g, t) in enumerate(plan):
-        own = F.col("fp").bitwiseAND(F.lit(_mask(g)).cast("bigint"))
-        part = nodes.select("fp", F.lit(i).alias("part"), F.explode(_within(own, g, t)).alias("value"))
-        probes = part if probes is None else probes.unionByName(part)
-    hot = stored(index.groupBy("part", "value").count().where(F.col("count") > bucket), "hot-values")
-    # of values that over a 1024th of all nodes share there are fewer than 1024 in a partition
-    hottest = F.broadcast(hot.where(F.col("count") > n // 1024).select("part", "value"))
-    mild = hot.where(F.col("count") <= n // 1024).select("part", "value")
-
-    def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        key = ["part", "value"]
-        rest = rows.join(hottest, key, "left_anti")
-        met = rows.join(hottest, key, "left_semi").unionByName(rest.join(mild, key, "left_semi"))
-        return rest.join(mild, key, "left_anti"), met.select("fp")
-
-    index, in_hot = split(index)
-    probes, at_hot = split(probes)
-    pairs = index.withColumnRenamed("fp", "a").join(probes.withColumnRenamed("fp", "b"), ["part", "value"]).where("a < b")
+        if t > 0:  # beyond the node's own value also those at up to t bits
+            own = F.col("fp").bitwiseAND(F.lit(_mask(g)).cast("bigint"))
+            probes = probes.unionByName(tagged(nodes.select("fp", F.lit(i).alias("part"), F.explode(_within(own, g, t)).alias("value"))))
+    crowd = index.unionByName(probes).where("hot").select("fp").distinct()
+    index, probes = (x.where("not hot").drop("hot") for x in (index, probes))
+    pairs = index.withColumnRenamed("fp", "a").join(probes.withColumnRenamed("fp", "b"), key).where("a < b")
     close = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).select("a", "b")
-    crowd = in_hot.unionByName(at_hot).distinct()
     places = crowd.select("fp", F.explode(_within(F.col("fp"), list(range(BITS)), 1)).alias("z"))
     stars = places.groupBy("z").agg(F.min("fp").alias("a"), F.collect_list("fp").alias("bs")).where("size(bs) > 1")  # at most 65
     return close.unionByName(stars.select("a", F.explode("bs").alias("b")).where("a != b"))
