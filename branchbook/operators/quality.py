@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, one_row, rnd
-from branchbook.operators.quantiles import exact_quantiles
+from branchbook.operators.quantiles import column_quantiles, exact_quantiles
+from branchbook.session import stored
 
 # Thresholds of the reference's load gates.
 MIN_EXPECTED_ROWS = 10_000
@@ -114,8 +115,8 @@ def numeric_profile(df: DataFrame, cols: list[str], spark: SparkSession | None =
                     approx_accuracy: int | None = None) -> DataFrame:
     """V6: min, max, mean, median, sample std, q25, q75 per numeric column (long form).
 
-    Moments come from one aggregate; quantiles from ``exact_quantiles`` (no task
-    holds a whole column). With ``approx_accuracy`` the quantiles come from
+    Moments come from one aggregate, the quantiles of all columns from four further
+    passes (``column_quantiles``). With ``approx_accuracy`` the quantiles come from
     ``percentile_approx`` in the same single pass instead (rank error about
     1 / accuracy). Values are rounded to 6 places.
     """
@@ -143,13 +144,14 @@ def numeric_profile(df: DataFrame, cols: list[str], spark: SparkSession | None =
     src = df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)  # read by every pass below
     try:
         m = src.agg(*aggs).first()
-        rows = []
-        for c in cols:
-            q25, q50, q75 = exact_quantiles(src, c, list(PROFILE_QUANTILES))
-            rows.append((c, m[f"{c}__min"], m[f"{c}__max"], m[f"{c}__mean"], q50, m[f"{c}__std"], q25, q75))
+        quantiles = column_quantiles(src, {c: list(PROFILE_QUANTILES) for c in cols})
     finally:
         src.unpersist()
     schema = "column_name string, min double, max double, mean double, median double, std double, q25 double, q75 double"
+    rows = []
+    for c in cols:
+        q25, q50, q75 = quantiles[c]
+        rows.append((c, m[f"{c}__min"], m[f"{c}__max"], m[f"{c}__mean"], q50, m[f"{c}__std"], q25, q75))
     out = spark.createDataFrame(rows, schema)
     return out.select("column_name", *[rnd(k, 6).alias(k) for k in ("min", "max", "mean", "median", "std", "q25", "q75")])
 
@@ -264,18 +266,22 @@ def postload_checks(fact: DataFrame, dim_filials: DataFrame, dim_products: DataF
     ) as (check_name, value, threshold, severity, passed)""")
 
 
+REPORT_QUANTILES = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+
+
 def quality_report(records: DataFrame, id_col: str = "rid", sample: int = 5) -> DataFrame:
     """The report of the record validation, one row.
 
     Order as in the reference: dedup -> blanks counted on the deduped rows ->
     rule filter -> z-score outliers on the valid rows. One group-by over all
     columns gives the distinct rows with their multiplicity (total = sum, distinct
-    = count); every other statistic reads that same aggregate (one exchange, reused).
-    Blanks are given in total and as ``missing_<column>``; the numeric columns of the
-    valid rows as ``<column>_min``, ``_max``, ``_mean`` and ``_std`` (quantiles:
-    ``numeric_profile``); the first failed rows by id and with their messages.
+    = count), written to the shared folder; every other statistic reads the columns it
+    needs from there. Blanks are given in total and as ``missing_<column>``; the numeric
+    columns of the valid rows as ``<column>_min``, ``_max``, ``_mean``, ``_std``, ``_q25``,
+    ``_median`` and ``_q75`` (the quantiles of all columns in four passes while the report
+    is built); the first failed rows by id and with their messages.
     """
-    g = records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("__n"))
+    g = stored(records.groupBy(*records.columns).agg(F.count(F.lit(1)).alias("__n")), "quality-rows")
     fields = [c for c in RECORD_FIELDS if c in records.columns]
     types = dict(records.dtypes)
     blanks = [
@@ -290,6 +296,11 @@ def quality_report(records: DataFrame, id_col: str = "rid", sample: int = 5) ->
         numeric += [rnd(fn(x), 6).alias(f"{c}_{k}") for k, fn in
                     (("min", F.min), ("max", F.max), ("mean", F.avg), ("std", F.stddev_samp))]
     valid = e.filter(ok).drop("errors", "__n")
+    profiled = [c for c in NUMERIC_FIELDS if c in fields]
+    quantiles = column_quantiles(valid, {c: list(REPORT_QUANTILES.values()) for c in profiled})
+    found = [
+        rnd(F.lit(v).cast("double"), 6).alias(f"{c}_{k}") for c in profiled for k, v in zip(REPORT_QUANTILES, quantiles[c])
+    ]
     message = F.concat(F.col(id_col).cast("string"), F.lit(": "), F.array_join("errors", ","))
     # distributed top-k
     first = e.filter(~ok).select(F.col(id_col).alias("id"), message.alias("message")).orderBy("id", "message").limit(sample)
@@ -308,7 +319,8 @@ def quality_report(records: DataFrame, id_col: str = "rid", sample: int = 5) ->
         "total_rows", "valid_rows", "duplicate_rows",
         sum((F.col(f"missing_{c}") for c in fields), F.lit(0)).cast("bigint").alias("missing_cells"),
         *[f"missing_{c}" for c in fields],
-        *[f"{c}_{k}" for c in NUMERIC_FIELDS if c in fields for k in ("min", "max", "mean", "std")],
+        *[f"{c}_{k}" for c in profiled for k in ("min", "max", "mean", "std")],
+        *found,
         o["outlier_count"].cast("bigint").alias("outlier_count"),
         "validation_error_count",
         f["sample"].alias("validation_errors_sample"),

@@ -1,8 +1,8 @@
 """Statistics.
 
 Correlations are single aggregates: Pearson on the values, Spearman as Pearson
-on average ranks computed with map-side collapsed value counts and a
-partitioned running total (no global sort of every row). The trend and
+on average ranks; the value counts of all columns are stacked and ranked by one
+prefix scan (one range exchange, no global sort of every row). The trend and
 seasonal jobs run for every branch at once: per-branch windows over its months
 (tens of rows) and per-branch aggregates, no driver loop.
 """
@@ -33,25 +33,25 @@ def pearson_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float
     return [(a, b, row[f"{a}__{b}"]) for a, b in pairs]
 
 
-def average_ranks(df: DataFrame, col: str, out: str, among: Column | None = None) -> DataFrame:
-    """1-based rank of ``col`` with ties sharing their mean rank, attached to every row.
+def average_ranks(df: DataFrame, rankings: dict[str, tuple[str, Column]]) -> DataFrame:
+    """(ranking, value, rank): 1-based ranks of ranking name -> (column, which rows), ties sharing their mean rank.
 
-    Null values have a null rank. ``among`` limits the rows that are ranked; the
-    rank attached to other rows has no meaning.
-
-    Distinct values are counted first (a value held by a third of the rows
-    collapses to one row map-side); their running count comes from the
-    partitioned running total; the (value -> rank) table is joined back on the
-    value, where AQE splits a hot value's partition on the row side.
+    Nulls have no rank. Distinct values are counted first (a value held by a third of
+    the rows collapses to one row map-side); the counts of all rankings are stacked and
+    put in order by one range exchange, and one running total over them, less what the
+    rankings before hold, ranks them all.
     """
-    from branchbook.operators.joins import checked_broadcast
     from branchbook.operators.windows import running_total
 
-    ranked = df.filter(F.col(col).isNotNull() if among is None else F.col(col).isNotNull() & among)
-    vc = ranked.groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
-    cum = running_total(vc, "__c", [F.asc(col)], out="__cum")
-    ranks = cum.select(col, (dbl("__cum") - dbl("__c") + (dbl("__c") + F.lit(1.0)) / F.lit(2.0)).alias(out))
-    return df.join(checked_broadcast(ranks), col, "left")
+    names = list(rankings)
+    entries = [F.struct(F.lit(i).alias("k"), F.when(among, dbl(c)).alias("value")) for i, (c, among) in enumerate(rankings.values())]
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.k", "e.value").where("value is not null")
+    counts = long.groupBy("k", "value").agg(F.count(F.lit(1)).alias("__c"))
+    cum = running_total(counts, "__c", [F.asc("k"), F.asc("value")], out="__cum")
+    first = cum.groupBy("k").agg(F.min(F.col("__cum") - F.col("__c")).alias("__before"))  # one row per ranking
+    own = dbl(F.col("__cum") - F.col("__before"))
+    ranks = cum.join(F.broadcast(first), "k").select("k", "value", (own - dbl("__c") + (dbl("__c") + F.lit(1.0)) / F.lit(2.0)).alias("rank"))
+    return ranks.withColumn("ranking", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("k") + 1)).select("ranking", "k", "value", "rank")
 
 
 def spearman_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float | None]]:
@@ -61,16 +61,22 @@ def spearman_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float
     where its partner is present. Partners without a null beside a value of the
     column leave all its rows, so one ranking serves all of those pairs.
     """
+    from branchbook.operators.joins import checked_broadcast
+
     x = df.select(*[dbl(c).alias(c) for c in cols])
     pairs = list(combinations(cols, 2))
     both_ways = [p for a, b in pairs for p in ((a, b), (b, a))]
     gaps = x.agg(*[F.count_if(F.col(a).isNotNull() & F.col(b).isNull()).alias(f"{a}__{b}") for a, b in both_ways]).first()
     names: dict[tuple[str, str], str] = {}
+    rankings: dict[str, tuple[str, Column]] = {}
     for a, b in both_ways:
-        name = f"__r_{a}__{b}" if gaps[f"{a}__{b}"] else f"__r_{a}"
-        if name not in names.values():
-            x = average_ranks(x, a, name, F.col(b).isNotNull() if gaps[f"{a}__{b}"] else None)
-        names[a, b] = name
+        names[a, b] = f"__r_{a}__{b}" if gaps[f"{a}__{b}"] else f"__r_{a}"
+        rankings.setdefault(names[a, b], (a, F.col(b).isNotNull() if gaps[f"{a}__{b}"] else F.lit(True)))
+    ranks = average_ranks(x, rankings)
+    for k, (name, (c, _)) in enumerate(rankings.items()):
+        # joined back on the value; AQE splits a hot value's partition on the row side
+        x = x.join(checked_broadcast(ranks.where(F.col("k") == k).select(F.col("value").alias(f"__v{k}"), F.col("rank").alias(name))),
+                   F.col(c) == F.col(f"__v{k}"), "left").drop(f"__v{k}")
     both = [F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs]
     row = x.agg(*[
         F.corr(F.when(ok, F.col(names[a, b])), F.when(ok, F.col(names[b, a]))).alias(f"{a}__{b}") for ok, (a, b) in zip(both, pairs)

@@ -187,6 +187,8 @@ select (select cast(count(*) as bigint) from faulty_records) as total_rows,
   {', '.join(f'(select cast(count(*) - count({c}) as bigint) from dedup_rec) as missing_{c}' for c in q.RECORD_FIELDS)},
   {', '.join(f'(select round({fn}(cast({c} as double)), 6) + 0.0 from valid_rec) as {c}_{k}' for c in _PROFILE_COLS
              for k, fn in (('min', 'min'), ('max', 'max'), ('mean', 'avg'), ('std', 'stddev_samp')))},
+  {', '.join(f'(select round(quantile_cont(cast({c} as double), {v}), 6) + 0.0 from valid_rec) as {c}_{k}' for c in _PROFILE_COLS
+             for k, v in (('q25', 0.25), ('median', 0.5), ('q75', 0.75)))},
   (select cast(count(*) as bigint) from valid_rec, st where abs((coalesce(revenue, 0) - mu) / nullif(sd, 0)) > 3) as outlier_count,
   (select cast(count(*) as bigint) from bad_rec) as validation_error_count,
   (select string_agg(cast(rid as varchar), ',' order by rid) from (select rid from bad_rec order by rid limit 5)) as validation_errors_sample,

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: str | None = None
 
@@ -86,3 +87,11 @@ def scratch_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(os.path.join(path, "checkpoints"))
     return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several steps read to the shared folder and read it back: column
+    pruning reaches it, the lineage is cut and a lost executor costs a re-read."""
+    path = f"{scratch_dir(df.sparkSession)}/stored/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -68,3 +68,20 @@ def test_spearman_leaves_nulls_out_pair_by_pair(spark):
     for x, y, r in st.spearman_pairs(df, ["a", "b", "c"]):
         both = frame[[x, y]].dropna().rank()
         assert abs(r - both[x].corr(both[y])) < 1e-9
+
+
+def test_ranks_of_all_columns_come_from_one_range_exchange(spark, monkeypatch):
+    import pandas as pd
+
+    from branchbook.operators import windows
+
+    rng = np.random.default_rng(9)
+    frame = pd.DataFrame({c: rng.integers(-4, 30, 500).astype(float) for c in "abcd"})
+    calls = []
+    scan = windows.scanned_slices
+    monkeypatch.setattr(windows, "scanned_slices", lambda *a, **k: calls.append(1) or scan(*a, **k))
+    df = spark.createDataFrame(frame)
+    got = st.spearman_pairs(df, list("abcd"))
+    assert len(calls) == 1 and len(got) == 6
+    for x, y, r in got:
+        assert abs(r - frame[x].rank().corr(frame[y].rank())) < 1e-9

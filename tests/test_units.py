@@ -105,14 +105,14 @@ def test_exact_quantiles_match_numpy_when_bracketing(spark):
     rng = np.random.default_rng(7)
     vals = np.round(rng.lognormal(3, 1, 5000), 2)
     df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(4)
-    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75], max_collect=300)
+    got = exact_quantiles(df, "x", [0.25, 0.5, 0.75])
     assert np.allclose(got, np.quantile(vals, [0.25, 0.5, 0.75]), rtol=0, atol=1e-9)
 
 
 def test_exact_quantiles_hot_value(spark):
     vals = [1.0] * 3000 + [float(i) for i in range(2, 1002)]
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
-    got = exact_quantiles(df, "x", [0.5], max_collect=100)
+    got = exact_quantiles(df, "x", [0.5])
     assert got[0] == float(np.quantile(vals, 0.5))
 
 
@@ -144,7 +144,7 @@ def test_exact_quantiles_hot_value_at_the_bracket_edge(spark):
     # a third of the rows hold one value and the median falls just past it
     vals = [5.0] * 2000 + [float(i) for i in range(6, 4007)]
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(3)
-    got = exact_quantiles(df, "x", [0.25, 0.5, 0.3333], max_collect=100)
+    got = exact_quantiles(df, "x", [0.25, 0.5, 0.3333])
     assert np.allclose(got, np.quantile(vals, [0.25, 0.5, 0.3333]))
 
 
@@ -160,6 +160,29 @@ def test_feature_columns_present(spark):
     assert scaled.count() == c.count()
 
 
+@pytest.mark.parametrize("kind", ["decimal(28,2)", "bigint", "double"])
+def test_running_total_of_many_rows_with_one_exchange(spark, kind):
+    """Negative values, nulls and ties; 600,000 rows against the window over one partition."""
+    from pyspark.sql import Window
+
+    df = spark.range(600_000).selectExpr("id as k", f"cast(if(id % 11 = 0, null, cast(pmod(id * 7919, 100003) - 30000 as decimal(18,2)) / 4) as {kind}) as v")
+    order = [F.desc("v"), F.asc("k")]
+    got = running_total(df, "v", order)
+    window = F.sum(F.coalesce("v", F.lit(0).cast(kind))).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    expect = df.select("k", window.alias("expect"))
+    off = got.join(expect, "k").where(F.abs(F.col("running") - F.col("expect")) > (1e-3 if kind == "double" else 0))
+    assert got.count() == 600_000 and off.count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    rows = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "rangepartitioning" not in plan and len(rows) == 3  # after the stored slices: one row per slice, then its broadcast
+
+
+def test_running_total_refuses_to_wrap_around(spark):
+    df = spark.createDataFrame([(1, 2**62), (2, 2**62), (3, 1)], "k int, v bigint")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        running_total(df, "v", [F.asc("k")], partitions=1)
+
+
 def test_running_total_with_further_columns(spark):
     """The slices of both steps are the same rows whatever columns travel along."""
     df = spark.range(20000).selectExpr("id as k", "cast(pmod(id * 7919, 1009) as bigint) as v", "concat('n', id) as name", "id % 3 as c").repartition(7)
@@ -171,14 +194,36 @@ def test_running_total_with_further_columns(spark):
         assert r["running"] == total
 
 
-def test_order_statistics_beyond_the_fetch_limit(spark):
-    from branchbook.operators.quantiles import _order_stats
+def test_order_statistics(spark):
+    from branchbook.operators.quantiles import order_statistics
 
     df = spark.createDataFrame([(float(v % 700),) for v in range(2000)], "x double")
     ranks = [0, 3, 999, 1000, 1999]
-    got = _order_stats(df, ranks, 2000, 0)
     expect = sorted(float(v % 700) for v in range(2000))
-    assert got == {r: expect[r] for r in ranks}
+    assert order_statistics(df, "x", ranks) == {r: expect[r] for r in ranks}
+
+
+def test_quantiles_of_several_columns_in_four_passes(spark, monkeypatch):
+    """Signs, tiny and huge values, hot values, nulls, NaN and empty columns; the passes don't grow with any of them."""
+    from branchbook.operators import quantiles as qn
+
+    rng = np.random.default_rng(12)
+    wide = np.concatenate([rng.normal(size=2000) * 10.0 ** rng.integers(-300, 300, 2000), [-0.0, 0.0, 5e-324, -5e-324, 1.7e308, -1.7e308]])
+    hot = np.where(rng.random(len(wide)) < 0.7, -3.25, rng.normal(size=len(wide)))
+    rows = [(float(a), float(b), None, float("nan") if i % 9 == 0 else (None if i % 7 == 0 else float(i))) for i, (a, b) in enumerate(zip(wide, hot))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    passes = []
+    once = qn._histograms
+    monkeypatch.setattr(qn, "_histograms", lambda *a: passes.append(1) or once(*a))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    got = qn.column_quantiles(df, {"a": probs, "b": probs, "c": [0.5], "d": [0.5]})
+    assert len(passes) == 4
+    a = np.sort(wide)
+    assert got["a"][0] == a[0] and got["a"][-1] == a[-1] and got["a"][2] == np.quantile(a, 0.25)
+    assert np.allclose(got["b"], np.quantile(hot, probs), rtol=0, atol=1e-12)
+    assert got["c"] == [None]
+    assert got["d"] == [float(np.median([i for i in range(len(wide)) if i % 9 and i % 7]))]
+    assert qn.column_quantiles(df.limit(0), {"a": [0.5]}) == {"a": [None]}
 
 
 def test_preload_checks_report_missing_columns(spark):
