@@ -1,8 +1,8 @@
 """Machine learning jobs.
 
 * Isolation forest (Liu, Ting and Zhou, ICDM 2008) has no Spark ML class. The
-  tree samples are drawn on Spark (seeded hashes of row copies), each tree is
-  grown by ``applyInPandas`` on its 256 rows, the node table (at most trees x
+  tree samples come from mergeable bottom-k sketches (one per tree and task, no
+  shuffle of the rows), each tree is grown by ``applyInPandas`` on its 256 rows, the node table (at most trees x
   511 rows: a proven bound) is broadcast, and all rows are scored by a pandas
   UDF over the feature columns.
 * K-means and the random forest are Spark ML; inputs are branches x months,
@@ -16,10 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, rnd
+from branchbook.session import stored
 
 # Fixed values of the models.
 N_TREES = 100
@@ -30,7 +33,8 @@ N_CLUSTERS = 3
 N_STARTS = 10
 RF_TREES = 100
 RF_MAX_DEPTH = 30  # the most Spark allows
-POOL_FACTOR = 4  # isolation forest: rows in the common pool, in multiples of trees x sample
+SPARE = 64  # isolation forest: draws that a sketch keeps beyond twice the sample
+REPEATED = 1.1  # rows per distinct row above which a table counts as one of repeated rows
 # Training knobs that change speed, not the model: cache node ids per row and let
 # one pass over the data split more nodes at a time.
 RF_SPEED = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
@@ -77,34 +81,74 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple[int
 NODE_SCHEMA = "tree int, node int, feat int, thr double, left int, right int, size int"
 
 
-def _tree_samples(x: DataFrame, fcols: list[str], id_cols: list[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
-    """(fcols, tree): ``psi`` of the ``n`` rows for each tree, drawn uniformly and independently of order and partitions.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Bijective 64-bit finaliser."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
 
-    Equal rows are counted first (map-side), so a row value that many rows share costs
-    one row and enters by its number of copies, not as a block. Every copy joins a
-    common pool of about POOL_FACTOR x trees x psi rows with the same chance; from the
-    pool, each tree takes the psi copies of least hash.
+def _sketches(batches: Iterator[pa.RecordBatch], n_trees: int, psi: int, seed: int, limit: int, by_place: bool) -> Iterator[pa.RecordBatch]:
+    """One task's bottom-``psi`` sketch of every tree: (g, features, tree) of its least draws g below ``limit``.
+
+    Column 0 holds the rows' hashes, the others the features. A row draws by its hash
+    and the tree; further copies of it in a batch, and with ``by_place`` all rows, by
+    their place in the task besides.
+    """
+    here = TaskContext.get().partitionId()
+    stream = _mixed(np.arange(1, n_trees + 1, dtype=np.uint64) + np.uint64(seed << 20))
+    sketch = [pa.table({}) for _ in range(n_trees)]
+    names: list[str] = []
+    at = 0
+    for batch in batches:
+        names = batch.schema.names
+        h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        copy = np.ones(len(h), dtype=bool)
+        if not by_place:
+            copy[np.unique(h, return_index=True)[1]] = False
+        place = _mixed(np.arange(at, at + len(h), dtype=np.uint64) + np.uint64((here + 1) << 40))
+        h = np.where(copy, _mixed(h ^ place), h)
+        at += len(h)
+        for t in range(n_trees):
+            g = _mixed(h ^ stream[t])
+            low = np.flatnonzero(g <= np.uint64(limit))
+            if not len(low):
+                continue
+            rows = pa.table({"g": (g[low] >> np.uint64(1)).astype(np.int64)} | {c: batch.column(c).take(pa.array(low)) for c in names[1:]})
+            rows = pa.concat_tables([sketch[t], rows]) if sketch[t].num_rows else rows
+            if rows.num_rows > 2 * psi:  # only the least psi stay
+                rows = rows.take(pa.array(np.argsort(rows.column("g").to_numpy(), kind="stable")[:psi]))
+            sketch[t] = rows
+    for t, rows in enumerate(sketch):
+        if rows.num_rows:
+            order = np.argsort(rows.column("g").to_numpy(), kind="stable")[:psi]
+            rows = rows.take(pa.array(order)).append_column("tree", pa.array(np.full(len(order), t, dtype=np.int32)))
+            yield from rows.combine_chunks().to_batches()
+
+
+def _tree_samples(x: DataFrame, fcols: list[str], id_cols: list[str], n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
+    """(fcols, tree): ``psi`` of the ``n`` rows for each tree, drawn uniformly and on its own.
+
+    Every row has a 64-bit draw for every tree, and a tree takes the rows of the least
+    draws. Each task keeps the least ``psi`` of its rows for each tree and lets go of
+    draws that can't be among the least of the whole table, so about twice
+    trees x psi rows leave all tasks together, never more than trees x psi leave
+    one, and rows are not shuffled. Draws come from the row's content, so the sample
+    of distinct rows doesn't depend on order or partitions. In a table of repeated rows
+    (told by a distinct-count sketch) every copy draws on its own, by its place.
     """
-    share = min(1.0, POOL_FACTOR * n_trees * psi / n)
-    counted = x.groupBy(F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed)).alias("h"), *fcols).agg(F.count(F.lit(1)).alias("c"))
-
-    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            h, c = pdf["h"].to_numpy().view(np.uint64), pdf["c"].to_numpy()
-            kept = c if share >= 1.0 else ((h >> np.uint64(11)) * 2.0**-53 < share).astype(int)
-            if share < 1.0:
-                for i in np.flatnonzero(c > 1):
-                    kept[i] = np.random.default_rng([seed, int(h[i])]).binomial(c[i], share)
-            out = pdf.loc[pdf.index.repeat(kept), ["h", *fcols]]
-            yield out.assign(copy=out.groupby(level=0).cumcount())
-
-    schema = "h bigint, " + ", ".join(f"{c} double" for c in fcols) + ", copy bigint"
-    pool = counted.mapInPandas(thin, schema).checkpoint(eager=True)  # bounded by the pool size
-    part = min(1.0, (2 * psi + 64) / max(pool.count(), 1))  # the least psi hashes lie below twice their expected place
-    dealt = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))).withColumn("g", F.xxhash64("h", "copy", "tree", F.lit(seed)))
-    dealt = dealt.filter(F.col("g") <= F.lit(min(2**63 - 1, int(-(2**63) + part * 2**64))))
-    order = Window.partitionBy("tree").orderBy("g", "h", "copy")
-    return dealt.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= psi).select(*fcols, "tree")
+    hashed = x.select(F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed)).alias("__h"), *fcols)
+    distinct = hashed.agg(F.approx_count_distinct("__h", 0.02)).first()[0]
+    by_place = n > REPEATED * distinct
+    schema = "g bigint, " + ", ".join(f"{c} double" for c in fcols) + ", tree int"
+    order = Window.partitionBy("tree").orderBy("g", *fcols)
+    share = min(1.0, (2 * psi + SPARE) / n)  # the least psi draws of n lie below twice their expected place
+    for limit in dict.fromkeys([min(int(share * 2**64), 2**64 - 1), 2**64 - 1]):
+        kept = hashed.mapInArrow(lambda it, limit=limit: _sketches(it, n_trees, psi, seed, limit, by_place), schema)
+        picked = stored(kept.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= psi).select(*fcols, "tree"), "tree-samples")
+        if picked.count() == n_trees * min(psi, n):
+            break
+    return picked
 
 
 def isolation_forest(df: DataFrame, features: list[str], n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
@@ -118,10 +162,8 @@ def isolation_forest(df: DataFrame, features: list[str], n_trees: int = N_TREES,
     exact. An empty table stays empty.
     """
     from branchbook.operators.quantiles import exact_quantiles
-    from branchbook.session import scratch_dir
 
     spark = df.sparkSession
-    scratch_dir(spark)  # makes sure a checkpoint folder is set
     x = df.withColumns({f"__f{i}": F.coalesce(dbl(c), F.lit(0.0)) for i, c in enumerate(features)})
     fcols = [f"__f{i}" for i in range(len(features))]
     n = df.count()
@@ -175,8 +217,8 @@ def isolation_forest(df: DataFrame, features: list[str], n_trees: int = N_TREES,
         mean_h = total / feat.shape[0]
         return pd.Series(np.power(2.0, -mean_h / c_psi) if c_psi > 0 else np.full(len(f), 0.5))
 
-    # scored once: the quantile passes and the caller reread a checkpoint, not the forest
-    scored = x.withColumn("iso_score", score(F.struct(*fcols))).drop(*fcols).checkpoint(eager=True)
+    # scored once: the quantile passes read the stored score column, not the forest
+    scored = stored(x.withColumn("iso_score", score(F.struct(*fcols))).drop(*fcols), "isolation-scores")
     thr_v = exact_quantiles(scored, "iso_score", [1.0 - contamination])[0]
     return scored.withColumn("anomaly_iso", F.when(F.col("iso_score") > F.lit(thr_v), F.lit(-1)).otherwise(F.lit(1)))
 

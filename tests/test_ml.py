@@ -103,6 +103,26 @@ def test_isolation_forest_samples_copies_in_proportion(spark):
     assert abs(got - 1 / 3) < 0.02
 
 
+def test_isolation_forest_of_few_distinct_rows_samples_copies(spark):
+    """Each of 300 rows occurs 200 times, spread over all tasks: copies come one by one, not as blocks."""
+    n = 60_000
+    df = spark.range(n).select((F.col("id") % 300).cast("double").alias("__f0")).repartition(8)
+    got = ml._tree_samples(df, ["__f0"], ["__f0"], n, 60, 256, 42).groupBy("tree").agg(F.countDistinct("__f0"), F.count("*")).collect()
+    assert all(r[2] == 256 for r in got)
+    # of 300 values, 256 draws meet 300 * (1 - exp(-256 / 300)) = 172
+    assert abs(np.mean([r[1] for r in got]) - 172) < 6
+
+
+def test_isolation_sketches_leave_few_rows(spark):
+    """No task hands on more than trees x psi rows, and all together about twice that."""
+    n, trees, psi = 40_000, 20, 64
+    x = spark.range(n).select(F.xxhash64("id").alias("__h"), F.col("id").cast("double").alias("__f0")).repartition(10)
+    for limit, most in ((2**64 - 1, 10 * trees * psi), (int((2 * psi + 64) / n * 2**64), 3.5 * trees * psi)):
+        got = x.mapInArrow(lambda it, limit=limit: ml._sketches(it, trees, psi, 1, limit, False), "g bigint, __f0 double, tree int")
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id(), "tree").count().collect()]
+        assert max(sizes) <= psi and trees * psi <= sum(sizes) <= most
+
+
 def test_isolation_forest_of_an_empty_table_is_empty(spark):
     df = spark.createDataFrame([], "id int, SUMMA double, CNT double")
     out = ml.isolation_forest(df, ["SUMMA", "CNT"], id_cols=["id"])
