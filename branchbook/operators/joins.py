@@ -9,8 +9,16 @@ broadcast or shuffled-hash join, skew splitting).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from branchbook.operators.windows import SLICE, scanned_slices
 
 # Largest plan estimate that we hint as broadcast (AQE may still broadcast
 # smaller sides at run time by their measured size).
@@ -67,17 +75,82 @@ def semi_by_values(target: DataFrame, source: DataFrame, target_col: str, source
     return target.join(vals, F.col(target_col) == F.col("__v"), "left_semi")
 
 
+# Versions of one key up to which each fact may look at all of them.
+FEW_VERSIONS = 16
+
+
 def point_in_time(fact: DataFrame, dim_versions: DataFrame, key: str, date_col: str,
                   valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """Fact joined to the dimension version valid on the fact's date.
+    """Fact joined to the dimension version valid on the fact's date, null where there is none.
 
-    Equi-join on the key plus a range condition; the version table is small per
-    key (one row per change), so the equi key carries the partitioning.
+    Versions of a key don't overlap, as SCD2 leaves them. A version table of a checked
+    size with few versions of any key is broadcast and met by equi-join and range
+    condition; otherwise ``as_of_merge`` looks each fact's version up without fan-out.
+    """
+    size = plan_size_bytes(dim_versions)
+    if size is not None and size <= BROADCAST_LIMIT_BYTES:
+        most = dim_versions.groupBy(key).count().agg(F.max("count")).first()[0]
+        if (most or 0) <= FEW_VERSIONS:
+            v = F.broadcast(dim_versions)
+            cond: Column = (
+                (fact[key] == v[key])
+                & (fact[date_col] >= v[valid_from])
+                & (fact[date_col] <= v[valid_to])
+            )
+            return fact.join(v, cond, "left").drop(v[key])
+    return as_of_merge(fact, dim_versions, key, date_col, valid_from, valid_to)
+
+
+def _last_versions(tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """Gives each row of a sorted slice the last version above it that has its key (``__found``)."""
+    carry = None
+    for t in tables:
+        keys, versions = (t.column(c).combine_chunks() for c in ("__k", "__v"))
+        if carry is None:
+            carry = pa.nulls(1, keys.type), pa.nulls(1, versions.type)
+        keys_above, versions_above = (pa.concat_arrays([c, x]) for c, x in zip(carry, (keys, versions)))
+        is_version = t.column("__fact").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+        above = np.maximum.accumulate(np.append(0, np.where(is_version, np.arange(1, len(is_version) + 1), 0)))
+        same = pc.fill_null(pc.equal(keys_above.take(pa.array(above[1:])), keys), False)
+        at = pc.if_else(same, pa.array(above[1:]), pa.scalar(None, pa.int64()))
+        yield t.append_column("__found", versions_above.take(at))
+        carry = keys_above.slice(above[-1], 1), versions_above.slice(above[-1], 1)
+
+
+def as_of_merge(fact: DataFrame, dim_versions: DataFrame, key: str, date_col: str,
+                valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """J10 for versions of any number: facts and versions in one order by key and date, the last version carried forward.
+
+    Both go through one range exchange; each task scans its slice and hands its last
+    version on to the slices after it (one row per slice). Each fact costs one row
+    however many versions its key has, and a key that holds a large share of the facts
+    is spread over several slices (by date, then by the row's content). Facts without a
+    key or date match nothing and are not moved.
     """
-    v = checked_broadcast(dim_versions)
-    cond: Column = (
-        (fact[key] == v[key])
-        & (fact[date_col] >= v[valid_from])
-        & (fact[date_col] <= v[valid_to])
+    attrs = [c for c in dim_versions.columns if c != key]
+    ftype, vtype = (T.StructType([T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(cols)])
+                    for df, cols in ((fact, fact.columns), (dim_versions, attrs)))
+    placed = fact.where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
+    rows = placed.select(
+        F.col(key).alias("__k"), F.col(date_col).alias("__d"), F.lit(1).alias("__kind"), F.xxhash64(*fact.columns).alias("__spread"),
+        F.lit(None).cast(vtype).alias("__v"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(fact.columns)]).alias("__fact"),
+    )
+    versions = dim_versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(key).alias("__k"), F.col(valid_from).cast(fact.schema[date_col].dataType).alias("__d"), F.lit(0).alias("__kind"),
+        F.unix_date(F.col(valid_to).cast("date")).cast("bigint").alias("__spread"),
+        F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(attrs)]).alias("__v"), F.lit(None).cast(ftype).alias("__fact"),
     )
-    return fact.join(v, cond, "left").drop(v[key])
+    order = [F.asc(c) for c in ("__k", "__d", "__kind", "__spread")]
+    found = T.StructType([T.StructField("__found", vtype)])
+    r = scanned_slices(rows.unionByName(versions), order, _last_versions, found, name="as-of")
+    last = F.max_by(F.struct("__k", "__v"), F.when(F.col("__kind") == 0, F.struct("__k", "__d", "__spread")))
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = r.groupBy(SLICE).agg(last.alias("__last")).select(SLICE, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    j = r.where("__kind = 1").join(F.broadcast(carry), SLICE)
+    j = j.withColumn("__found", F.coalesce("__found", F.when(F.col("__carry.__k") == F.col("__k"), F.col("__carry.__v"))))
+    end = F.col(f"__found.c{attrs.index(valid_to)}")
+    j = j.withColumn("__found", F.when(F.col("__d") <= end, F.col("__found")))
+    out = j.select(*[F.col(f"__fact.c{i}").alias(c) for i, c in enumerate(fact.columns)],
+                   *[F.col(f"__found.c{i}").alias(c) for i, c in enumerate(attrs)])
+    unplaced = fact.where(F.col(key).isNull() | F.col(date_col).isNull())
+    return out.union(unplaced.select(*fact.columns, *[F.lit(None).cast(dim_versions.schema[c].dataType).alias(c) for c in attrs]))

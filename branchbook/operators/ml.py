@@ -38,6 +38,7 @@ REPEATED = 1.1  # rows per distinct row above which a table counts as one of rep
 # Training knobs that change speed, not the model: cache node ids per row and let
 # one pass over the data split more nodes at a time.
 RF_SPEED = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
+FOREST_ROWS = 50_000  # rows of a partition that a forest is worth a task for
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -335,6 +336,11 @@ def cv_folds(frame: DataFrame, id_cols: list[str], seed: int = SEED) -> tuple[Da
     return ranked.withColumn("fold", ((F.col("__rank") - 1) % k).cast("int")).drop("__one", "__rank"), k, name
 
 
+def _by_size(df: DataFrame) -> DataFrame:
+    """At least FOREST_ROWS rows a partition: each of a forest's many passes costs a task per partition."""
+    return df.coalesce(max(1, df.count() // FOREST_ROWS))
+
+
 def rf_cross_validate(frame: DataFrame, features: list[str], label: str, id_cols: list[str],
                       max_depth: int = RF_MAX_DEPTH, trees: int = RF_TREES, seed: int = SEED,
                       names: list[str] | None = None) -> DataFrame:
@@ -349,7 +355,8 @@ def rf_cross_validate(frame: DataFrame, features: list[str], label: str, id_cols
     folded, k, name = cv_folds(frame, id_cols, seed)
     data = VectorAssembler(inputCols=features, outputCol="features").transform(
         folded.select(*features, F.col(label).cast("double").alias("label"), "fold")
-    ).cache()
+    )
+    data = _by_size(stored(data, "forest-folds")).cache()
     from concurrent.futures import ThreadPoolExecutor
 
     def run_fold(f: int) -> dict:
@@ -392,6 +399,7 @@ def rf_importances(frame: DataFrame, features: list[str], label: str, max_depth:
     data = VectorAssembler(inputCols=features, outputCol="features").transform(
         frame.select(*features, F.col(label).cast("double").alias("label"))
     )
+    data = _by_size(stored(data, "forest-rows"))
     model = RandomForestRegressor(numTrees=trees, maxDepth=max_depth, seed=seed, featureSubsetStrategy="all",
                                   **RF_SPEED).fit(data)
     imp = model.featureImportances.toArray()

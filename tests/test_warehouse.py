@@ -111,3 +111,40 @@ def test_upsert_with_null_keys_twice_equals_once(spark):
     rest = target.join(once.select("period_idx").distinct(), "period_idx", "left_anti")
     twice = wh.upsert_facts(rest.unionByName(once), stg, now)
     assert _rows(once) == _rows(twice)
+
+
+def test_as_of_merge_equals_the_range_join(spark):
+    """Null keys and dates, gaps, facts before and after all versions, hot keys, decimals; many slices."""
+    from branchbook.operators.joins import as_of_merge
+
+    versions = spark.range(40).selectExpr(
+        "cast(id % 5 as int) as k", "date_add(date'2020-01-01', cast(id * 11 as int)) as valid_from",
+        "date_add(date'2020-01-01', cast(id * 11 + if(id % 4 = 0, 20, 54) as int)) as valid_to", "concat('v', id) as name", "cast(id as decimal(9,2)) as rate")
+    fact = spark.range(3000).selectExpr(
+        "id", "cast(if(id % 17 = 0, null, if(id % 3 = 0, 2, id % 7)) as int) as k",
+        "if(id % 19 = 0, null, date_add(date'2019-12-01', cast(pmod(id * 37, 600) as int))) as d", "cast(id as decimal(18,2)) as summa")
+    v = versions.alias("v")
+    plain = fact.join(v, (fact.k == F.col("v.k")) & (fact.d >= F.col("v.valid_from")) & (fact.d <= F.col("v.valid_to")), "left").drop(F.col("v.k"))
+    got = as_of_merge(fact, versions, "k", "d")
+    assert got.columns == plain.columns and got.schema["rate"].dataType == plain.schema["rate"].dataType
+    key = lambda rows: sorted(tuple(str(x) for x in r) for r in rows)
+    assert key(got.collect()) == key(plain.collect())
+    assert as_of_merge(fact, versions.limit(0), "k", "d").where("name is null").count() == 3000
+    assert as_of_merge(fact.limit(0), versions, "k", "d").count() == 0
+
+
+def test_as_of_merge_of_a_key_with_many_versions(spark):
+    """10,000 versions of one key: each fact stays one row, with no join on the key."""
+    from branchbook.operators.joins import point_in_time
+
+    versions = spark.range(10_000).selectExpr("1 as k", "date_add(date'1990-01-01', cast(id as int)) as valid_from",
+                                              "date_add(date'1990-01-01', cast(id as int)) as valid_to", "id as version")
+    fact = spark.range(20_000).selectExpr("1 as k", "date_add(date'1989-12-01', cast(id % 12000 as int)) as d", "id")
+    got = point_in_time(fact, versions, "k", "d")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    rows = got.collect()
+    assert len(rows) == 20_000
+    for r in rows:
+        day = r.id % 12000 - 31
+        assert r.version == (day if 0 <= day < 10_000 else None)
