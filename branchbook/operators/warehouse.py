@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.operators.joins import checked_broadcast
@@ -18,6 +18,7 @@ from branchbook.operators.joins import checked_broadcast
 # Fixed values of the slowly changing dimensions.
 OPEN_END = _dt.date(9999, 12, 31)
 HISTORY_START = _dt.date(1900, 1, 1)
+KPI_KEY = ["filial_id", "period", "period_idx", "inc_gk"]
 UPSERT_KEY = ["operation_date", "filial_id", "inc_gk", "sender_category"]
 SEASONS = ("winter", "spring", "summer", "autumn")  # Dec-Feb, Mar-May, Jun-Aug, Sep-Nov
 
@@ -85,6 +86,95 @@ def scd_merge(versions: DataFrame, staged: DataFrame, key: str, type2: list[str]
     return out
 
 
+VERSION_COLUMNS = ("valid_from", "valid_to", "is_current", "observed")
+
+
+def _known(attrs: list[str], prefix: str = "") -> Column:
+    """Which attributes are not null, a bit for each."""
+    return sum((F.when(F.col(f"{prefix}{c}").isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(attrs)), F.lit(0)).cast("bigint")
+
+
+def observed_versions(versions: DataFrame, key: str) -> DataFrame:
+    """A version table with ``observed``: the days on which snapshots confirmed each version, and which attributes they knew."""
+    attrs = [c for c in versions.columns if c not in (key, *VERSION_COLUMNS)]
+    return versions.withColumn("observed", F.array(F.struct(F.col("valid_from").alias("day"), _known(attrs).alias("known"))))
+
+
+def scd_history(observations: DataFrame, key: str, type2: list[str], schema_of: DataFrame) -> DataFrame:
+    """SCD2 versions from (key, __day, __prio, attributes): one version for each stretch of days with the same type-2 values.
+
+    A null means "not known" and keeps the value before it. Of rows of one key and day,
+    the greatest ``__prio`` wins column by column. The rows of a key are as many as
+    the snapshots that hold it (one per load).
+    """
+    attrs = [c for c in schema_of.columns if c not in (key, *VERSION_COLUMNS)]
+    known = [F.max(F.when(F.col(c).isNotNull(), F.struct("__prio", F.col(c).alias("v")))).getField("v").alias(c) for c in attrs]
+    days = observations.groupBy(key, "__day").agg(*known).withColumn("__known", _known(attrs))
+    w = Window.partitionBy(key).orderBy("__day")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    filled = days.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in attrs})
+    changed = F.row_number().over(w) == 1
+    for c in type2:
+        changed = changed | F.coalesce(F.col(c) != F.lag(c).over(w), F.lit(False))
+    numbered = filled.withColumn("__changed", changed).withColumn("__version", F.sum(F.col("__changed").cast("int")).over(upto))
+    spans = numbered.groupBy(key, "__version").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__day"))).alias(c) for c in attrs],
+        F.min("__day").alias("valid_from"), F.sort_array(F.collect_list(F.struct(F.col("__day").alias("day"), F.col("__known").alias("known")))).alias("observed"),
+    )
+    after = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    out = spans.withColumn("valid_to", F.coalesce(F.date_sub(after, 1), F.lit(OPEN_END)))
+    return out.withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END)).select(*schema_of.columns)
+
+
+def scd_merge_any_order(versions: DataFrame, staged: DataFrame, key: str, type2: list[str], type1: list[str],
+                        as_of: _dt.date) -> DataFrame:
+    """E1 + E2 for snapshots that may come late: the table depends on the snapshots, not on their order.
+
+    ``versions`` carries ``observed``, the days that confirmed each version and what
+    they knew (see ``observed_versions``). A snapshot of a later day than all of a key's either
+    confirms the open version (its row takes one more day) or changes it. For a changed
+    key, a new key and a snapshot of an earlier day the key's observations are taken
+    apart and put together anew (``scd_history``): a day inside a version splits it,
+    its last part starting on the next day that confirmed it, and neighbours of
+    the same values become one. A later snapshot of the same day overwrites. Type-1 columns
+    take the values of the key's latest day on every version. A column of neither type
+    has one value in a version, the last known. Keys that are not in the snapshot stay
+    as they are.
+    """
+    attrs = [c for c in versions.columns if c not in (key, *VERSION_COLUMNS)]
+    types = dict(versions.dtypes)
+    stg = staged.select(key, *[(F.col(c) if c in staged.columns else F.lit(None)).cast(types[c]).alias(c) for c in attrs])
+    s = stg.select(F.col(key).alias("__k"), F.lit(True).alias("__staged"), *[F.col(c).alias(f"__s_{c}") for c in attrs])
+    open_rows = versions.where("is_current").join(s, F.col(key) == F.col("__k"))
+    differs = F.lit(False)
+    for c in type2:
+        differs = differs | F.coalesce(F.col(c) != F.col(f"__s_{c}"), F.lit(False))
+    late = F.array_max("observed.day") >= F.lit(as_of)
+    seen = F.struct(F.lit(as_of).alias("day"), _known(attrs, "__s_").alias("known"))
+    plan = open_rows.select("__k", (late | differs).alias("__redo"), seen.alias("__seen"))
+    placed = versions.join(plan, F.col(key) == F.col("__k"), "left").drop("__k")
+    confirmed = F.coalesce(~F.col("__redo"), F.lit(False)) & F.col("is_current")
+    kept = placed.where(~F.coalesce("__redo", F.lit(False))).withColumn(
+        "observed", F.when(confirmed, F.array_append("observed", F.col("__seen"))).otherwise(F.col("observed")))
+    old = placed.where("__redo").select(key, *attrs, F.explode("observed").alias("__o")).select(
+        key, F.col("__o.day").alias("__day"), F.lit(0).alias("__prio"),
+        *[F.when(F.col("__o.known").bitwiseAND(F.lit(1 << i)) != 0, F.col(c)).alias(c) for i, c in enumerate(attrs)])
+    redo_keys = plan.where("__redo").select("__k")
+    new_keys = stg.join(versions.select(F.col(key).alias("__k")).distinct(), F.col(key) == F.col("__k"), "left_anti")
+    redo = stg.join(redo_keys, F.col(key) == F.col("__k"), "left_semi").unionByName(new_keys)
+    fresh = redo.select(key, F.lit(as_of).alias("__day"), F.lit(1).alias("__prio"), *attrs)
+    out = kept.select(*versions.columns).unionByName(scd_history(old.unionByName(fresh), key, type2, versions))
+    if not type1:
+        return out
+    # the latest day's values: the snapshot's, unless the key has been seen on a later day
+    last = versions.groupBy(F.col(key).alias("__k")).agg(F.max(F.array_max("observed.day")).alias("__last"))
+    t1 = stg.join(last, F.col(key) == F.col("__k"), "left").where(F.col("__last").isNull() | (F.col("__last") <= F.lit(as_of)))
+    t1 = t1.select(F.col(key).alias("__k1"), *[F.col(c).alias(f"__t1_{c}") for c in type1])
+    old1 = versions.groupBy(F.col(key).alias("__k0")).agg(*[F.max_by(c, "valid_from").alias(f"__t0_{c}") for c in type1])
+    out = out.join(t1, F.col(key) == F.col("__k1"), "left").join(old1, F.col(key) == F.col("__k0"), "left")
+    return out.select(*[F.coalesce(f"__t1_{c}", f"__t0_{c}", c).alias(c) if c in type1 else F.col(c) for c in versions.columns])
+
+
 def changed_or_new(current: DataFrame, staged: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """Staged rows whose key has no current row or whose attributes differ."""
     cur = current.filter(F.col("is_current")).select(key, *[F.col(c).alias(f"__c_{c}") for c in cols])
@@ -96,7 +186,7 @@ def changed_or_new(current: DataFrame, staged: DataFrame, key: str, cols: list[s
 
 
 def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: list[str] = UPSERT_KEY,
-                 only_if_changed: bool = True) -> DataFrame:
+                 only_if_changed: bool = True, traced: bool = False) -> DataFrame:
     """Keyed upsert of staged facts into the months they touch.
 
     Staged rows are first reduced to one per key (least by the remaining
@@ -104,7 +194,8 @@ def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: l
     after it does, so reloads stay idempotent with a null category. Matched rows take the staged summa,
     cnt and the load time (only where summa differs when ``only_if_changed``);
     weight and period keep the stored value. Unmatched staged rows are inserted.
-    Returns the new content of the touched month partitions only.
+    Returns the new content of the touched month partitions only. ``traced`` adds what the
+    upsert did to a row: ``old_summa`` and ``old_cnt`` (null for an insert) and ``changed``.
 
     Written as a left join from the table (AQE can split a hot key on that
     side) plus an anti join of the staged rows against the table's distinct
@@ -132,15 +223,38 @@ def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: l
         else F.when(upd, F.lit(now)).otherwise(F.col(c)).alias(c) if c == "loaded_at"
         else F.col(c)
         for c in target.columns
-    ])
+    ], *([F.col("summa").alias("old_summa"), F.col("cnt").alias("old_cnt"), upd.alias("changed")] if traced else []))
     t_keys = t.select(*[F.col(k).alias(f"t_{k}") for k in key]).distinct()
     new = s.join(t_keys, on(s, "t_"), "left_anti")
     inserted = new.select(*[
         F.lit(now).alias(c) if c == "loaded_at" and c not in new.columns else F.col(c) for c in target.columns
-    ])
+    ], *([F.lit(None).cast(target.schema[c].dataType).alias(f"old_{c}") for c in ("summa", "cnt")] + [F.lit(True).alias("changed")] if traced else []))
     return kept.unionByName(inserted)
 
 
+def kpi_delta(traced: DataFrame) -> DataFrame:
+    """Signed changes of the KPI aggregate from a traced upsert: new values less replaced ones, by group.
+
+    Only changed rows are read. An update keeps the stored weight, so only inserts add to it.
+    """
+    rows = traced.where("changed")
+    none = F.lit(0)
+    return rows.groupBy(*KPI_KEY).agg(
+        F.sum(F.col("summa") - F.coalesce("old_summa", none)).alias("revenue"),
+        F.sum(F.col("cnt") - F.coalesce("old_cnt", none)).alias("operations"),
+        F.sum(F.when(F.col("old_summa").isNull(), F.col("weight"))).alias("total_weight"),
+    )
+
+
+def apply_kpi_delta(kpi: DataFrame, delta: DataFrame) -> DataFrame:
+    """The KPI groups of the months that a delta touches, with it added; a sum of both, no join."""
+    months = F.broadcast(delta.select("period_idx").distinct())  # a month list
+    cols = [*KPI_KEY, "revenue", "operations", "total_weight"]
+    both = kpi.select(*cols).join(months, "period_idx", "left_semi").select(*cols).unionByName(delta.select(*cols))
+    types = dict(kpi.dtypes)
+    return both.groupBy(*KPI_KEY).agg(*[F.sum(c).cast(types[c]).alias(c) for c in ("revenue", "operations", "total_weight")])
+
+
 def refresh_kpi(fact: DataFrame, touched_months: DataFrame) -> DataFrame:
     """The KPI aggregate (A3) recomputed for the touched months only."""
     from branchbook.operators.aggregates import kpi_aggregate

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl
 from branchbook.operators import warehouse as wh
-from branchbook.operators.joins import point_in_time
+from branchbook.operators.joins import as_of_merge, point_in_time
 from branchbook.plans.catalog import register
 from branchbook.plans.oracle_base import cte, with_ctes
 from branchbook.sources import fixtures as fx
+from branchbook.session import stored
 from branchbook.sources.star import star
 
 # Fixed value: the change date used by the point-in-time example.
@@ -132,6 +133,78 @@ def q_scd1_overwrite(spark, sf_dir):
                         load_day(spark, sf_dir))
 
 
+# The days of the snapshots that come out of order, as they are loaded.
+SNAPSHOT_DAYS = (_dt.date(1997, 6, 1), _dt.date(1995, 6, 1), _dt.date(1996, 6, 1), _dt.date(1995, 6, 1))
+SNAPSHOT_RULES = {1995: 2, 1996: 3, 1997: 5}  # accounts of these multiples have moved to the other direction
+
+
+def product_snapshot(s, day: _dt.date):
+    """The product dim as exported on ``day``: moved directions, renamed accounts, some absent, some that exist since then only."""
+    d, m = s.dim_products(), SNAPSHOT_RULES[day.year]
+    flipped = F.when(F.col("direction") == "DOM", "INT").otherwise("DOM")
+    rows = d.where(F.col("inc_gk") % (m + 14) != 0).select(
+        "inc_gk", F.concat("inc_name", F.lit(f" {day.year}")).alias("inc_name"), "product", "subcategory",
+        F.when(F.col("inc_gk") % m == 0, flipped).when(F.col("inc_gk") % 29 == 0, F.lit(None)).otherwise(F.col("direction")).alias("direction"))
+    new = d.where(F.col("inc_gk") % 23 == m).select((-F.col("inc_gk") - 1).alias("inc_gk"), F.lit(f"NEW {day.year}").alias("inc_name"),
+                                                   "product", "subcategory", "direction")
+    return rows.unionByName(new)
+
+
+def product_history(spark, sf_dir):
+    """Versions of the accounts after all snapshots, in the order of SNAPSHOT_DAYS."""
+    s = star(spark, sf_dir)
+    v = wh.observed_versions(product_versions(s), "inc_gk")
+    for day in SNAPSHOT_DAYS:
+        v = stored(wh.scd_merge_any_order(v, product_snapshot(s, day), "inc_gk", ["direction"], ["inc_name"], day), "product-versions")
+    return v.drop("observed")
+
+
+def _snapshot_sql(year: int) -> str:
+    m = SNAPSHOT_RULES[year]
+    return f"""
+select inc_gk, date '{year}-06-01' as day, inc_name || ' {year}' as inc_name, product, subcategory,
+       case when inc_gk % {m} = 0 then case when direction = 'DOM' then 'INT' else 'DOM' end
+            when inc_gk % 29 = 0 then null else direction end as direction
+from dim_products where inc_gk % {m + 14} <> 0
+union all
+select -inc_gk - 1, date '{year}-06-01', 'NEW {year}', product, subcategory, direction from dim_products where inc_gk % 23 = {m}
+"""
+
+
+cte("product_history", """
+with o as (select inc_gk, date '1900-01-01' as day, inc_name, product, subcategory, direction from dim_products
+           union all """ + " union all ".join(f"({_snapshot_sql(y)})" for y in SNAPSHOT_RULES) + """),
+f as (select inc_gk, day, product, subcategory, last_value(direction ignore nulls) over (partition by inc_gk order by day) as direction from o),
+c as (select *, coalesce(direction <> lag(direction) over (partition by inc_gk order by day), row_number() over (partition by inc_gk order by day) = 1) as chg from f),
+v as (select inc_gk, product, subcategory, direction, day as valid_from from c where chg),
+n as (select inc_gk, arg_max(inc_name, day) as inc_name from o group by inc_gk)
+select v.inc_gk, n.inc_name, product, subcategory, direction, valid_from,
+       cast(coalesce(lead(valid_from) over (partition by v.inc_gk order by valid_from) - 1, date '9999-12-31') as date) as valid_to,
+       lead(valid_from) over (partition by v.inc_gk order by valid_from) is null as is_current
+from v join n on v.inc_gk = n.inc_gk
+""", ("dim_products",))
+
+
+@register("scd2_any_order", "E1 E2 J6", with_ctes("select * from product_history", "product_history"))
+def q_scd2_any_order(spark, sf_dir):
+    """Snapshots of three years loaded as 1997, 1995, 1996 and 1995 again."""
+    return product_history(spark, sf_dir)
+
+
+@register("pit_accounts", "J10 E1", with_ctes("""
+select f.period, v.direction, cast(count(*) as bigint) as rows_cnt, cast(sum(f.summa) as double) as revenue
+from fact_operations f left join product_history v
+  on f.inc_gk = v.inc_gk and f.operation_date between v.valid_from and v.valid_to
+group by f.period, v.direction
+""", "fact_operations", "product_history"))
+def q_pit_accounts(spark, sf_dir):
+    """Every fact with its account's direction on that day, by the as-of merge."""
+    fact = star(spark, sf_dir).fact().select("inc_gk", "operation_date", "period", "summa")
+    versions = product_history(spark, sf_dir).select("inc_gk", "direction", "valid_from", "valid_to")
+    j = as_of_merge(fact, versions, "inc_gk", "operation_date")
+    return j.groupBy("period", "direction").agg(F.count(F.lit(1)).alias("rows_cnt"), dbl(F.sum("summa")).alias("revenue"))
+
+
 @register("pit_join", "J10 E1", with_ctes(f"""
 with v as ({_scd2_sql("date '1998-01-01'")})
 select f.filial_id, v.filial_name, f.period, cast(sum(f.summa) as double) as revenue
@@ -209,6 +282,22 @@ def q_kpi_refresh(spark, sf_dir):
                     dbl("total_weight").alias("total_weight"))
 
 
+@register("kpi_delta", "E4 A3 S6", with_ctes("""
+select filial_id, period, period_idx, inc_gk, cast(sum(summa) as double) as revenue, cast(sum(cnt) as bigint) as operations,
+       cast(sum(weight) as double) as total_weight
+from upserted group by filial_id, period, period_idx, inc_gk
+""", "upserted"))
+def q_kpi_delta(spark, sf_dir):
+    """The stored aggregate of the touched months plus the signed changes of the upsert."""
+    from branchbook.operators.aggregates import kpi_aggregate
+
+    s = star(spark, sf_dir)
+    staged = fx.stg_operations(s, fx.last_months(s, 2))
+    traced = wh.upsert_facts(loaded_fact(spark, sf_dir), staged, load_time(spark, sf_dir), traced=True)
+    k = wh.apply_kpi_delta(kpi_aggregate(loaded_fact(spark, sf_dir)), stored(wh.kpi_delta(traced), "kpi-delta"))
+    return k.select(*wh.KPI_KEY, dbl("revenue").alias("revenue"), "operations", dbl("total_weight").alias("total_weight"))
+
+
 @register("watermark", "E5", with_ctes("""
 with cur as (
   select 'fact_operations' as table_name, max(cast(operation_date as timestamp) + interval 6 hour) as loaded_at,
