@@ -391,6 +391,56 @@ def q_full_load(spark, sf_dir):
     return fact.groupBy("period").agg(F.count(F.lit(1)).alias("rows_cnt"), dbl(F.sum("summa")).alias("revenue"))
 
 
+_TWO_LOADS = """
+with m as (select max(period_idx) as hi from fact_operations),
+r as (select *, cast(split_part(PERIOD, '_', 1) as int) * 12 + cast(split_part(PERIOD, '_', 2) as int) as pidx from raw_operations),
+one as (select * exclude (rn) from (
+  select *, row_number() over (partition by DATA, INC_GK, FILIAL, SNDRCTG order by WEIGHT, CNT, SUMMA) as rn
+  from (select distinct r.* from r, m where pidx < hi)) where rn = 1),
+two as (select * exclude (rn) from (
+  select *, row_number() over (partition by DATA, INC_GK, FILIAL, SNDRCTG order by WEIGHT, CNT, SUMMA) as rn
+  from (select distinct DATA, INC_GK, INC_NAME, WEIGHT, CNT, SUMMA + case when INC_GK % 5 = 0 then 1.00 else 0.00 end as SUMMA, FILIAL, PERIOD, SNDRCTG, pidx
+        from r, m where pidx >= hi - 1)) where rn = 1),
+fin as (
+  select coalesce(o.FILIAL, t.FILIAL) as filial_id, coalesce(o.PERIOD, t.PERIOD) as period, coalesce(o.WEIGHT, t.WEIGHT) as weight,
+         case when o.FILIAL is null or coalesce(t.SUMMA <> o.SUMMA, false) then t.CNT else o.CNT end as cnt,
+         case when o.FILIAL is null or coalesce(t.SUMMA <> o.SUMMA, false) then t.SUMMA else o.SUMMA end as summa,
+         o.FILIAL is null or coalesce(t.SUMMA <> o.SUMMA, false) as second
+  from one o full outer join two t on o.DATA = t.DATA and o.INC_GK = t.INC_GK and o.FILIAL = t.FILIAL and o.SNDRCTG = t.SNDRCTG)
+select filial_id, period, cast(sum(summa) as double) as revenue, cast(sum(cnt) as bigint) as operations, cast(sum(weight) as double) as total_weight,
+       cast(count(*) as bigint) as fact_rows, cast(count(*) filter (where second) as bigint) as second_load_rows
+from fin group by filial_id, period
+"""
+
+
+@register("second_load", "E8 E3 E4 E5 S3 S4 S5 S6", with_ctes(_TWO_LOADS, "fact_operations", "raw_operations"))
+def q_second_load(spark, sf_dir):
+    """The monthly job twice: all months but the last, then the last two with changed values.
+
+    Revenue, operations and weight come from the KPI aggregate, which the second load keeps
+    up by signed changes; the rows from the fact.
+    """
+    from branchbook.sources.warehouse import monthly_load, new_root
+
+    s = star(spark, sf_dir)
+    raw = fx.raw_operations(s)
+    last = fx.last_months(s, 1)
+    pidx = F.split("PERIOD", "_")[0].cast("int") * 12 + F.split("PERIOD", "_")[1].cast("int")
+    first = raw.filter(pidx < last)
+    second = raw.filter(pidx >= last - 1).withColumn(
+        "SUMMA", (F.col("SUMMA") + F.when(F.col("INC_GK") % 5 == 0, F.lit("1.00")).otherwise(F.lit("0.00")).cast("decimal(18,2)")).cast("decimal(18,2)"))
+    root = new_root(spark, "second_load")
+    day = load_day(spark, sf_dir)
+    one, two = (_dt.datetime.combine(day, _dt.time(h, 0)) for h in (5, 6))
+    for landed, now in ((first, one), (second, two)):
+        monthly_load(spark, root, landed, fx.stg_filials(s), s.dim_products(), day, now, min_rows=1)
+    kpi = spark.read.parquet(f"{root}/mv_filial_monthly_kpi").groupBy("filial_id", "period").agg(
+        dbl(F.sum("revenue")).alias("revenue"), F.sum("operations").alias("operations"), dbl(F.sum("total_weight")).alias("total_weight"))
+    rows = spark.read.parquet(f"{root}/fact_operations").groupBy("filial_id", "period").agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.count_if(F.col("loaded_at") == F.lit(two)).alias("second_load_rows"))
+    return kpi.join(rows, ["filial_id", "period"])
+
+
 @register("raw_csv_load", "S1 S2 F1 F2", with_ctes("""
 select PERIOD as period, cast(split_part(PERIOD, '_', 2) as int) as month_num, cast(count(*) as bigint) as rows_cnt,
        cast(sum(SUMMA) as double) as revenue,

@@ -55,14 +55,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _source_key(sf_dir: str) -> str:
+def _source_key(spark: SparkSession, sf_dir: str) -> str:
+    """Names, lengths and times of all source files, listed by the file system that holds them."""
     h = hashlib.sha1(WAREHOUSE_VERSION.encode())
-    h.update(os.path.abspath(sf_dir).encode() if "://" not in sf_dir else sf_dir.encode())
     for t in SOURCE_TABLES:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+        p, fs = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        if not fs.exists(p):
+            continue
+        files, found = fs.listFiles(p, True), []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+        h.update("\n".join(sorted(found)).encode())
     return h.hexdigest()[:16]
 
 
@@ -147,7 +151,7 @@ class Star:
         )
 
     def warehouse_base(self) -> str:
-        return f"{scratch_dir(self.spark)}/warehouse/{_source_key(self.sf_dir)}"
+        return f"{scratch_dir(self.spark)}/warehouse/{_source_key(self.spark, self.sf_dir)}"
 
     def finished_copy(self) -> str | None:
         """A complete copy of the fact table (one with ``_SUCCESS``), if any."""

@@ -143,11 +143,69 @@ def read_fact(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(p) if path_exists(spark, p) else None
 
 
+# What a load publishes, and how: fact and KPI months are replaced, the others whole.
+PUBLISHED = {"fact": "fact_operations", "kpi": "mv_filial_monthly_kpi", "dim": "dim_filials_current", "watermark": "etl_watermark"}
+TRACE = ("old_summa", "old_cnt", "changed")  # what the upsert did to a fact
+_COMMITTED = "_COMMITTED"
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    from branchbook.sources.star import _fs
+
+    p, fs = _fs(spark, path)
+    return sorted(f.getPath().toString() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    from branchbook.sources.star import _fs
+
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _publish(spark: SparkSession, root: str, redo: str) -> None:
+    """Put a committed load's results in their places; each write replaces, so doing it again changes nothing."""
+    from branchbook.sources.star import path_exists
+
+    for part, place in PUBLISHED.items():
+        if not path_exists(spark, f"{redo}/{part}"):
+            continue
+        new = spark.read.parquet(f"{redo}/{part}")
+        if part in ("fact", "kpi"):
+            write_fact_months(new.drop(*TRACE), f"{root}/{place}")
+        elif part == "dim":
+            new.coalesce(1).write.mode("overwrite").text(f"{root}/{place}")
+        else:
+            new.write.mode("overwrite").parquet(f"{root}/{place}")
+    _delete(spark, redo)
+
+
+def recover(spark: SparkSession, root: str) -> int:
+    """Finish loads that were cut off: committed ones are published (again), others leave nothing. Returns how many were published."""
+    from branchbook.sources.star import path_exists
+
+    done = 0
+    for redo in _files(spark, f"{root}/_redo"):
+        if path_exists(spark, f"{redo}/{_COMMITTED}"):
+            _publish(spark, root, redo)
+            done += 1
+        else:
+            _delete(spark, redo)
+    return done
+
+
 def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_branches: DataFrame,
                  dim_products: DataFrame, as_of: _dt.date, now: _dt.datetime,
                  min_rows: int | None = None) -> DataFrame:
-    """Gate -> stage -> SCD2 branches -> fact upsert -> post-load gate ->
-    KPI refresh -> watermark, against the warehouse under ``root``.
+    """Gate -> stage -> SCD2 branches -> fact upsert -> gate on the result -> KPI -> watermark,
+    against the warehouse under ``root``.
+
+    Everything a load changes is first written aside as it will be (the touched months
+    of the fact and the KPI aggregate, the pointer to the dimension version, the watermark)
+    and marked as committed; only then is it published. A load that is killed or fails a
+    gate before the mark changes nothing; one killed after it is published by the next
+    load (``recover``). The KPI aggregate is kept up by the upsert's signed changes,
+    after a first load that makes it from the facts.
 
     Returns the step report (step, rows). Running it twice with the same input
     leaves the same warehouse (the upsert is keyed and null-safe; the second
@@ -155,7 +213,10 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
     """
     from branchbook.operators import quality as q
     from branchbook.operators import warehouse as wh
+    from branchbook.sources.star import _fs, path_exists
 
+    recover(spark, root)
+    redo = f"{root}/_redo/{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     report: list[tuple[str, int]] = []
     checks = _settle(q.preload_checks(landed_raw, **({"min_rows": min_rows} if min_rows is not None else {})))
     write_report(checks, f"{root}/reports/preload_checks")
@@ -167,24 +228,15 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
     staged = raw_to_fact(spark.read.parquet(f"{root}/stg_operations"))
 
     # dimensions: SCD2 on the branch names, new version folder
-    from branchbook.sources.star import path_exists
-
-    dim_base = f"{root}/dim_filials"
-    cur_dim_path = None
-    if path_exists(spark, f"{root}/dim_filials_current"):
-        cur_dim_path = spark.read.text(f"{root}/dim_filials_current").first()[0]
-    if cur_dim_path is None:  # first load: every staged branch opens a version on as_of
-        current = spark.createDataFrame([], DIM_VERSION_SCHEMA)
-    else:
-        current = spark.read.parquet(cur_dim_path)
+    current = spark.createDataFrame([], DIM_VERSION_SCHEMA)  # first load: every staged branch opens a version on as_of
+    if path_exists(spark, f"{root}/{PUBLISHED['dim']}"):
+        current = spark.read.parquet(spark.read.text(f"{root}/{PUBLISHED['dim']}").first()[0])
     versions = wh.scd_merge(current, stg_branches, "filial_id", ["filial_name"], [], as_of)
-    new_dim = write_versioned(versions, dim_base)
-    spark.createDataFrame([(new_dim,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{root}/dim_filials_current")
+    new_dim = write_versioned(versions, f"{root}/dim_filials")
+    spark.createDataFrame([(new_dim,)], "value string").write.parquet(f"{redo}/dim")
     report.append(("dim_filials_versions", spark.read.parquet(new_dim).count()))
 
-    # fact upsert into the touched months
-    fact_path = f"{root}/fact_operations"
+    # the touched months of the fact
     target = read_fact(spark, root)
     staged_l = staged.withColumn("loaded_at", F.lit(now))
     fact_cols = [c for c in staged_l.columns if c not in INGEST_COLUMNS]
@@ -192,38 +244,42 @@ def monthly_load(spark: SparkSession, root: str, landed_raw: DataFrame, stg_bran
         rest = [c for c in staged_l.columns if c not in wh.UPSERT_KEY]  # ingest order first when present
         merged = q.dedup_keyed(staged_l, wh.UPSERT_KEY, rest).select(*fact_cols)
     else:
-        merged = wh.upsert_facts(target.select(*fact_cols), staged_l, now)
-    # the merge reads the partitions it replaces: cut the lineage first
-    mpath = f"{root}/_merge/{uuid.uuid4().hex[:8]}"
-    merged.write.mode("overwrite").parquet(mpath)
-    merged = spark.read.parquet(mpath)
-    write_fact_months(merged, fact_path)
-    fact = spark.read.parquet(fact_path)
-    report.append(("fact_rows", fact.count()))
-
-    # post-load gate against the current dimension versions
-    cur_dims = spark.read.parquet(new_dim).filter("is_current")
-    post = _settle(q.postload_checks(fact, cur_dims, dim_products, now))
+        merged = wh.upsert_facts(target.select(*fact_cols), staged_l, now, traced=True)
+    written = Observation("fact")
+    merged.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(f"{redo}/fact")
+    merged = spark.read.parquet(f"{redo}/fact")
+    fact_new = merged.select(*fact_cols)
+    report.append(("fact_rows_written", int(written.get["rows"])))
+    months = merged.select("period_idx").distinct()
+
+    # the gate sees the fact as it will be, with the new dimension versions
+    fact = fact_new
+    if target is not None:
+        fact = fact.unionByName(target.select(*fact_cols).join(F.broadcast(months), "period_idx", "left_anti"))  # a month list
+    post = _settle(q.postload_checks(fact, spark.read.parquet(new_dim).filter("is_current"), dim_products, now))
     write_report(post, f"{root}/reports/postload_checks")
     q.assert_checks(post)
     report.append(("postload_checks", post.count()))
 
-    # KPI refresh for the touched months
-    touched = merged.select("period_idx").distinct()
-    kpi = wh.refresh_kpi(fact, touched)
+    # the KPI aggregate of the months that changed
+    kpi_path = f"{root}/{PUBLISHED['kpi']}"
+    if target is not None and path_exists(spark, kpi_path):
+        kpi = wh.apply_kpi_delta(spark.read.parquet(kpi_path), wh.kpi_delta(merged))
+    else:
+        kpi = wh.refresh_kpi(fact, months)
     kpi_rows = Observation("kpi")
-    kpi.observe(kpi_rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("period_idx").parquet(f"{root}/mv_filial_monthly_kpi")
+    kpi.observe(kpi_rows, F.count(F.lit(1)).alias("rows")).write.parquet(f"{redo}/kpi")
     report.append(("kpi_rows_refreshed", int(kpi_rows.get["rows"])))
 
     # watermark: last row wins per table
-    wm_path = f"{root}/etl_watermark"
+    wm_path = f"{root}/{PUBLISHED['watermark']}"
     new_wm = spark.createDataFrame([("fact_operations", now, counts["rows_staged"])],
                                    "table_name string, loaded_at timestamp, rows_loaded bigint")
     old_wm = spark.read.parquet(wm_path) if path_exists(spark, wm_path) else new_wm.limit(0)
-    wm = wh.upsert_last_wins(old_wm, new_wm, "table_name", "loaded_at")
-    # the new state reads the old table: write it to a new folder first, then replace
-    wm_new = spark.read.parquet(write_versioned(wm, f"{root}/_wm"))
-    wm_new.write.mode("overwrite").parquet(wm_path)
-    report.append(("watermark_rows", wm_new.count()))
+    wh.upsert_last_wins(old_wm, new_wm, "table_name", "loaded_at").write.parquet(f"{redo}/watermark")
+    report.append(("watermark_rows", spark.read.parquet(f"{redo}/watermark").count()))
+
+    p, fs = _fs(spark, f"{redo}/{_COMMITTED}")
+    fs.create(p).close()  # from here on the load counts
+    _publish(spark, root, redo)
     return spark.createDataFrame(report, "step string, rows bigint")

@@ -209,3 +209,67 @@ def test_kpi_delta_equals_a_recomputation(spark):
     assert got.dtypes == kpi_aggregate(fact).dtypes and _rows(got) == _rows(want)
     again = wh.upsert_facts(merged, staged, load_time(spark, SMALL), traced=True)
     assert wh.kpi_delta(again).count() == 0
+
+
+def test_a_load_cut_off_anywhere_is_undone_or_finished(spark, monkeypatch):
+    """Before the commit mark nothing changes; after it the next load publishes the rest, once."""
+    from branchbook.sources import warehouse as sw
+
+    s = star(spark, SMALL)
+    raw = fx.raw_operations(s)
+    last = f"{(fx.last_months(s, 1) - 1) // 12}_{(fx.last_months(s, 1) - 1) % 12 + 1}"
+    changed = raw.where(F.col("PERIOD") == last).withColumn("SUMMA", (F.col("SUMMA") + 1).cast("decimal(18,2)"))
+    root = sw.new_root(spark, "test_cut")
+    day, now = load_day(spark, SMALL), load_time(spark, SMALL)
+
+    def load(landed, at):
+        sw.monthly_load(spark, root, landed, fx.stg_filials(s), s.dim_products(), day, at, min_rows=1)
+
+    def state():
+        return [_rows(spark.read.parquet(f"{root}/{sw.PUBLISHED[p]}")) for p in ("fact", "kpi", "watermark")]
+
+    load(raw, now)
+    before = state()
+    boom = RuntimeError("killed")
+
+    def fail(*a, **k):
+        raise boom
+
+    with monkeypatch.context() as m:  # before the mark
+        m.setattr(sw, "_publish", fail)
+        m.setattr(sw, "_COMMITTED", "not-the-mark")
+        with pytest.raises(RuntimeError):
+            load(changed, now + dt.timedelta(hours=1))
+    assert sw.recover(spark, root) == 0 and state() == before
+    with monkeypatch.context() as m:  # after the mark, when the fact is written and the KPI is not
+        write = sw.write_fact_months
+        m.setattr(sw, "write_fact_months", lambda df, path: fail() if "kpi" in path else write(df, path))
+        with pytest.raises(RuntimeError):
+            load(changed, now + dt.timedelta(hours=2))
+    assert sw.recover(spark, root) == 1
+    after = state()
+    assert after != before and sw.recover(spark, root) == 0
+    from branchbook.operators.aggregates import kpi_aggregate
+
+    assert after[1] == _rows(kpi_aggregate(spark.read.parquet(f"{root}/fact_operations")))
+    load(changed, now + dt.timedelta(hours=2))  # the same input again
+    assert state() == after
+    assert not sw._files(spark, f"{root}/_redo")
+
+
+def test_source_key_follows_the_files(spark, tmp_path):
+    """A changed, added or touched part file of a partitioned input gives another warehouse copy."""
+    import os
+    import shutil
+
+    from branchbook.sources.star import _source_key
+
+    for t in ("region", "nation"):
+        os.makedirs(tmp_path / f"{t}.parquet")
+        shutil.copy(f"{SMALL}/{t}.parquet", tmp_path / f"{t}.parquet" / "part-0.parquet")
+    one = _source_key(spark, str(tmp_path))
+    assert one == _source_key(spark, str(tmp_path)) == _source_key(spark, f"file://{tmp_path}")
+    shutil.copy(f"{SMALL}/nation.parquet", tmp_path / "nation.parquet" / "part-1.parquet")
+    two = _source_key(spark, str(tmp_path))
+    os.utime(tmp_path / "nation.parquet" / "part-1.parquet", (1, 1))
+    assert len({one, two, _source_key(spark, str(tmp_path))}) == 3
