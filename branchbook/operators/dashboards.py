@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, div0
@@ -48,25 +48,47 @@ def top_n_per_group(df: DataFrame, group: str, value: str, n: int, key: str) ->
     return df.withColumn("rank_in_group", F.row_number().over(w)).filter(F.col("rank_in_group") <= n)
 
 
-def influencers(fact_p: DataFrame, factors: list[str], branch: str = "filial_id", rows: str | None = None) -> DataFrame:
-    """For each factor value, average check in the branch vs the branch's average check.
+def cents_squared(value: str = "summa") -> Column:
+    """The square of a money value in cents, exact."""
+    c = (F.col(value) * F.lit(100)).cast("bigint").cast("decimal(19,0)")
+    return c * c
 
-    Facts are first reduced to (branch, factor values) sums, then unpivoted, so
-    the stack multiplies a small frame, not the facts. ``rows`` names a column that
-    says how many facts a row stands for, when the facts come summed up already.
+
+def influencers(fact_p: DataFrame, factors: list[str], branch: str = "filial_id", rows: str | None = None, squares: str | None = None) -> DataFrame:
+    """For each factor value, average check in the branch vs the branch's average check, and how sure that is.
+
+    ``t_stat`` and ``welch_df`` are Welch's test of the rows with the factor value against
+    the branch's other rows, from counts, sums and sums of squares (null with fewer than
+    two rows on a side or no variance). Facts are first reduced to (branch, factor values)
+    sums, then unpivoted, so the stack multiplies a small frame, not the facts. ``rows``
+    and ``squares`` name columns that say how many facts a row stands for and their
+    ``cents_squared``, when the facts come summed up already.
     """
     n = F.count(F.lit(1)) if rows is None else F.sum(rows)
-    g = fact_p.groupBy(branch, *factors).agg(F.sum("summa").alias("rev"), n.alias("n"))
+    sq = F.sum(cents_squared()) if squares is None else F.sum(squares)
+    g = fact_p.groupBy(branch, *factors).agg(F.sum("summa").alias("rev"), n.alias("n"), sq.alias("sq"))
     stack = ", ".join(f"'{f}', cast(`{f}` as string)" for f in factors)
-    long = g.selectExpr(branch, "rev", "n", f"stack({len(factors)}, {stack}) as (factor, factor_value)")
-    per = long.groupBy(branch, "factor", "factor_value").agg(F.sum("rev").alias("rev"), F.sum("n").alias("n"))
-    overall = g.groupBy(branch).agg(F.sum("rev").alias("b_rev"), F.sum("n").alias("b_n"))
+    long = g.selectExpr(branch, "rev", "n", "sq", f"stack({len(factors)}, {stack}) as (factor, factor_value)")
+    per = long.groupBy(branch, "factor", "factor_value").agg(F.sum("rev").alias("rev"), F.sum("n").alias("n"), F.sum("sq").alias("sq"))
+    overall = g.groupBy(branch).agg(F.sum("rev").alias("b_rev"), F.sum("n").alias("b_n"), F.sum("sq").alias("b_sq"))
     j = per.join(F.broadcast(overall), branch)
     avg = div0(dbl("rev"), dbl("n"))
+
+    def side(total: Column, count: Column, squared: Column) -> tuple[Column, Column]:
+        """(mean, variance of the mean) in cents."""
+        c = dbl(total * F.lit(100))
+        return div0(c, count), div0(div0(squared - div0(c * c, count), count - 1), count)
+
+    n1, n2 = dbl("n"), dbl(F.col("b_n") - F.col("n"))
+    m1, e1 = side(F.col("rev"), n1, dbl("sq"))
+    m2, e2 = side(F.col("b_rev") - F.col("rev"), n2, dbl(F.col("b_sq") - F.col("sq")))
+    both = e1 + e2
     return j.select(
         branch, "factor", "factor_value", F.col("n").cast("bigint").alias("rows_cnt"),
         avg.alias("avg_check"),
         div0(avg, div0(dbl("b_rev"), dbl("b_n"))).alias("lift"),
+        div0(m1 - m2, F.sqrt(both)).alias("t_stat"),
+        div0(both * both, e1 * e1 / (n1 - 1) + e2 * e2 / (n2 - 1)).alias("welch_df"),
     )
 
 

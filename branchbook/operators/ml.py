@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, rnd
@@ -405,3 +405,16 @@ def rf_importances(frame: DataFrame, features: list[str], label: str, max_depth:
     imp = model.featureImportances.toArray()
     rows = [(f, round(float(imp[i]), 4)) for i, f in enumerate(features)]
     return frame.sparkSession.createDataFrame(rows, "feature string, importance double")
+
+
+def model_document(metrics: DataFrame, importances: DataFrame) -> DataFrame:
+    """Metrics (one row) and importances (one row per feature) as one nested row."""
+    by_feature = importances.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("feature", "importance")))))
+
+    def both(k: str) -> Column:
+        return F.struct(F.col(f"{k}_mean").alias("mean"), F.col(f"{k}_std").alias("std"))
+
+    return metrics.select(
+        "model", "n_samples", F.struct(F.col("cv_method").alias("method"), F.split("features", ",").alias("features")).alias("cross_validation"),
+        F.struct(*[both(k).alias(k) for k in ("r2", "mae", "rmse")]).alias("metrics"), by_feature.scalar().alias("feature_importances"),
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, div0, rnd
+from branchbook.operators import aggregates as ag
 from branchbook.operators import dashboards as db
 from branchbook.operators import measures as ms
 from branchbook.operators.joins import checked_broadcast
@@ -13,6 +14,7 @@ from branchbook.operators.ml import branch_matrix
 from branchbook.operators.windows import year_to_date
 from branchbook.plans.catalog import register
 from branchbook.plans.oracle_base import with_ctes
+from branchbook.session import stored
 from branchbook.sources import fixtures as fx
 from branchbook.sources.star import star
 
@@ -287,25 +289,37 @@ def q_stack_client(spark, sf_dir):
     return g.select("sender_category", "period", dbl("rev").alias("revenue"))
 
 
+_CENTS2 = "cast(cast(summa * 100 as bigint) as hugeint) * cast(summa * 100 as bigint)"
+
+
 @register("influencers", "D11", with_ctes(f"""
 with fp as (select f.filial_id, f.summa, d.product, d.direction, f.sender_category
             from fact_operations f join dim_products d on f.inc_gk = d.inc_gk),
 long as (select filial_id, 'product' as factor, product as factor_value, summa from fp
          union all select filial_id, 'direction', direction, summa from fp
          union all select filial_id, 'sender_category', sender_category, summa from fp),
-per as (select filial_id, factor, factor_value, sum(summa) as rev, count(*) as n from long group by filial_id, factor, factor_value),
-b as (select filial_id, sum(summa) as b_rev, count(*) as b_n from fp group by filial_id)
-select per.filial_id, factor, factor_value, cast(n as bigint) as rows_cnt,
+per as (select filial_id, factor, factor_value, sum(summa) as rev, count(*) as n, sum({_CENTS2}) as sq from long group by filial_id, factor, factor_value),
+b as (select filial_id, sum(summa) as b_rev, count(*) as b_n, sum({_CENTS2}) as b_sq from fp group by filial_id),
+x as (select per.filial_id, factor, factor_value, n, rev, b_rev, b_n, cast(n as double) as n1, cast(b_n - n as double) as n2,
+        cast(rev * 100 as double) as s1, cast((b_rev - rev) * 100 as double) as s2, cast(sq as double) as q1, cast(b_sq - sq as double) as q2
+      from per join b on per.filial_id = b.filial_id),
+e as (select *, s1 / n1 as m1, s2 / nullif(n2, 0) as m2, (q1 - s1 * s1 / n1) / nullif(n1 - 1, 0) / n1 as e1,
+        (q2 - s2 * s2 / nullif(n2, 0)) / nullif(n2 - 1, 0) / nullif(n2, 0) as e2 from x)
+select filial_id, factor, factor_value, cast(n as bigint) as rows_cnt,
   {_r6("cast(rev as double) / cast(n as double)")} as avg_check,
-  {_r6("(cast(rev as double) / cast(n as double)) / (cast(b_rev as double) / cast(b_n as double))")} as lift
-from per join b on per.filial_id = b.filial_id
+  {_r6("(cast(rev as double) / cast(n as double)) / (cast(b_rev as double) / cast(b_n as double))")} as lift,
+  round((m1 - m2) / nullif(sqrt(e1 + e2), 0), 4) + 0.0 as t_stat,
+  round((e1 + e2) * (e1 + e2) / nullif(e1 * e1 / nullif(n1 - 1, 0) + e2 * e2 / nullif(n2 - 1, 0), 0), 2) + 0.0 as welch_df
+from e
 """, "fact_operations", "dim_products"))
 def q_influencers(spark, sf_dir):
     s = star(spark, sf_dir)
-    by_account = s.fact().groupBy("filial_id", "inc_gk", "sender_category").agg(F.sum("summa").alias("summa"), F.count(F.lit(1)).alias("rows"))
+    by_account = s.fact().groupBy("filial_id", "inc_gk", "sender_category").agg(
+        F.sum("summa").alias("summa"), F.count(F.lit(1)).alias("rows"), F.sum(db.cents_squared()).alias("squares"))
     fp = db.with_product(by_account, s.dim_products())
-    r = db.influencers(fp, ["product", "direction", "sender_category"], rows="rows")
-    return r.select("filial_id", "factor", "factor_value", "rows_cnt", ms.round6("avg_check"), ms.round6("lift"))
+    r = db.influencers(fp, ["product", "direction", "sender_category"], rows="rows", squares="squares")
+    return r.select("filial_id", "factor", "factor_value", "rows_cnt", ms.round6("avg_check"), ms.round6("lift"),
+                    rnd("t_stat", 4).alias("t_stat"), rnd("welch_df", 2).alias("welch_df"))
 
 
 @register("top3_products", "D12 K5", with_ctes("""
@@ -430,3 +444,26 @@ def q_row_security(spark, sf_dir):
     bm = s.fact().groupBy("filial_id", "period").agg(F.sum("summa").alias("rev"))
     v = db.row_security(bm, checked_broadcast(fx.user_grants(s)))
     return v.select("user_name", "filial_id", "period", dbl("rev").alias("revenue"))
+
+
+@register("distinct_by_slice", "A7 S6", with_ctes("""
+select d.region, cast(floor((f.period_idx - 1) / 12) as int) as year, cast(count(distinct f.inc_gk) as bigint) as accounts, true as sketch_within_5_pct
+from fact_operations f join dim_filials d on f.filial_id = d.filial_id group by d.region, floor((f.period_idx - 1) / 12)
+union all
+select 'all', null, cast(count(distinct inc_gk) as bigint), true from fact_operations
+""", "fact_operations", "dim_filials"))
+def q_distinct_by_slice(spark, sf_dir):
+    """Distinct accounts of slices: exact, and united from the sketches kept by branch and month."""
+    s = star(spark, sf_dir)
+    sketched = stored(ag.distinct_sketches(s.fact(), ["filial_id", "period_idx"], "inc_gk"), "account-sketches")
+    regions = F.broadcast(s.dim_filials().select("filial_id", "region"))  # 25 branches
+    year = F.floor((F.col("period_idx") - 1) / 12).cast("int").alias("year")
+    exact = s.fact().select("filial_id", "period_idx", "inc_gk").join(regions, "filial_id").select("region", year, "inc_gk")
+    pieces = sketched.join(regions, "filial_id").select("region", year, "sketch")
+    one = exact.groupBy("region", "year").agg(F.countDistinct("inc_gk").alias("accounts"))
+    near = ag.united_distinct(pieces, ["region", "year"])
+    by = one.join(near, ["region", "year"])
+    top = exact.agg(F.countDistinct("inc_gk").alias("accounts")).select(F.lit("all").alias("region"), F.lit(None).cast("int").alias("year"), "accounts")
+    top = top.withColumn("distinct_estimate", ag.united_distinct(pieces, []).scalar())
+    return by.unionByName(top).select("region", "year", F.col("accounts").cast("bigint").alias("accounts"),
+                                      (F.abs(F.col("distinct_estimate") / F.col("accounts") - 1) <= 0.05).alias("sketch_within_5_pct"))

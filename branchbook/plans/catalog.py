@@ -3,6 +3,9 @@
 A query callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame. The
 oracle is optional: iterative or randomised operators (forests, k-means) have
 none and are checked by invariants in the tests instead.
+
+Calling a query builds its DataFrame. Queries of models, loads, streams, quantiles and
+stored slices run Spark jobs while they build it; the others are lazy.
 """
 
 from __future__ import annotations
@@ -42,4 +45,4 @@ def load_all() -> None:
         stats_jobs,
         warehouse_jobs,
     )
-    from branchbook.streaming import incremental  # noqa: F401
+    from branchbook.streaming import adjustments, incremental  # noqa: F401

@@ -8,6 +8,7 @@ from branchbook.operators import features as fe
 from branchbook.operators import ml
 from branchbook.plans.catalog import register
 from branchbook.plans.enrichment import contract_frame
+from branchbook.plans.oracle_base import with_ctes
 from branchbook.sources.star import star
 
 ISO_FEATURES = ["SUMMA", "CNT"]
@@ -74,3 +75,28 @@ def q_feature_importance(spark, sf_dir):
     imp = ml.rf_importances(lf, scaled, "revenue")
     mapping = dict(zip(scaled, names))
     return imp.replace(mapping, subset=["feature"])
+
+
+@register("model_report", "M12 M13 M14 S5")
+def q_model_report(spark, sf_dir):
+    """The model document as written and read back: nested metrics and a map of importances, one row of JSON."""
+    from branchbook.sources.warehouse import new_root, write_report
+
+    lf, scaled, names = forecast_frame(spark, sf_dir)
+    metrics = ml.rf_cross_validate(lf, scaled, "revenue", ["filial_id", "period"], names=names)
+    importance = ml.rf_importances(lf, scaled, "revenue").replace(dict(zip(scaled, names)), subset=["feature"])
+    doc = ml.model_document(metrics, importance)
+    path = f"{new_root(spark, 'model_report')}/model_performance"
+    write_report(doc, path)
+    return spark.read.schema(doc.schema).json(path)
+
+
+@register("cluster_totals", "M9 A10 J8", with_ctes("""
+select cast(count(distinct d.filial_name) as bigint) as filial_count, cast(3 as bigint) as clusters, round(cast(sum(f.summa) as double), 0) + 0.0 as total_revenue
+from fact_operations f join dim_filials d on f.filial_id = d.filial_id
+""", "fact_operations", "dim_filials"))
+def q_cluster_totals(spark, sf_dir):
+    """What must hold of the cluster statistics however the clusters fall: every branch in one of three, all revenue in them."""
+    st = q_cluster_stats(spark, sf_dir)
+    return st.agg(F.sum("filial_count").cast("bigint").alias("filial_count"), F.count_if(F.col("cluster").isNotNull()).alias("clusters"),
+                  (F.round(F.sum("total_revenue"), 0) + F.lit(0.0)).alias("total_revenue"))

@@ -368,6 +368,28 @@ def q_dim_date(spark, sf_dir):
     return wh.date_dimension(r["lo"], r["hi"], spark=spark)
 
 
+# The (month, day) of the public holidays in the calendar example.
+HOLIDAYS = ((1, 1), (1, 7), (2, 23), (3, 8), (5, 1), (5, 9), (6, 12), (11, 4))
+
+
+@register("dim_date_holidays", "E7 F9", with_ctes("""
+with r as (select min(operation_date) as lo, max(operation_date) as hi from fact_operations),
+d as (select cast(unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp), interval 1 day)) as date) as date_id from r)
+select date_id, cast(year(date_id) as int) as year, cast(quarter(date_id) as int) as quarter, cast(month(date_id) as int) as month,
+  cast(weekofyear(date_id) as int) as week,
+  case when month(date_id) in (12, 1, 2) then 'winter' when month(date_id) in (3, 4, 5) then 'spring'
+       when month(date_id) in (6, 7, 8) then 'summer' else 'autumn' end as season,
+  month(date_id) * 100 + day(date_id) in (""" + ", ".join(str(100 * m + d) for m, d in HOLIDAYS) + """) as is_holiday
+from d
+""", "fact_operations"))
+def q_dim_date_holidays(spark, sf_dir):
+    """The calendar with the public holidays of its years; holidays outside it and repeated ones change nothing."""
+    r = star(spark, sf_dir).fact().agg(F.min("operation_date").alias("lo"), F.max("operation_date").alias("hi")).first()
+    years = range(r["lo"].year - 1, r["hi"].year + 2)
+    days = [(_dt.date(y, m, d),) for y in years for m, d in HOLIDAYS]
+    return wh.date_dimension(r["lo"], r["hi"], spark.createDataFrame(days + days[:3], "date_id date"), spark=spark)
+
+
 @register("full_load", "E8 S3 S4 S5 S6 V9 V10 E1 E3 E4 E5", with_ctes("""
 with raw as (select * from raw_operations union all select * from raw_operations where INC_GK % 97 = 0),
 f as (select distinct * from raw),

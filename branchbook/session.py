@@ -69,9 +69,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "bra
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. If the cluster names none,
-    a local folder is created once per process (test and bench runs only) and
-    registered as the checkpoint folder, so ``DataFrame.checkpoint`` works too.
+    Reads ``spark.checkpoint.dir`` from the session. A cluster must name one; a local
+    session that names none (tests and bench) gets a local folder, created once per
+    process and registered as the checkpoint folder, so ``DataFrame.checkpoint`` works too.
     """
     global _LOCAL_SCRATCH
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
@@ -81,6 +81,9 @@ def scratch_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="branchbook-scratch-")
     path = _LOCAL_SCRATCH

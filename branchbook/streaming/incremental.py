@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchbook.operators.warehouse import upsert_facts
+from branchbook.operators.warehouse import UPSERT_KEY, upsert_facts
 from branchbook.plans.catalog import register
 from branchbook.plans.oracle_base import with_ctes
 from branchbook.sources.warehouse import new_root, write_fact_months
@@ -52,8 +52,8 @@ def run_incremental(spark: SparkSession, landing: str, fact_path: str, checkpoin
 
 @register("incremental_load", "T1 E3 S4", with_ctes("select * from upserted", "upserted"))
 def q_incremental_load(spark, sf_dir):
-    """Lands the staged months one file each, streams them into a copy of the
-    fact table and returns the touched months."""
+    """Lands the staged months one by one, streams them into a copy of the fact's
+    touched months and returns these."""
     from branchbook.plans.warehouse_jobs import load_time, loaded_fact
     from branchbook.sources import fixtures as fx
     from branchbook.sources.star import star
@@ -61,15 +61,15 @@ def q_incremental_load(spark, sf_dir):
     s = star(spark, sf_dir)
     root = new_root(spark, "incremental")
     fact_path = f"{root}/fact_operations"
-    write_fact_months(loaded_fact(spark, sf_dir), fact_path)
     first = fx.last_months(s, 2)
     staged = fx.stg_operations(s, first)
-    landing = f"{root}/landing"
     months = [r[0] for r in staged.select("period_idx").distinct().orderBy("period_idx").collect()]
-    for m in months:  # one file per month lands, as the monthly export does
-        staged.filter(F.col("period_idx") == m).coalesce(1).write.mode("append").parquet(landing)
+    # only the months that will change are copied: the load reads and replaces no others
+    write_fact_months(loaded_fact(spark, sf_dir).filter(F.col("period_idx").isin(months)), fact_path)
+    landing = f"{root}/landing"
+    for m in months:  # a month lands at a time, as the monthly export does; rows of one key share a file
+        staged.filter(F.col("period_idx") == m).repartition(*UPSERT_KEY).write.mode("append").parquet(landing)
     run_incremental(spark, landing, fact_path, f"{root}/_checkpoint", load_time(spark, sf_dir), staged.schema)
-    out = spark.read.parquet(fact_path)
-    return out.filter(F.col("period_idx") >= F.lit(first)).select(
+    return spark.read.parquet(fact_path).select(
         "filial_id", "inc_gk", "operation_date", "period", "period_idx", "sender_category", "weight", "cnt", "summa",
         "loaded_at")

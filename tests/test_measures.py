@@ -55,3 +55,40 @@ def test_centred_mean_matches_pandas(spark):
     df = spark.createDataFrame([(1, i, float(v)) for i, v in enumerate(x)], "b int, pos int, x double")
     got = [r.t for r in df.select("pos", centred_mean("x", ["b"], "pos", w).alias("t")).orderBy("pos").collect()]
     assert np.allclose(got, expect)
+
+
+def test_welch_test_of_the_influencers(spark):
+    """t and degrees of freedom against the textbook formula, from rows and from sums by account alike."""
+    import numpy as np
+
+    from branchbook.operators import dashboards as db
+
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 3)), str(rng.choice(["a", "b", "c"])), f"{rng.normal(1e5, 3e4):.2f}", int(rng.integers(0, 20))) for _ in range(600)]
+    rows += [(7, "only", "5.00", 1), (8, "x", "1.00", 1), (8, "y", "1.00", 1), (8, "y", "1.00", 2)]
+    df = spark.createDataFrame(rows, "filial_id int, kind string, s string, account int").selectExpr("filial_id", "kind", "cast(s as decimal(18,2)) as summa", "account")
+    summed = df.groupBy("filial_id", "kind", "account").agg(F.sum("summa").alias("summa"), F.count("*").alias("rows"), F.sum(db.cents_squared()).alias("squares"))
+    for got in (db.influencers(df, ["kind"]), db.influencers(summed, ["kind"], rows="rows", squares="squares")):
+        for r in got.collect():
+            x = np.array([float(s) for f, k, s, _ in rows if f == r.filial_id and k == r.factor_value])
+            y = np.array([float(s) for f, k, s, _ in rows if f == r.filial_id and k != r.factor_value])
+            if min(len(x), len(y)) < 2:
+                assert r.t_stat is None and r.welch_df is None
+                continue
+            a, b = x.var(ddof=1) / len(x), y.var(ddof=1) / len(y)
+            assert np.isclose(r.t_stat, (x.mean() - y.mean()) / np.sqrt(a + b), rtol=1e-9)
+            assert np.isclose(r.welch_df, (a + b) ** 2 / (a**2 / (len(x) - 1) + b**2 / (len(y) - 1)), rtol=1e-9)
+
+
+def test_distinct_sketches_unite(spark):
+    """Sketches of 40 groups unite to any slice with an error of a few percent; empty slices have none."""
+    from branchbook.operators.aggregates import distinct_sketches, united_distinct
+
+    df = spark.range(60_000).selectExpr("id % 40 as g", "cast(pmod(id * 7919, 20011) as bigint) as account")
+    sk = distinct_sketches(df, ["g"], "account")
+    assert sk.count() == 40
+    for cond in ("g < 40", "g in (3, 4, 5)", "g = 7"):
+        exact = df.where(cond).select("account").distinct().count()
+        near = united_distinct(sk.where(cond), []).first().distinct_estimate
+        assert abs(near / exact - 1) < 0.05
+    assert united_distinct(sk.where("g > 99"), ["g"]).count() == 0

@@ -273,3 +273,47 @@ def test_source_key_follows_the_files(spark, tmp_path):
     two = _source_key(spark, str(tmp_path))
     os.utime(tmp_path / "nation.parquet" / "part-1.parquet", (1, 1))
     assert len({one, two, _source_key(spark, str(tmp_path))}) == 3
+
+
+def test_adjustment_stream_in_any_order(spark):
+    """Files out of order, replayed and landing between runs give the batch result."""
+    from branchbook.sources.warehouse import new_root
+    from branchbook.streaming import adjustments as adj
+
+    events = spark.range(300).selectExpr(
+        "date_add(date'2020-01-01', cast(id % 7 as int)) as operation_date", "cast(id % 5 as int) as filial_id", "id % 3 as inc_gk",
+        "if(id % 4 = 0, null, 'B2B') as sender_category", "cast(pmod(id * 37, 101) as decimal(18,2)) as adjusted_summa",
+        "concat('R', id % 6) as reason_code", "timestamp'2020-02-01 00:00:00' + make_interval(0, 0, 0, cast(pmod(id * 13, 50) as int)) as adjusted_at")
+    want = _rows(adj.latest_adjustments(events))
+    for order in ((0, 1, 2, 3, 4, 5), (5, 3, 4, 0, 1, 2, 5, 0)):
+        root = new_root(spark, "test_adjustments")
+        for i, part in enumerate(order):
+            events.where(F.col("reason_code") == f"R{part}").coalesce(1).write.mode("append").parquet(f"{root}/landing")
+            if i in (2, 3, len(order) - 1):  # runs in between
+                adj.run_adjustments(spark, f"{root}/landing", f"{root}/changes", f"{root}/ck", files_per_batch=1)
+        assert _rows(adj.current_state(spark, f"{root}/changes").select(*adj.latest_adjustments(events).columns)) == want
+
+
+def test_model_document_round_trip(spark, tmp_path):
+    from branchbook.operators.ml import model_document
+    from branchbook.sources.warehouse import write_report
+
+    metrics = spark.createDataFrame([("RF", "KFold(n_splits=5)", 23, "lag1,lag2", 0.5, 0.1, 2.0, 0.2, 3.0, None)],
+                                    "model string, cv_method string, n_samples bigint, features string, r2_mean double, r2_std double, "
+                                    "mae_mean double, mae_std double, rmse_mean double, rmse_std double")
+    imp = spark.createDataFrame([("lag2", 0.25), ("lag1", 0.75)], "feature string, importance double")
+    doc = model_document(metrics, imp)
+    write_report(doc, str(tmp_path / "r"))
+    got = spark.read.schema(doc.schema).json(str(tmp_path / "r")).first()
+    assert got == doc.first()
+    assert got.metrics.r2.mean == 0.5 and got.metrics.rmse.std is None
+    assert got.feature_importances == {"lag1": 0.75, "lag2": 0.25} and got.cross_validation.features == ["lag1", "lag2"]
+
+
+def test_report_files_hold_the_checks(spark, tmp_path):
+    """The gate's report file, read back, is the checks table."""
+    from branchbook.sources.warehouse import write_report
+
+    checks = q.preload_checks(fx.faulty_operations(star(spark, SMALL)))
+    write_report(checks, str(tmp_path / "checks"))
+    assert _rows(spark.read.schema(checks.schema).json(str(tmp_path / "checks"))) == _rows(checks)
