@@ -8,6 +8,7 @@ one running sum per chunk, so no per-word Python code runs.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
+LONG_WORD = 64  # bytes; polynomials of longer words could be made to agree, so these are hashed one by one
 U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240917))
 BYTE_NAMES = _RNG.integers(1, 2**64, 256, dtype=U64)
@@ -119,6 +121,10 @@ class Words:
         self.start = np.flatnonzero(inside & ~before)
         self.end = np.flatnonzero(inside & ~after) + 1
         self.name = mix(Rolling(names[data]).of(self.start, self.end)) if len(data) else np.zeros(0, dtype=U64)
+        fold = names[0x41] == names[0x61]
+        for i in np.flatnonzero(self.end - self.start > LONG_WORD):
+            word = data[self.start[i] : self.end[i]].tobytes()
+            self.name[i] = int.from_bytes(hashlib.blake2b(word.lower() if fold else word, digest_size=8).digest(), "little")
         self.first = np.searchsorted(self.start, ds)  # first word of each text; last entry: number of words
         self.doc_bytes = ds
 

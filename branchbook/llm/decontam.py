@@ -15,8 +15,8 @@ finds are written after each but the last, and its broadcast is dropped before t
 is fetched. Documents are never shuffled.
 
 Defined cases: a null or wordless text has no words and is clean; a null or
-wordless item is skipped; repeated item rows count once, items sharing a window
-are all named; repeated document rows each give a row; an empty benchmark leaves
+wordless item is skipped; items without an id hit like others and count as one item,
+but have no name in the list; repeated item rows count once, items sharing a window are all named; repeated document rows each give a row; an empty benchmark leaves
 every document clean; further columns are ignored. ``decontaminate`` rejects texts, not
 ids: a clean row stays whatever other rows of its doc_id, or other rows without one, hold.
 """
@@ -53,7 +53,7 @@ class TestSuffixes:
         self.names = np.unique(w.name)
         ids = np.searchsorted(self.names, w.name) + 1
         self.window = window
-        self.item_ids = [str(i) for i, _ in items]
+        self.item_ids = [None if i is None else str(i) for i, _ in items]
         rows, lens, owner, at = [], [], [], []
         for k in range(len(items)):
             own = ids[w.first[k] : w.first[k + 1]]
@@ -167,7 +167,7 @@ def _shard(w: Words, doc_ids: list, tests: TestSuffixes) -> Iterator[tuple]:
             {"item_id": tests.item_ids[item[first[i]]], "doc_word": int(dw[first[i]]), "item_word": int(iw[first[i]]), "n_words": int(length[i])}
             for i in best[lead]
         ]
-        yield doc_ids[d], int(n_words[d]), spans, sorted({m["item_id"] for m in matches}), matches
+        yield doc_ids[d], int(n_words[d]), spans, _named({m["item_id"] for m in matches}), matches
 
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[tuple[bool, list[tuple]]]:
@@ -180,18 +180,23 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) ->
         yield b == n - 1, sorted(((r["i"], r["t"]) for r in one.collect()), key=lambda r: (str(r[0]), str(r[1])))
 
 
+def _named(items: set) -> list:
+    """Item ids in order, a null one last."""
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
 def _joined(old: tuple, new: tuple) -> tuple:
     """Spans, items and matches of two blocks for one document."""
     (spans, items, matches), (spans2, items2, matches2) = old, new
     if not spans or not spans2:
-        return spans or spans2, sorted({*items, *items2}), [*matches, *matches2]
+        return spans or spans2, _named({*items, *items2}), [*matches, *matches2]
     out: list[dict] = []
     for s in sorted([*spans, *spans2], key=lambda s: s["start"]):
         if out and s["start"] <= out[-1]["stop"]:
             out[-1]["stop"] = max(out[-1]["stop"], s["stop"])
         else:
             out.append(dict(s))
-    return out, sorted({*items, *items2}), [*matches, *matches2]
+    return out, _named({*items, *items2}), [*matches, *matches2]
 
 
 def find_matches(

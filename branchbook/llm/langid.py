@@ -225,4 +225,4 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 def languages(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document row."""
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
-    return predicted(src, train(src)).select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+    return predicted(src, train(src)).select("doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -44,7 +44,8 @@ def bounded_sample(rows: DataFrame, keyed: DataFrame, limit: int) -> DataFrame:
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = keyed.where("doc_id is not null").orderBy(*order).limit(limit)
-    return rows.join(F.broadcast(picked), "doc_id").limit(limit)
+    found = rows.join(F.broadcast(picked), "doc_id")  # several rows of an id: in a fixed order
+    return found.orderBy(*order, F.xxhash64(*found.columns)).limit(limit)
 
 
 def class_quotas(counts: dict, limit: int, least: int) -> dict:

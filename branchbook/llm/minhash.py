@@ -18,10 +18,12 @@ and only while its ends are in different components; what comes out is a forest
 links, however large a bucket is.
 
 Components are found with alternating large-star and small-star steps on tables in
-the shared folder. Defined cases: null, empty and wordless texts have an empty set and
-stay alone; texts with fewer words than a shingle are one shingle; repeated rows are
-exact copies; a doc_id that names several texts is linked through each of them; a null
-doc_id counts as smallest; further columns are ignored.
+the shared folder. Nodes are sets and documents are rows, told apart by their row keys,
+so ids never join texts. Defined cases: null, empty and wordless texts have an empty set
+and stay alone; texts with fewer words than a shingle are one shingle; repeated rows are
+exact copies; rows that share a doc_id with different texts, and rows without an id, are
+documents of their own; a component is named by its smallest id (null if no member has
+one); further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,14 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import (
-    FOLDED_NAMES, NO_ID, NOT_SPACE, U64, WORD_BASE, Rolling, Words, chunks, mix, packed_ids, parts, stored, text_buffer, unpacked_ids,
+    FOLDED_NAMES, KEY, KEY_ARROW, KEY_SCHEMA, NOT_SPACE, U64, WORD_BASE, Rolling, Words, chunks, mix, packed_ids, parts, stored, text_buffer,
+    unpacked_ids, with_row_keys,
 )
 
 BANDS, ROWS = 32, 4
 BLOCK = 1024  # members of one side of a comparison
 LIKELY = 0.64  # agreement of signatures below which no link is looked for
-SIG_SCHEMA = "doc_id bigint, n bigint, d1 bigint, d2 bigint, sig binary"
-_SIG = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("sig", pa.binary())])
+SIG_SCHEMA = f"doc_id bigint, {KEY_SCHEMA}, n bigint, d1 bigint, d2 bigint, sig binary"
+_SIG = pa.schema([("doc_id", pa.int64()), *KEY_ARROW, ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("sig", pa.binary())])
 
 
 def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,8 +87,7 @@ def circulant_signatures(names: np.ndarray, first: np.ndarray, size: int = BANDS
 
 def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw, offs = text_buffer(batch.column(1))
-        ids = batch.column(0).fill_null(NO_ID)
+        raw, offs = text_buffer(batch.column(batch.num_columns - 1))
         for lo, hi in chunks(offs):
             names, doc = shingle_sets(Words(raw, offs, lo, hi, NOT_SPACE, FOLDED_NAMES), k)
             n = np.bincount(doc, minlength=hi - lo)
@@ -98,7 +100,8 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                 d2[own] = np.add.reduceat(mix(names ^ U64(0xABCDEF1234567)), first)
                 for d, s in zip(own, circulant_signatures(names, first)):
                     sigs[d] = s.tobytes()
-            yield pa.RecordBatch.from_arrays([ids[lo:hi].cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(sigs, pa.binary())], schema=_SIG)
+            own = [c[lo:hi] for c in batch.columns[:-1]]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(n, pa.int64()), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(sigs, pa.binary())], schema=_SIG)
 
 
 BAND_SCHEMA = "bucket int, ids binary, n binary, bands binary"
@@ -228,20 +231,21 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document row: doc_id, n_shingles, component_id (smallest linked id) and kept."""
+def grouped(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document row: doc_id, ``KEY``, n, component_id and first (whether its row key is the component's least)."""
     if percent < 80:
         raise ValueError("the bands are laid out for a similarity of 0.8 or more")
     n_parts = parts(docs.sparkSession)
-    src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    src = with_row_keys(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))).select("doc_id", *KEY, "text")
     signed = stored(src.mapInArrow(lambda it: _signed(it, shingle), SIG_SCHEMA), "signatures")
-    nodes = stored(signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")).select("id", "n", "sig", "d1", "d2"), "nodes")
-    copies = signed.where("n > 0").join(nodes.select("n", "d1", "d2", "id"), ["n", "d1", "d2"]).where("doc_id != id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    sets = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(F.struct(*KEY)).alias("key"), F.first("sig").alias("sig"))
+    nodes = stored(sets.select("n", "d1", "d2", "sig", "key.*").withColumn("id", F.monotonically_increasing_id()), "nodes")  # numbers as stored
     members = stored(
         nodes.select("id", "n", "sig").mapInArrow(lambda it: _banded(it, n_parts), BAND_SCHEMA).groupBy("bucket").applyInArrow(_met, MEMBER_SCHEMA), "members"
     )
-    near = members.select(F.col("id").alias("__id")).distinct()
-    texts = stored(src.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).join(near, F.col("id") == F.col("__id"), "left_semi").select("id", "text").distinct(), "texts")
+    near = nodes.select(*KEY, "id").join(members.select("id").distinct(), "id")
+    # one row's text for each set that met another; copies of a row have one key
+    texts = stored(src.join(near, list(KEY)).select("id", "text").dropDuplicates(["id"]), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
         one = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
@@ -251,14 +255,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     centre = members.groupBy("band").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("c"))
     star = members.join(centre, "band").where("id != c.id and 100 * least(n, c.n) >= 80 * greatest(n, c.n)")
     tested = stored(verified(star.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()), "links")
-    known = copies.unionByName(tested.where("linked").select("a", "b"))
+    known = tested.where("linked").select("a", "b")
     blocks = _open_blocks(members, nodes, texts, components(known))
     more = blocks.groupBy("band", "q", "r").applyInArrow(lambda t: _joined(t, shingle, percent), "a bigint, b bigint")
     labels = components(known.unionByName(more))
-    out = signed.select("doc_id", "n").join(labels, F.col("doc_id") == F.col("id"), "left")
-    real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    comp = F.coalesce("label", "doc_id")
-    return out.select(real.alias("doc_id"), F.col("n").alias("n_shingles"), F.when(comp != NO_ID, comp).alias("component_id"), (F.col("doc_id") == comp).alias("kept"))
+    placed = signed.join(nodes.select("n", "d1", "d2", "id"), ["n", "d1", "d2"], "left").join(labels, "id", "left")
+    placed = placed.select("doc_id", *KEY, "n", F.coalesce("label", "id").alias("component"))
+    # sets are numbered as they are stored: a component's name is its least id, its first row the least key with an id, if any
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), *KEY)
+    least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(order).alias("least"))
+    out = placed.join(least, "component", "left")
+    alone = F.col("component").isNull()
+    first = alone | (order == F.col("least"))
+    return out.select("doc_id", *KEY, "n", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), first.alias("first"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document row: doc_id, n_shingles, component_id (smallest linked id) and kept."""
+    g = grouped(docs, shingle, percent, doc_id, text)
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("first"))
+    return g.select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
 
 def _open_blocks(members: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -279,6 +295,12 @@ def _open_blocks(members: DataFrame, nodes: DataFrame, texts: DataFrame, labels:
 
 
 def deduplicate(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The documents less every near copy: the smallest doc_id of each group stays, columns unchanged."""
-    gone = near_duplicates(docs, shingle, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone"), "left_anti")
+    """The documents less every near copy, columns unchanged: of each group the row of the smallest doc_id stays.
+
+    Rows go by their own text, never by an id that others share; of rows alike in
+    id and text one stays.
+    """
+    gone = grouped(docs, shingle, percent).where("not first").select(*KEY).distinct()
+    keyed = with_row_keys(docs).join(gone, list(KEY), "left_anti")
+    own = (F.col(KEY[1]) == 0) & (F.col(KEY[2]) == 0)  # an id that one row has
+    return keyed.where(own).unionByName(keyed.where(~own).dropDuplicates(list(KEY))).select(*docs.columns)

@@ -180,4 +180,4 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(sigmoid(g))], names=["doc_id", "score"])
 
     out = src.mapInArrow(run, "doc_id bigint, score double")
-    return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))

@@ -122,7 +122,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     ids = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
     out = scored(src, train(src, ids))
-    return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
