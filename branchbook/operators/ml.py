@@ -5,8 +5,9 @@
   shuffle of the rows), each tree is grown by ``applyInPandas`` on its 256 rows, the node table (at most trees x
   511 rows: a proven bound) is broadcast, and all rows are scored by a pandas
   UDF over the feature columns.
-* K-means and the random forest are Spark ML; inputs are branches x months,
-  cached for the repeated fits, then released.
+* K-means is Spark ML, on branches x months, cached for the repeated fits. The
+  random forest grows all folds' trees in one job on frames of a checked size
+  (``forest``) and is Spark ML beyond it.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ REPEATED = 1.1  # rows per distinct row above which a table counts as one of rep
 # Training knobs that change speed, not the model: cache node ids per row and let
 # one pass over the data split more nodes at a time.
 RF_SPEED = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
+LOCAL_FRAME = 100_000  # rows of a frame that a task may hold whole to grow trees from
 FOREST_ROWS = 50_000  # rows of a partition that a forest is worth a task for
 EULER_GAMMA = 0.5772156649015329
 
@@ -346,13 +348,52 @@ def rf_cross_validate(frame: DataFrame, features: list[str], label: str, id_cols
                       names: list[str] | None = None) -> DataFrame:
     """Random forest regression, K-fold R2 / MAE / RMSE mean and (population) std.
 
-    Leave-one-out folds have no R2 (one held-out row), reported as null.
+    Leave-one-out folds have no R2 (one held-out row), reported as null. Frames of up to
+    LOCAL_FRAME rows grow the trees of all folds in one job (``forest``), larger ones
+    are fitted by Spark ML fold by fold.
     """
+    n = frame.count()
+    folded, k, name = cv_folds(frame, id_cols, seed)
+    fit = _cv_local if n <= LOCAL_FRAME else _cv_ml
+    arr = fit(folded, features, label, id_cols, k, max_depth, trees, seed)
+    if name == "LeaveOneOut":
+        arr["r2"] = np.full(k, np.nan)
+
+    def stat(m, fn, nd):
+        v = arr[m]
+        return None if np.isnan(v).all() else round(float(fn(v)), nd)
+
+    row = ("RandomForestRegressor", name, int(n), ",".join(names or features),
+           stat("r2", np.mean, 4), stat("r2", np.std, 4), stat("mae", np.mean, 2), stat("mae", np.std, 2),
+           stat("rmse", np.mean, 2), stat("rmse", np.std, 2))
+    schema = ("model string, cv_method string, n_samples bigint, features string, r2_mean double, r2_std double, "
+              "mae_mean double, mae_std double, rmse_mean double, rmse_std double")
+    return frame.sparkSession.createDataFrame([row], schema)
+
+
+def _cv_local(folded: DataFrame, features: list[str], label: str, id_cols: list[str], k: int, max_depth: int, trees: int, seed: int) -> dict:
+    """Metrics by fold, from predictions averaged over the fold's trees."""
+    from branchbook.operators.forest import grown
+
+    rows, y = grown(folded, features, label, "fold", id_cols, list(range(k)), trees, max_depth, seed)
+    mean = rows.where("row is not null").groupBy("fold", "row").agg(F.avg("prediction").alias("p")).toArrow()  # a row for each of the frame's
+    fold, at, p = (mean.column(c).to_numpy() for c in ("fold", "row", "p"))
+    out: dict = {"r2": [], "mae": [], "rmse": []}
+    for f in range(k):
+        t, d = y[at[fold == f]], p[fold == f] - y[at[fold == f]]
+        spread = float(((t - t.mean()) ** 2).sum())
+        out["r2"].append(1.0 - float((d**2).sum()) / spread if spread else np.nan)
+        out["mae"].append(float(np.abs(d).mean()))
+        out["rmse"].append(float(np.sqrt((d**2).mean())))
+    return {m: np.array(v) for m, v in out.items()}
+
+
+def _cv_ml(folded: DataFrame, features: list[str], label: str, id_cols: list[str], k: int, max_depth: int, trees: int, seed: int) -> dict:
+    """Metrics by fold from Spark ML fits, submitted concurrently."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 
-    folded, k, name = cv_folds(frame, id_cols, seed)
     data = VectorAssembler(inputCols=features, outputCol="features").transform(
         folded.select(*features, F.col(label).cast("double").alias("label"), "fold")
     )
@@ -364,35 +405,29 @@ def rf_cross_validate(frame: DataFrame, features: list[str], label: str, id_cols
                                    **RF_SPEED)
         model = rf.fit(data.filter(F.col("fold") != f))
         pred = model.transform(data.filter(F.col("fold") == f))
-        ev = {m: RegressionEvaluator(metricName=m).evaluate(pred) for m in ("r2", "mae", "rmse")}
-        if name == "LeaveOneOut":
-            ev["r2"] = float("nan")
-        return ev
+        return {m: RegressionEvaluator(metricName=m).evaluate(pred) for m in ("r2", "mae", "rmse")}
 
     try:
-        n = data.count()
         # folds are independent Spark jobs: submit them concurrently
         with ThreadPoolExecutor(max_workers=min(k, 8)) as pool:
             res = list(pool.map(run_fold, range(k)))
     finally:
         data.unpersist()
-    arr = {m: np.array([r[m] for r in res]) for m in ("r2", "mae", "rmse")}
-
-    def stat(m, fn, nd):
-        v = arr[m]
-        return None if np.isnan(v).all() else round(float(fn(v)), nd)
-
-    row = ("RandomForestRegressor", name, int(n), ",".join(names or features),
-           stat("r2", np.mean, 4), stat("r2", np.std, 4), stat("mae", np.mean, 2), stat("mae", np.std, 2),
-           stat("rmse", np.mean, 2), stat("rmse", np.std, 2))
-    schema = ("model string, cv_method string, n_samples bigint, features string, r2_mean double, r2_std double, "
-              "mae_mean double, mae_std double, rmse_mean double, rmse_std double")
-    return frame.sparkSession.createDataFrame([row], schema)
+    return {m: np.array([r[m] for r in res]) for m in ("r2", "mae", "rmse")}
 
 
 def rf_importances(frame: DataFrame, features: list[str], label: str, max_depth: int = RF_MAX_DEPTH,
                    trees: int = RF_TREES, seed: int = SEED) -> DataFrame:
     """The forest fitted on all rows; importance per feature (rounded 4)."""
+    if frame.count() <= LOCAL_FRAME:
+        from branchbook.operators.forest import grown
+
+        others = [c for c in frame.columns if c not in (*features, label)]
+        rows, _ = grown(frame.withColumn("__all", F.lit(-2)), features, label, "__all", others, [-1], trees, max_depth, seed)
+        mean = {r.feature: r.m for r in rows.where("feature is not null").groupBy("feature").agg(F.avg("importance").alias("m")).collect()}
+        total = sum(mean.values()) or 1.0
+        got = [(f, round(float(mean[i] / total), 4)) for i, f in enumerate(features)]
+        return frame.sparkSession.createDataFrame(got, "feature string, importance double")
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
 

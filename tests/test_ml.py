@@ -127,3 +127,56 @@ def test_isolation_forest_of_an_empty_table_is_empty(spark):
     df = spark.createDataFrame([], "id int, SUMMA double, CNT double")
     out = ml.isolation_forest(df, ["SUMMA", "CNT"], id_cols=["id"])
     assert out.count() == 0 and out.columns == ["id", "SUMMA", "CNT", "iso_score", "anomaly_iso"]
+
+
+def _best_split(x, y, w):
+    """The largest drop of the weighted squared error over all features and cuts, in plain Python."""
+    def sse(i):
+        return float((w[i] * (y[i] - np.average(y[i], weights=w[i])) ** 2).sum()) if w[i].sum() else 0.0
+
+    everything = np.arange(len(y))
+    return max((sse(everything) - sse(everything[x[:, f] <= b]) - sse(everything[x[:, f] > b]), -f, -b)
+               for f in range(x.shape[1]) for b in range(32) if w[x[:, f] <= b].sum() and w[x[:, f] > b].sum())
+
+
+def test_tree_takes_the_best_split_and_fits_its_rows():
+    from branchbook.operators.forest import Tree
+
+    rng = np.random.default_rng(2)
+    for seed in range(20):
+        x = rng.integers(0, 32, (60, 3)).astype(np.uint8)
+        y = rng.normal(size=60) + (x[:, 1] > 11)
+        w = rng.poisson(1.0, 60)
+        gain, f, b = _best_split(x, y, w)
+        one = Tree(x, y, w, 1)
+        assert one.feature[0] == -f and np.isclose(one.importance.sum(), gain)
+        left = x[:, -f] <= one.bin[0]
+        assert np.allclose(one.predict(x)[left], np.average(y[left], weights=w[left]))
+        full = Tree(x, y, w, 30)
+        alike = {tuple(r): np.average(y[(x == r).all(axis=1) & (w > 0)], weights=w[(x == r).all(axis=1) & (w > 0)]) for r in x[w > 0]}
+        assert np.allclose(full.predict(x[w > 0]), [alike[tuple(r)] for r in x[w > 0]])
+    flat = Tree(x, np.ones(60), w, 30)
+    assert len(flat.feature) == 1 and flat.predict(x).tolist() == [1.0] * 60
+    assert Tree(x, y, np.zeros(60, dtype=int), 5).predict(x).tolist() == [0.0] * 60
+
+
+def test_local_forest_agrees_with_spark_ml(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(400):
+        a, b, c = rng.normal(size=3)
+        rows.append((i, float(a), float(b), float(c), float(10 * a + 3 * abs(b) + rng.normal())))
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, y double")
+    got = {}
+    for limit in (100_000, 0):
+        monkeypatch.setattr(ml, "LOCAL_FRAME", limit)
+        m = ml.rf_cross_validate(df, ["a", "b", "c"], "y", ["id"], max_depth=10, trees=40).first()
+        imp = {r.feature: r.importance for r in ml.rf_importances(df, ["a", "b", "c"], "y", max_depth=10, trees=40).collect()}
+        got[limit] = (m.r2_mean, m.mae_mean, m.rmse_mean, imp["a"])
+        assert abs(sum(imp.values()) - 1) < 0.001 and m.n_samples == 400
+    assert np.allclose(got[100_000], got[0], rtol=0.06)
+    monkeypatch.setattr(ml, "LOCAL_FRAME", 100_000)
+    again = ml.rf_cross_validate(df.repartition(7), ["a", "b", "c"], "y", ["id"], max_depth=10, trees=40).first()
+    assert (again.r2_mean, again.mae_mean, again.rmse_mean) == got[100_000][:3]
+    few = ml.rf_cross_validate(df.limit(6), ["a", "b", "c"], "y", ["id"], trees=5).first()
+    assert few.cv_method == "LeaveOneOut" and few.r2_mean is None and few.mae_mean > 0
