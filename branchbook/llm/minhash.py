@@ -41,6 +41,7 @@ from branchbook.llm.common import (
 )
 
 BANDS, ROWS = 32, 4
+SALTS = 16  # places that the nodes of one component are spread over
 BLOCK = 1024  # members of one side of a comparison
 LIKELY = 0.64  # agreement of signatures below which no link is looked for
 SIG_SCHEMA = f"doc_id bigint, {KEY_SCHEMA}, n bigint, d1 bigint, d2 bigint, sig binary"
@@ -231,6 +232,19 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
 
 
+def over_components(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes (id, values) with each value's least over the node's component.
+
+    Nodes of one component meet in SALTS places, so that a large one isn't one task's.
+    """
+    values = [F.min(c).alias(c) for c in nodes.columns if c != "id"]
+    linked = nodes.join(labels, "id")
+    least = linked.groupBy("label").agg(*values).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = linked.select("id", "label", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    found = spread.join(least, ["label", "salt"]).select(*nodes.columns)
+    return found.unionByName(nodes.join(labels, "id", "left_anti"))
+
+
 def grouped(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: doc_id, ``KEY``, n, component_id and first (whether its row key is the component's least)."""
     if percent < 80:
@@ -238,12 +252,14 @@ def grouped(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str =
     n_parts = parts(docs.sparkSession)
     src = with_row_keys(docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))).select("doc_id", *KEY, "text")
     signed = stored(src.mapInArrow(lambda it: _signed(it, shingle), SIG_SCHEMA), "signatures")
-    sets = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(F.struct(*KEY)).alias("key"), F.first("sig").alias("sig"))
-    nodes = stored(sets.select("n", "d1", "d2", "sig", "key.*").withColumn("id", F.monotonically_increasing_id()), "nodes")  # numbers as stored
+    # of a set's rows the first is the one of the least id and key; rows without an id come last
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), *KEY)
+    sets = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(order).alias("least"), F.min("doc_id").alias("component_id"), F.first("sig").alias("sig"))
+    nodes = stored(sets.withColumn("id", F.monotonically_increasing_id()), "nodes")  # numbers as stored
     members = stored(
         nodes.select("id", "n", "sig").mapInArrow(lambda it: _banded(it, n_parts), BAND_SCHEMA).groupBy("bucket").applyInArrow(_met, MEMBER_SCHEMA), "members"
     )
-    near = nodes.select(*KEY, "id").join(members.select("id").distinct(), "id")
+    near = nodes.select(*(F.col(f"least.{c}").alias(c) for c in KEY), "id").join(members.select("id").distinct(), "id")
     # one row's text for each set that met another; copies of a row have one key
     texts = stored(src.join(near, list(KEY)).select("id", "text").dropDuplicates(["id"]), "texts")
 
@@ -259,13 +275,10 @@ def grouped(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str =
     blocks = _open_blocks(members, nodes, texts, components(known))
     more = blocks.groupBy("band", "q", "r").applyInArrow(lambda t: _joined(t, shingle, percent), "a bigint, b bigint")
     labels = components(known.unionByName(more))
-    placed = signed.join(nodes.select("n", "d1", "d2", "id"), ["n", "d1", "d2"], "left").join(labels, "id", "left")
-    placed = placed.select("doc_id", *KEY, "n", F.coalesce("label", "id").alias("component"))
-    # sets are numbered as they are stored: a component's name is its least id, its first row the least key with an id, if any
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), *KEY)
-    least = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(order).alias("least"))
-    out = placed.join(least, "component", "left")
-    alone = F.col("component").isNull()
+    named = over_components(nodes.select("id", "least", "component_id"), labels)
+    of_set = nodes.select("n", "d1", "d2", "id").join(named, "id").drop("id")
+    out = signed.join(of_set, ["n", "d1", "d2"], "left")
+    alone = F.col("least").isNull()
     first = alone | (order == F.col("least"))
     return out.select("doc_id", *KEY, "n", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), first.alias("first"))
 

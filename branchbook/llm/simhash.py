@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import stored
-from branchbook.llm.minhash import components
+from branchbook.llm.minhash import components, over_components
 
 BITS, RADIUS = 64, 2
 SEED = 42  # of XXH64, part of the fingerprint's definition
@@ -223,11 +223,8 @@ def links(nodes: DataFrame, plan: list[tuple[list[int], int]], bucket: int = BUC
 def near_duplicates(docs: DataFrame, shingle: int = 3, bucket: int = BUCKET, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document row: doc_id, fingerprint (16 hex digits) and component_id (smallest linked id)."""
     prints = stored(fingerprints(docs, shingle, doc_id, text), "fingerprints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("component_id")), "simhash-nodes")
     labels = components(links(nodes, partition_plan(nodes, bucket), bucket))
-    linked = nodes.join(labels, F.col("fp") == F.col("id")).select("fp", "label", "least")
-    least = linked.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "label").select("fp", "component_id")
-    alone = nodes.join(named, "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
-    out = prints.join(named.unionByName(alone), "fp")
+    named = over_components(nodes.withColumnRenamed("fp", "id"), labels).withColumnRenamed("id", "fp")
+    out = prints.join(named, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
