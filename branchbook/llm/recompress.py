@@ -20,7 +20,7 @@ Buckets are dealt by symbol only: a frequent passage is spread over buckets by i
 many symbols, but all occurrences of one hot symbol lie in one group. The comparison
 of windows decides what goes; the symbols only choose the bucket.
 
-Windows are compared by 96 bits of names and their place around the boundary.
+Windows are compared by 64 bits, mixed from their names and their place around the boundary.
 Defined cases: a null or wordless text has no words and keeps the empty text; texts
 under a window's length are kept whole; a document is not compared with itself nor
 with rows of its own id; of rows that share a doc_id, or have none, each loses what is

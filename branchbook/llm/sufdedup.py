@@ -16,8 +16,8 @@ kept, so later batches can't be added, and a bucket (one hot name included) is n
 A suffix whose whole stretch occurs twice settles all its strings at once, copies and
 common passages thus need no further work. Suffixes that share 32 bytes but not the
 stretch go back to their texts once, one per distinct stretch: the names of the single
-strings decide there. Names are 64 bits (the stretch) and 64 + 48 bits (a string and
-its suffix).
+strings decide there. Names have 64 bits, of a stretch as of a string and its
+suffix together; bytes are not compared after them.
 
 Defined cases: a null text is empty; texts under ``length`` bytes are kept; matches
 never cross documents; repeated rows are copies of each other; every row is a
