@@ -419,6 +419,7 @@ def _cv_ml(folded: DataFrame, features: list[str], label: str, id_cols: list[str
 def rf_importances(frame: DataFrame, features: list[str], label: str, max_depth: int = RF_MAX_DEPTH,
                    trees: int = RF_TREES, seed: int = SEED) -> DataFrame:
     """The forest fitted on all rows; importance per feature (rounded 4)."""
+    frame = stored(frame, "forest-frame")  # several passes read it
     if frame.count() <= LOCAL_FRAME:
         from branchbook.operators.forest import grown
 
