@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,40 @@ class Ftrl:
         self.n[idx] += g * g
 
 
+def minimised(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], w: np.ndarray, passes: int, memory: int = 10, least: float = 1e-5) -> np.ndarray:
+    """A minimum of ``loss`` (value and gradient) from ``w`` on, by limited-memory quasi-Newton steps with halving.
+
+    At most ``passes`` evaluations; ends where a step gains less than ``least`` of the value.
+    """
+    value, grad = loss(w)
+    passes -= 1
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    while passes > 0 and np.abs(grad).max() > 1e-7:
+        way, back = grad.copy(), []
+        for s, y in reversed(kept):
+            back.append((s @ way) / (s @ y))
+            way -= back[-1] * y
+        way *= (kept[-1][0] @ kept[-1][1]) / (kept[-1][1] @ kept[-1][1]) if kept else 1.0 / max(1.0, np.linalg.norm(grad))
+        for (s, y), a in zip(kept, reversed(back)):
+            way += s * (a - (y @ way) / (s @ y))
+        slope, size = -(grad @ way), 1.0
+        while passes > 0:
+            near, passes = w - size * way, passes - 1
+            new, new_grad = loss(near)
+            if new <= value + 1e-4 * size * slope:
+                break
+            size /= 2
+        else:
+            return w
+        s, y, gain = near - w, new_grad - grad, value - new
+        if s @ y > 1e-12 * (y @ y):
+            kept = [*kept, (s, y)][-memory:]
+        w, value, grad = near, new, new_grad
+        if gain < least * abs(value):
+            break
+    return w
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
 
