@@ -4,12 +4,19 @@ Base statistics of every whole text come from array functions within the row (no
 explode, no shuffle). Texts that pass the base rules are then judged per language and
 source by a minimum-covariance-determinant estimate of four transformed statistics:
 log mean word length, and the square roots of the shares of symbols, of repeated words
-and of repeated lines (per word). The estimate starts from medians and median absolute
-deviations and takes ``STEPS`` concentration steps: keep the 75 % of the group nearest
-in Mahalanobis distance, take their mean and covariance anew. Distances are ranked by
-counts in fine steps, so a group that holds a third of all rows is a few hundred counts
-per task. Variances have a floor (``FLOOR``), as most texts have no symbols or repeats
-at all. A text is rejected beyond the 0.9999 quantile of chi-square with 4 degrees.
+and of repeated lines (per word). Concentration steps look for the 75 % of a group whose
+covariance has the least determinant: keep the 75 % nearest in Mahalanobis distance, take
+their mean and covariance anew. Each group has three deterministic starts about its
+medians: the squared median absolute deviations, and these with the correlations of
+the deviations' hyperbolic tangents or of their spatial signs. All take ``FIRST_STEPS``
+steps; of the three the least determinant goes on, as long as it falls (by more than
+``FALL`` in its logarithm; at most ``MOST_STEPS``), and the least seen is kept.
+
+A step is one scan with one exchange: moments are added up per group and fine step of
+the distance, so a group that holds a third of all rows is at most a few thousand sums
+per task, and only groups whose determinant still falls are scanned. Variances have a
+floor (``FLOOR``), added to the diagonal, as most texts have no symbols or repeats at all.
+A text is rejected beyond the 0.9999 quantile of chi-square with 4 degrees.
 
 Defined cases: a null text counts as empty and fails the base rules; a null language
 or source is a value of its own; groups under ``LEAST`` passing rows reject nothing;
@@ -27,7 +34,9 @@ from branchbook.llm.common import stored
 WHITE = " \t\n\x0b\x0c\r"
 SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]+"
-STEPS = 4
+FIRST_STEPS, MOST_STEPS = 2, 30
+FALL = 1e-3
+FINE = 64  # steps of the distance for each factor e
 SHARE = 0.75
 CONSISTENCY = 1.49  # of the covariance of the nearest 75 % in 4 dimensions
 CUT = 23.51  # chi-square, 4 degrees, 0.9999
@@ -88,21 +97,25 @@ def _ranked(rows: DataFrame, by: list[str], step: Column, share: float) -> DataF
     return counts.withColumns({"run": run, "all": F.sum("c").over(w)}).where(F.col("run") >= share * F.col("all")).groupBy(*by).agg(F.min("step").alias("step"))
 
 
-def _factored(moments: DataFrame) -> DataFrame:
-    """Mean m_i and lower Cholesky factor l_ij of the covariances c_ij, floors added to the diagonal.
+LOWER = [(i, j) for i in range(4) for j in range(i + 1)]
+ESTIMATE = [f"m{i}" for i in range(4)] + [f"l{i}{j}" for i, j in LOWER]
+
+
+def _factored(moments: DataFrame, by: list[str], scale: float = CONSISTENCY, floor: tuple = FLOOR) -> DataFrame:
+    """Mean m_i, lower Cholesky factor l_ij of the covariances c_ji, floors added to the diagonal, and logdet.
 
     One column after another: an entry is used several times and stays a column of its own.
     """
     out = moments
     for j in range(4):
         for i in range(j, 4):
-            v = F.coalesce(f"c{i}{j}", F.lit(0.0)) * CONSISTENCY
+            v = F.coalesce(f"c{j}{i}", F.lit(0.0)) * scale
             if i == j:
-                v = v + FLOOR[i] ** 2
+                v = v + floor[i] ** 2
             for k in range(j):
                 v = v - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(v, F.lit(FLOOR[i] ** 2 / 4))) if i == j else v / F.col(f"l{j}{j}"))
-    return out.select("g", *[f"m{i}" for i in range(4)], *[f"l{i}{j}" for i in range(4) for j in range(i + 1)])
+    return out.select(*by, *ESTIMATE, (2 * F.log(F.col("l00") * F.col("l11") * F.col("l22") * F.col("l33"))).alias("logdet"))
 
 
 def with_distance(rows: DataFrame) -> DataFrame:
@@ -115,33 +128,82 @@ def with_distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, 4)), F.col("y0") * F.col("y0")))
 
 
-def estimates(rows: DataFrame) -> DataFrame:
-    """Per group g: mean m0..m3 and factor l00..l33 of the minimum-covariance-determinant estimate."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """Per group g and start (0, 1, 2): the mean and factor to begin with."""
     fine = 1000
     long = rows.select("g", F.posexplode(F.array(*X)).alias("i", "x"))
-    mid = _ranked(long, ["g", "i"], F.round(F.col("x") * fine), 0.5).select("g", "i", (F.col("step") / fine).alias("mid"))
+    mid = stored(_ranked(long, ["g", "i"], F.round(F.col("x") * fine), 0.5).select("g", "i", (F.col("step") / fine).alias("mid")), "medians")
     dev = long.join(mid, ["g", "i"])
     mad = _ranked(dev, ["g", "i"], F.round(F.abs(F.col("x") - F.col("mid")) * fine), 0.5).select("g", "i", (1.4826 * F.col("step") / fine).alias("mad"))
-    wide = stored(mid.join(mad, ["g", "i"]), "start").groupBy("g").agg(
-        *[F.max(F.when(F.col("i") == i, F.col("mid"))).alias(f"m{i}") for i in range(4)], *[F.max(F.when(F.col("i") == i, F.col("mad"))).alias(f"s{i}") for i in range(4)])
-    zero = F.lit(0.0)
-    params = wide.select("g", *[f"m{i}" for i in range(4)], *[
-        (F.sqrt(F.col(f"s{i}") ** 2 + FLOOR[i] ** 2) if i == j else zero).alias(f"l{i}{j}") for i in range(4) for j in range(i + 1)])
-    for _ in range(STEPS):
-        far = with_distance(rows.join(params, "g")).select("g", *X, F.floor(F.log(F.col("d2") + 1e-9) * 64).alias("step"))
-        limit = _ranked(far.select("g", F.col("step").alias("at")), ["g"], F.col("at"), SHARE).withColumnRenamed("step", "limit")
-        near = far.join(limit, "g").where(F.col("step") <= F.col("limit"))
-        moments = near.groupBy("g").agg(
-            *[F.avg(f"x{i}").alias(f"m{i}") for i in range(4)], *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}{j}") for i in range(4) for j in range(i + 1)])
-        params = _factored(stored(moments, "moments"))
-    return params
+    wide = stored(mid.join(mad, ["g", "i"]), "deviations").groupBy("g").agg(
+        *[F.max(F.when(F.col("i") == i, F.col("mid"))).alias(f"m{i}") for i in range(4)],
+        *[F.sqrt(F.max(F.when(F.col("i") == i, F.col("mad"))) ** 2 + FLOOR[i] ** 2).alias(f"s{i}") for i in range(4)])
+    wide = stored(wide, "scales")
+    z = rows.join(wide, "g").select("g", *[((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i in range(4)])
+    z = z.withColumn("r", F.sqrt(sum((F.col(f"z{i}") ** 2 for i in range(1, 4)), F.col("z0") ** 2)))
+    forms = {"t": lambda i: F.tanh(f"z{i}"), "p": lambda i: F.when(F.col("r") > 0, F.col(f"z{i}") / F.col("r")).otherwise(0.0)}
+    met = z.groupBy("g").agg(*[F.avg(f(i) * f(j)).alias(f"{n}{j}{i}") for n, f in forms.items() for i, j in LOWER])
+    met = stored(wide.join(met, "g"), "correlations")
+    out = None
+    for start, n in enumerate((None, "t", "p")):
+        def entry(j: int, i: int, n=n) -> Column:
+            if i == j:
+                return F.col(f"s{i}") ** 2
+            if n is None:
+                return F.lit(0.0)
+            size = F.sqrt(F.col(f"{n}{i}{i}") * F.col(f"{n}{j}{j}"))
+            return F.when(size > 1e-12, 0.95 * F.col(f"{n}{j}{i}") / size).otherwise(0.0) * F.col(f"s{i}") * F.col(f"s{j}")
+
+        covariances = met.select("g", F.lit(start).alias("start"), *[f"m{i}" for i in range(4)], *[entry(j, i).alias(f"c{j}{i}") for i, j in LOWER])
+        given = _factored(covariances, ["g", "start"], 1.0, (0.0,) * 4)
+        out = given if out is None else out.unionByName(given)
+    return out
+
+
+def _concentrated(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """One concentration step: mean, factor and logdet of the ``SHARE`` of each group nearest to its estimate, by g and start."""
+    by = ["g", "start"]
+    far = with_distance(rows.join(params.select(*by, *ESTIMATE), "g"))
+    v = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(4)]
+    sums = [F.sum(v[i]).alias(f"a{i}") for i in range(4)] + [F.sum(v[i] * v[j]).alias(f"b{j}{i}") for i, j in LOWER]
+    bins = far.groupBy(*by, F.floor(F.log(F.col("d2") + 1e-9) * FINE).alias("step")).agg(
+        F.count("*").alias("c"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(4)], *sums)
+    w = Window.partitionBy(*by)
+    before = F.coalesce(F.sum("c").over(w.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = bins.withColumns({"before": before, "all": F.sum("c").over(w)}).where(F.col("before") < SHARE * F.col("all"))
+    total = near.groupBy(*by).agg(
+        F.sum("c").alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(4)],
+        *[F.sum(f"a{i}").alias(f"a{i}") for i in range(4)], *[F.sum(f"b{j}{i}").alias(f"b{j}{i}") for i, j in LOWER])
+    mean = [F.col(f"a{i}") / F.col("n") for i in range(4)]
+    moments = total.select(*by, *[(F.col(f"m{i}") + mean[i]).alias(f"m{i}") for i in range(4)],
+                           *[(F.col(f"b{j}{i}") / F.col("n") - mean[i] * mean[j]).alias(f"c{j}{i}") for i, j in LOWER])
+    return stored(_factored(moments, by), "concentrated")
+
+
+def estimates(rows: DataFrame) -> DataFrame:
+    """Per group g: mean m0..m3, factor l00..l33 and logdet of the minimum-covariance-determinant estimate."""
+    params = stored(_starts(rows), "starts")
+    for _ in range(FIRST_STEPS):
+        params = _concentrated(rows, params)
+    names = ["start", *ESTIMATE, "logdet"]
+    least = params.groupBy("g").agg(F.min_by(F.struct(*names), F.struct("logdet", "start")).alias("e")).select("g", "e", F.lit(True).alias("falls"))
+    best = stored(least, "least")
+    for _ in range(MOST_STEPS):
+        falling = best.where("falls")
+        if falling.isEmpty():
+            break
+        new = _concentrated(rows, falling.select("g", "e.*")).select("g", F.struct(*names).alias("new"))
+        less = F.coalesce(F.col("new.logdet") < F.col("e.logdet"), F.lit(False))
+        far = F.coalesce(F.col("new.logdet") < F.col("e.logdet") - FALL, F.lit(False))
+        best = stored(best.join(new, "g", "left").select("g", F.when(less, F.col("new")).otherwise(F.col("e")).alias("e"), far.alias("falls")), "least")
+    return best.select("g", "e.*").drop("start")
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """One row per document row: the base statistics, base_failed, the distance and kept."""
     rows = stored(vectors(statistics(docs)), "statistics")
     passing = rows.where("not base_failed")
-    enough = passing.groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") >= LEAST).select("g")
+    enough = stored(passing.groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") >= LEAST).select("g"), "groups")
     params = estimates(passing.join(enough, "g", "left_semi").select("g", *X))
     out = with_distance(rows.join(params, "g", "left"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
