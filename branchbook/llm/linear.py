@@ -73,17 +73,6 @@ def remainder(doc_id: str, of: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % of
 
 
-def bounded_sample(rows: DataFrame, keyed: DataFrame, limit: int) -> DataFrame:
-    """Rows of ``rows`` whose doc_id is among the ``limit`` least hashed ids of ``keyed``; at most ``limit`` rows.
-
-    Only ids and labels are ranked; ``limit`` bounds what is broadcast and returned.
-    """
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = keyed.where("doc_id is not null").orderBy(*order).limit(limit)
-    found = rows.join(F.broadcast(picked), "doc_id")  # several rows of an id: in a fixed order
-    return found.orderBy(*order, F.xxhash64(*found.columns)).limit(limit)
-
-
 def class_quotas(counts: dict, limit: int, least: int) -> dict:
     """How many examples to take of each class: its share of ``limit``, or ``least`` (all it has, if fewer)."""
     total = sum(counts.values())

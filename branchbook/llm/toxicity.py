@@ -1,15 +1,17 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text are its distinct words, word pairs and pairs with one word between,
-hashed to 2**20 places. Training takes at most ``TRAIN_DOCS`` labelled documents (the
-least hashed ids of the learning rows; a documented bound), in passes over a fixed
-order. L1 leaves few weights; only those, as places and values, are broadcast.
+hashed to 2**20 places. Training takes about ``TRAIN_DOCS`` labelled documents (a documented
+bound) by class: each label's share of it, or ``LEAST_DOCS``, or all it has, those of the
+least hashed ids. Labels are counted over all learning rows, and a class taken above its
+share weighs less in every step, so a rare class is learnt from without a shift of the scores.
+Training goes in passes over a fixed order. L1 leaves few weights; only those, as places and values, are broadcast.
 Every whole text is scored in one pass without a shuffle.
 
 Defined cases: null, empty and wordless texts get the score of the bias; no labelled
 row, or labels of one class only, give a constant model; null labels are not learnt
 from; of repeated label rows the largest label counts; repeated document rows are
-scored each; further columns are kept by ``scored`` and never used.
+scored each, and the least text of an id is learnt from; further columns are kept by ``scored`` and never used.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import ALNUM, FOLDED_NAMES, U64, Words, chunks, mix, text_buffer
-from branchbook.llm.linear import Ftrl, bounded_sample, remainder, sigmoid
+from branchbook.llm.linear import Ftrl, class_quotas, class_sample, remainder, sigmoid
 
 BITS = 20
 TRAIN_DOCS = 8000
+LEAST_DOCS = 2000  # of a class
 PASSES = 3
 ALPHA, L1 = 0.6, 6.0
 LIMIT = 0.3
@@ -66,27 +69,35 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(2)[lo:hi].cast(pa.int32()), pa.array(blobs, pa.binary())], names=["doc_id", "label", "places"])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = TRAIN_DOCS) -> Model:
-    """Learn from the labels of documents whose crc32 modulo 4 is not 2."""
-    known = labels.where(F.col(label).isNotNull()).where(remainder("doc_id", 4) != 2).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    sample = bounded_sample(docs.select(F.col("doc_id"), "text"), known, limit).select("doc_id", "text", "label")
-    rows = sample.mapInArrow(_sparse, "doc_id bigint, label int, places binary").toArrow()
-    order = np.argsort([hash((i, 1)) for i in rows.column("doc_id").to_pylist()], kind="stable")
-    y = rows.column("label").to_pylist()
-    x = [np.frombuffer(b, dtype=np.int32) for b in rows.column("places").to_pylist()]
+def learnt(examples: list[tuple[np.ndarray, int]], weight: dict[int, float]) -> tuple[np.ndarray, float]:
+    """(weights by place, bias) after ``PASSES`` passes over (places, label); a class's gradients are multiplied by its weight."""
     learner = Ftrl((1 << BITS) + 1, alpha=ALPHA, l1=L1, l2=0.1)
-    share = float(np.mean(y)) if y else 0.0
-    if share in (0.0, 1.0):
-        return Model(np.zeros(0), np.zeros(0), -4.0 if share == 0.0 else 4.0)
     for _ in range(PASSES):
-        for i in order:
-            idx = np.append(x[i], 1 << BITS)
+        for at, y in examples:
+            idx = np.append(at, 1 << BITS)
             w = learner.weights(idx)
-            p = sigmoid(w.sum(axis=0))
-            learner.step(idx, np.ones(len(idx)), p - y[i], w)
+            learner.step(idx, np.ones(len(idx)), weight[y] * (sigmoid(w.sum(axis=0)) - y), w)
     w = learner.weights()[:, 0]
-    place = np.flatnonzero(w[:-1])
-    return Model(place, w[place], float(w[-1]))
+    return w[:-1], float(w[-1])
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = TRAIN_DOCS, least: int = LEAST_DOCS) -> Model:
+    """Learn from the labels of documents whose crc32 modulo 4 is not 2."""
+    known = labels.where(F.col(label).isNotNull()).where(remainder("doc_id", 4) != 2).groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("label"))
+    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}  # at most two rows
+    if len(counts) < 2:
+        return Model(np.zeros(0), np.zeros(0), 4.0 if 1 in counts else -4.0)
+    picked = class_sample(known, "label", counts, class_quotas(counts, limit, least))
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = sample.select("doc_id", "text", "label").mapInArrow(_sparse, "doc_id bigint, label int, places binary").toArrow().sort_by("doc_id")
+    y, blobs = rows.column("label").to_pylist(), rows.column("places").to_pylist()
+    order = np.argsort([hash((i, 1)) for i in rows.column("doc_id").to_pylist()], kind="stable")
+    taken = {c: max(1, y.count(c)) / max(1, len(y)) for c in counts}
+    weight = {c: n / sum(counts.values()) / taken[c] for c, n in counts.items()}
+    w, bias = learnt([(np.frombuffer(blobs[i], dtype=np.int32), y[i]) for i in order], weight)
+    place = np.flatnonzero(w)
+    return Model(place, w[place], bias)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
