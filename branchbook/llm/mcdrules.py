@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchbook.llm.common import stored
+from branchbook.operators.joins import plan_size_bytes
 
 WHITE = " \t\n\x0b\x0c\r"
 SPLIT = r"[\x20\x09-\x0D]+"
@@ -42,6 +43,8 @@ CONSISTENCY = 1.49  # of the covariance of the nearest 75 % in 4 dimensions
 CUT = 23.51  # chi-square, 4 degrees, 0.9999
 FLOOR = (0.1, 0.05, 0.1, 0.05)
 LEAST = 10
+SMALL_BYTES = 32 << 20  # group tables up to this size are broadcast
+SALTS = 32
 X = ["x0", "x1", "x2", "x3"]
 
 
@@ -128,18 +131,29 @@ def with_distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(1, 4)), F.col("y0") * F.col("y0")))
 
 
+def beside(rows: DataFrame, groups: DataFrame, how: str = "inner", limit: int = SMALL_BYTES) -> DataFrame:
+    """Rows with what a stored table says of their group g: broadcast up to ``limit`` bytes, beyond
+    that joined by group and salt, so that no group's rows meet in one task."""
+    size = plan_size_bytes(groups)
+    if size is not None and size <= limit:
+        return rows.join(F.broadcast(groups), "g", how)
+    salted = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).join(salted, ["g", "__salt"], how).drop("__salt")
+
+
 def _starts(rows: DataFrame) -> DataFrame:
     """Per group g and start (0, 1, 2): the mean and factor to begin with."""
     fine = 1000
     long = rows.select("g", F.posexplode(F.array(*X)).alias("i", "x"))
     mid = stored(_ranked(long, ["g", "i"], F.round(F.col("x") * fine), 0.5).select("g", "i", (F.col("step") / fine).alias("mid")), "medians")
-    dev = long.join(mid, ["g", "i"])
+    wide_mid = stored(mid.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("i", "mid"))).alias("mids")), "medians-by-group")  # 4 entries
+    dev = beside(long, wide_mid).withColumn("mid", F.col("mids")[F.col("i")])
     mad = _ranked(dev, ["g", "i"], F.round(F.abs(F.col("x") - F.col("mid")) * fine), 0.5).select("g", "i", (1.4826 * F.col("step") / fine).alias("mad"))
     wide = stored(mid.join(mad, ["g", "i"]), "deviations").groupBy("g").agg(
         *[F.max(F.when(F.col("i") == i, F.col("mid"))).alias(f"m{i}") for i in range(4)],
         *[F.sqrt(F.max(F.when(F.col("i") == i, F.col("mad"))) ** 2 + FLOOR[i] ** 2).alias(f"s{i}") for i in range(4)])
     wide = stored(wide, "scales")
-    z = rows.join(wide, "g").select("g", *[((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i in range(4)])
+    z = beside(rows, wide).select("g", *[((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i in range(4)])
     z = z.withColumn("r", F.sqrt(sum((F.col(f"z{i}") ** 2 for i in range(1, 4)), F.col("z0") ** 2)))
     forms = {"t": lambda i: F.tanh(f"z{i}"), "p": lambda i: F.when(F.col("r") > 0, F.col(f"z{i}") / F.col("r")).otherwise(0.0)}
     met = z.groupBy("g").agg(*[F.avg(f(i) * f(j)).alias(f"{n}{j}{i}") for n, f in forms.items() for i, j in LOWER])
@@ -163,7 +177,7 @@ def _starts(rows: DataFrame) -> DataFrame:
 def _concentrated(rows: DataFrame, params: DataFrame) -> DataFrame:
     """One concentration step: mean, factor and logdet of the ``SHARE`` of each group nearest to its estimate, by g and start."""
     by = ["g", "start"]
-    far = with_distance(rows.join(params.select(*by, *ESTIMATE), "g"))
+    far = with_distance(beside(rows, params.select(*by, *ESTIMATE)))
     v = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(4)]
     sums = [F.sum(v[i]).alias(f"a{i}") for i in range(4)] + [F.sum(v[i] * v[j]).alias(f"b{j}{i}") for i, j in LOWER]
     bins = far.groupBy(*by, F.floor(F.log(F.col("d2") + 1e-9) * FINE).alias("step")).agg(
@@ -204,7 +218,7 @@ def judged(docs: DataFrame) -> DataFrame:
     rows = stored(vectors(statistics(docs)), "statistics")
     passing = rows.where("not base_failed")
     enough = stored(passing.groupBy("g").agg(F.count("*").alias("c")).where(F.col("c") >= LEAST).select("g"), "groups")
-    params = estimates(passing.join(enough, "g", "left_semi").select("g", *X))
-    out = with_distance(rows.join(params, "g", "left"))
+    params = stored(estimates(beside(passing, enough).select("g", *X)), "estimates")
+    out = with_distance(beside(rows, params, "left"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= CUT)).alias("kept"), "d2")

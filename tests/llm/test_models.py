@@ -214,3 +214,11 @@ def test_mcd_is_as_good_as_the_plain_one(spark):
         assert ((mine > mcdrules.CUT) == (d > mcdrules.CUT)).mean() > 0.99
         assert (mine[:far] > mcdrules.CUT).sum() >= (d[:far] > mcdrules.CUT).sum() - 0.02 * far and (mine[far:] > mcdrules.CUT).mean() < 0.01
     assert mcdrules.estimates(rows.limit(0)).count() == 0
+
+
+def test_group_tables_join_alike_at_any_size(spark):
+    rows = spark.createDataFrame([("abc"[min(i % 7, 2)], float(i)) for i in range(500)] + [("z", 1.0)], "g string, x0 double")
+    groups = spark.createDataFrame([("a", 1, 5), ("a", 2, 6), ("b", 1, 7), ("c", 1, 8)], "g string, start int, m int")
+    for how in ("inner", "left"):
+        small, large = (sorted(map(str, mcdrules.beside(rows, groups, how, limit).collect())) for limit in (1 << 40, -1))
+        assert small == large and len(small) == 500 + 72 + (how == "left")
