@@ -22,7 +22,7 @@ suffix together; bytes are not compared after them.
 
 Hot names and stretches, those with more than a quarter of a mean bucket, are counted
 first: each task reports what holds such a share of its own suffixes, so none can be
-missed, and at most four times the number of buckets are kept and sent to the tasks. A
+missed (but for tasks of few suffixes, where one must occur twice to be reported), and at most four times the number of buckets are kept and sent to the tasks. A
 hot stretch is settled where it stands and only one suffix for each array goes on; a hot
 name is dealt by its stretches, and its strings one by one, over all buckets.
 
