@@ -2,9 +2,10 @@
 
 A dimension is broadcast only when its size is bounded: either by definition
 (the branch dimension is keyed by a fixed code list) or by the optimizer's size
-estimate of the plan, checked here before the hint is given. Anything above the
-limit is left to Catalyst and AQE (sort-merge join, runtime conversion to a
-broadcast or shuffled-hash join, skew splitting).
+estimate of the plan and its counted rows, checked here before the hint is given. Anything
+of a greater estimate is left to Catalyst and AQE (sort-merge join, runtime conversion to a
+broadcast or shuffled-hash join, skew splitting); a frame of more rows is asked to be
+sort-merged, as its estimate may be small enough for Catalyst to broadcast it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,9 @@ from branchbook.operators.windows import SLICE, scanned_slices
 # Largest plan estimate that we hint as broadcast (AQE may still broadcast
 # smaller sides at run time by their measured size).
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Most rows of a frame that we hint as broadcast. The estimate is of compressed files, often a
+# twentieth of what the rows take in the driver's memory, so the rows are counted as well.
+BROADCAST_LIMIT_ROWS = 500_000
 
 
 def plan_size_bytes(df: DataFrame) -> int | None:
@@ -36,11 +40,11 @@ def plan_size_bytes(df: DataFrame) -> int | None:
 
 
 def checked_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only when the estimated size is known and under the limit."""
+    """Broadcast hint only when the estimated size is known and under the limit, and the rows are counted and few."""
     size = plan_size_bytes(df)
-    if size is not None and size <= limit_bytes:
-        return F.broadcast(df)
-    return df
+    if size is None or size > limit_bytes:
+        return df
+    return F.broadcast(df) if df.count() <= BROADCAST_LIMIT_ROWS else df.hint("merge")
 
 
 def enrich_left(fact: DataFrame, dim: DataFrame, key: str | list[str]) -> DataFrame:

@@ -72,3 +72,17 @@ def test_broadcast_hint_only_under_the_size_limit(spark):
     small = checked_broadcast(dim, limit_bytes=size + 1)
     assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_frames_of_many_rows_are_merged_however_small_their_files(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from branchbook.operators import joins
+
+    dim = spark.range(1000).select("id", F.lit(1).alias("x"))
+    fact = spark.range(5000)
+    few = plan_text(fact.join(joins.checked_broadcast(dim), "id"))
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT_ROWS", 999)
+    many = plan_text(fact.join(joins.checked_broadcast(dim), "id"))
+    assert "BroadcastHashJoin" in few
+    assert "SortMergeJoin" in many and "BroadcastHashJoin" not in many
