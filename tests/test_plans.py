@@ -86,3 +86,21 @@ def test_frames_of_many_rows_are_merged_however_small_their_files(spark, monkeyp
     many = plan_text(fact.join(joins.checked_broadcast(dim), "id"))
     assert "BroadcastHashJoin" in few
     assert "SortMergeJoin" in many and "BroadcastHashJoin" not in many
+
+
+def test_fact_is_written_in_slices_of_a_bounded_number_of_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from branchbook.sources import star as st
+
+    s = st.star(spark, "/root/testdata/sf0.001")
+    whole = s.fact_mapped()
+    monkeypatch.setattr(st, "SLICE_ROWS", 700)
+    sliced = s.sliced_fact()
+    n = whole.count()
+    assert sorted(map(str, sliced.collect())) == sorted(map(str, whole.select(*st.FACT_COLUMNS).collect()))
+    at = sliced.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.min("operation_date").alias("lo"), F.max("operation_date").alias("hi"))
+    rows = sorted(at.collect())
+    assert sliced.rdd.getNumPartitions() == -(-n // 700) == len(rows)
+    assert max(r.n for r in rows) < 900
+    assert all(a.hi <= b.lo for a, b in zip(rows, rows[1:]))
