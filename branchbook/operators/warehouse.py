@@ -200,13 +200,14 @@ def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: l
     Written as a left join from the table (AQE can split a hot key on that
     side) plus an anti join of the staged rows against the table's distinct
     keys (a hot key collapses map-side), not as a full outer join, which AQE
-    cannot split.
+    cannot split. Both are asked to be sort-merged: staged rows and keys grow with the
+    table, and the size of their files would let Catalyst broadcast them through the driver.
     """
     rest = [c for c in staged.columns if c not in key]
     s = staged.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__r")).select(*key, "__r.*").select(*staged.columns)
     months = s.select("period_idx").distinct()
     t = target.join(F.broadcast(months), "period_idx", "left_semi")  # month count: small
-    ss = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns], F.lit(1).alias("s__m"))
+    ss = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns], F.lit(1).alias("s__m")).hint("merge")
 
     def on(left: DataFrame, right_prefix: str) -> Column:
         cond: Column = F.lit(True)
@@ -224,7 +225,7 @@ def upsert_facts(target: DataFrame, staged: DataFrame, now: _dt.datetime, key: l
         else F.col(c)
         for c in target.columns
     ], *([F.col("summa").alias("old_summa"), F.col("cnt").alias("old_cnt"), upd.alias("changed")] if traced else []))
-    t_keys = t.select(*[F.col(k).alias(f"t_{k}") for k in key]).distinct()
+    t_keys = t.select(*[F.col(k).alias(f"t_{k}") for k in key]).distinct().hint("merge")
     new = s.join(t_keys, on(s, "t_"), "left_anti")
     inserted = new.select(*[
         F.lit(now).alias(c) if c == "loaded_at" and c not in new.columns else F.col(c) for c in target.columns

@@ -104,3 +104,16 @@ def test_fact_is_written_in_slices_of_a_bounded_number_of_rows(spark, monkeypatc
     assert sliced.rdd.getNumPartitions() == -(-n // 700) == len(rows)
     assert max(r.n for r in rows) < 900
     assert all(a.hi <= b.lo for a, b in zip(rows, rows[1:]))
+
+
+def test_upsert_does_not_broadcast_staged_rows(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from branchbook.operators import warehouse as wh
+    from branchbook.sources.star import star
+
+    fact = star(spark, "/root/testdata/sf0.001").fact().withColumn("loaded_at", F.lit(dt.datetime(1999, 1, 1)))
+    text = plan_text(wh.upsert_facts(fact, fact, dt.datetime(1999, 1, 2)))
+    assert text.split("Details")[0].count("SortMergeJoin Left") >= 2  # rows to update, rows to insert
