@@ -10,6 +10,7 @@ from branchbook.operators import quality as q
 from branchbook.plans.catalog import register
 from branchbook.plans.oracle_base import with_ctes
 from branchbook.sources import fixtures as fx
+from branchbook.session import stored
 from branchbook.sources.star import star
 
 RAW_KEY = ["DATA", "INC_GK", "FILIAL", "PERIOD", "SNDRCTG"]
@@ -106,7 +107,8 @@ where abs((coalesce(revenue, 0) - mu) / nullif(sd, 0)) > 3
 """, "faulty_records"))
 def q_zscore_outliers(spark, sf_dir):
     valid, _ = q.split_valid(fx.faulty_records(star(spark, sf_dir)).dropDuplicates())
-    return q.zscore_outliers(valid, "revenue").select(
+    # mean and outliers both read the valid records: the facts are aggregated once for both
+    return q.zscore_outliers(stored(valid, "valid-records"), "revenue").select(
         "rid", "filial_id", "service_type", "period", "revenue", (F.round("z", 4) + F.lit(0.0)).alias("z")
     )
 

@@ -117,3 +117,17 @@ def test_upsert_does_not_broadcast_staged_rows(spark):
     fact = star(spark, "/root/testdata/sf0.001").fact().withColumn("loaded_at", F.lit(dt.datetime(1999, 1, 1)))
     text = plan_text(wh.upsert_facts(fact, fact, dt.datetime(1999, 1, 2)))
     assert text.split("Details")[0].count("SortMergeJoin Left") >= 2  # rows to update, rows to insert
+
+
+def test_zscores_read_stored_records_not_the_facts_again(spark):
+    text = plan_text(catalog.QUERIES["zscore_outliers"](spark, "/root/testdata/sf0.001"))
+    assert "valid-records" in text and "fact-" not in text
+
+
+def test_faulty_inputs_are_built_in_one_pass(spark):
+    from branchbook.sources import fixtures as fx
+    from branchbook.sources.star import star
+
+    s = star(spark, "/root/testdata/sf0.001")
+    for rows in (fx.faulty_operations(s), fx.faulty_records(s)):
+        assert "Union" not in plan_text(rows)
