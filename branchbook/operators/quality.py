@@ -213,20 +213,21 @@ def dataset_profile(raw: DataFrame, approx: bool = False) -> DataFrame:
 def preload_checks(raw: DataFrame, min_rows: int = MIN_EXPECTED_ROWS, max_dup_pct: float = MAX_DUPLICATE_PCT) -> DataFrame:
     """V9: the gate before staging, as a checks table (check, value, threshold, severity, passed).
 
-    One aggregate over the file plus the duplicate count; ``assert_checks``
-    raises on failed ``error`` rows. A check that needs an absent column has a
-    null value and fails.
+    One pass over the file: its distinct rows with their multiplicity give every
+    check; ``assert_checks`` raises on failed ``error`` rows. A check that needs an
+    absent column has a null value and fails.
     """
     present = set(raw.columns)
     missing_cols = len([c for c in REQUIRED_RAW_COLUMNS if c not in present])
     unknown = F.lit(None).cast("bigint")
     key_nulls = unknown
     if present.issuperset(KEY_RAW_COLUMNS):
-        key_nulls = sum((F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)) for c in KEY_RAW_COLUMNS), F.lit(0))
-    negative = F.sum(F.when(F.col("SUMMA") < 0, 1).otherwise(0)) if "SUMMA" in present else unknown
-    a = raw.agg(F.count(F.lit(1)).alias("rows"), key_nulls.alias("key_nulls"), negative.alias("negative_summa"))
-    d = one_row(duplicate_stats(raw))
-    j = a.withColumn("duplicate_pct", d["duplicate_pct"])
+        key_nulls = sum((F.sum(F.when(F.col(c).isNull(), F.col("__n")).otherwise(0)) for c in KEY_RAW_COLUMNS), F.lit(0))
+    negative = F.sum(F.when(F.col("SUMMA") < 0, F.col("__n")).otherwise(0)) if "SUMMA" in present else unknown
+    g = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("__n"))
+    a = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.sum(F.col("__n") - 1).alias("duplicates"),
+              key_nulls.alias("key_nulls"), negative.alias("negative_summa"))
+    j = a.withColumn("duplicate_pct", rnd(F.lit(100.0) * dbl("duplicates") / F.nullif(dbl("rows"), F.lit(0.0)), 2))
     checks = f"""stack(5,
         'row_count', cast(rows as double), cast({min_rows} as double), 'error', rows >= {min_rows},
         'missing_columns', cast({missing_cols} as double), 0D, 'error', {missing_cols} = 0,

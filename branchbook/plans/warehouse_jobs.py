@@ -403,7 +403,7 @@ def q_full_load(spark, sf_dir):
     from branchbook.sources.warehouse import monthly_load, new_root
 
     s = star(spark, sf_dir)
-    raw = fx.raw_operations(s)
+    raw = stored(fx.raw_operations(s), "landed")  # lands as a file, which gate and staging read
     landed = raw.unionByName(raw.filter(F.col("INC_GK") % fx.DUP_MOD == 0))
     root = new_root(spark, "full_load")
     day = load_day(spark, sf_dir)
@@ -445,7 +445,7 @@ def q_second_load(spark, sf_dir):
     from branchbook.sources.warehouse import monthly_load, new_root
 
     s = star(spark, sf_dir)
-    raw = fx.raw_operations(s)
+    raw = stored(fx.raw_operations(s), "landed")  # lands as a file, which gates and stagings read
     last = fx.last_months(s, 1)
     pidx = F.split("PERIOD", "_")[0].cast("int") * 12 + F.split("PERIOD", "_")[1].cast("int")
     first = raw.filter(pidx < last)

@@ -119,6 +119,19 @@ def test_upsert_does_not_broadcast_staged_rows(spark):
     assert text.split("Details")[0].count("SortMergeJoin Left") >= 2  # rows to update, rows to insert
 
 
+def test_gate_reads_the_landed_file_once(spark):
+    from branchbook.operators import quality as q
+    from branchbook.sources.warehouse import RAW_SCHEMA, new_root
+
+    path = f"{new_root(spark, 'test_gate')}/ops.parquet"
+    rows = [("31.03.95", 1, "a", None, 1, -1, 1, "1995_3", "B2B")] * 2 + [("31.03.95", None, "a", None, 1, None, 1, "1995_3", "B2B")]
+    spark.createDataFrame([], RAW_SCHEMA).union(spark.createDataFrame(rows, "a string, b long, c string, d string, e int, f int, g int, h string, i string")).write.parquet(path)
+    checks = q.preload_checks(spark.read.parquet(path), min_rows=1)
+    assert plan_text(checks).count("Scan parquet  (") + plan_text(checks).count("Scan parquet (") <= 2  # the tree and its detail
+    got = {r.check_name: r.value for r in checks.collect()}
+    assert got == {"row_count": 3, "missing_columns": 0, "key_nulls": 2, "negative_summa": 2, "duplicate_pct": 33.33}
+
+
 def test_zscores_read_stored_records_not_the_facts_again(spark):
     text = plan_text(catalog.QUERIES["zscore_outliers"](spark, "/root/testdata/sf0.001"))
     assert "valid-records" in text and "fact-" not in text
