@@ -10,23 +10,20 @@ sort-merged, as its estimate may be small enough for Catalyst to broadcast it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchbook.operators.windows import SLICE, scanned_slices
-
 # Largest plan estimate that we hint as broadcast (AQE may still broadcast
 # smaller sides at run time by their measured size).
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 # Most rows of a frame that we hint as broadcast. The estimate is of compressed files, often a
 # twentieth of what the rows take in the driver's memory, so the rows are counted as well.
 BROADCAST_LIMIT_ROWS = 500_000
+# Rows that one task groups, sorts or holds where they are dealt in counted slices.
+ROWS_A_TASK = 500_000
+# Hash buckets by which the rows of keys are counted.
+KEY_BUCKETS = 65_536
 
 
 def plan_size_bytes(df: DataFrame) -> int | None:
@@ -105,56 +102,48 @@ def point_in_time(fact: DataFrame, dim_versions: DataFrame, key: str, date_col:
     return as_of_merge(fact, dim_versions, key, date_col, valid_from, valid_to)
 
 
-def _last_versions(tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
-    """Gives each row of a sorted slice the last version above it that has its key (``__found``)."""
-    carry = None
-    for t in tables:
-        keys, versions = (t.column(c).combine_chunks() for c in ("__k", "__v"))
-        if carry is None:
-            carry = pa.nulls(1, keys.type), pa.nulls(1, versions.type)
-        keys_above, versions_above = (pa.concat_arrays([c, x]) for c, x in zip(carry, (keys, versions)))
-        is_version = t.column("__fact").combine_chunks().is_null().to_numpy(zero_copy_only=False)
-        above = np.maximum.accumulate(np.append(0, np.where(is_version, np.arange(1, len(is_version) + 1), 0)))
-        same = pc.fill_null(pc.equal(keys_above.take(pa.array(above[1:])), keys), False)
-        at = pc.if_else(same, pa.array(above[1:]), pa.scalar(None, pa.int64()))
-        yield t.append_column("__found", versions_above.take(at))
-        carry = keys_above.slice(above[-1], 1), versions_above.slice(above[-1], 1)
+def dealt(df: DataFrame, keys: list[str], rows: int | None = None, rows_a_task: int | None = None) -> DataFrame:
+    """The rows in counted slices of about ``ROWS_A_TASK``, those of equal keys in one; grouping by the keys (or more) needs no other exchange."""
+    n = df.count() if rows is None else rows
+    return df.repartition(max(1, -(-n // (rows_a_task or ROWS_A_TASK))), *keys)
 
 
 def as_of_merge(fact: DataFrame, dim_versions: DataFrame, key: str, date_col: str,
                 valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """J10 for versions of any number: facts and versions in one order by key and date, the last version carried forward.
+    """J10 for versions of any number: facts and versions in one order by date, the last version of the key carried forward.
 
-    Both go through one range exchange; each task scans its slice and hands its last
-    version on to the slices after it (one row per slice). Each fact costs one row
-    however many versions its key has, and a key that holds a large share of the facts
-    is spread over several slices (by date, then by the row's content). Facts without a
-    key or date match nothing and are not moved.
+    Both are dealt by key into slices of a counted number of rows, where a window carries the
+    versions on. Each fact costs one row however many versions its key has. Keys are counted
+    first, by ``KEY_BUCKETS`` hash buckets: the facts of a bucket that fills more than a slice
+    are dealt into several places by their content, each with a copy of the bucket's versions.
+    Facts without a key or date match nothing and are not moved.
     """
     attrs = [c for c in dim_versions.columns if c != key]
-    ftype, vtype = (T.StructType([T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(cols)])
-                    for df, cols in ((fact, fact.columns), (dim_versions, attrs)))
+    vtype = T.StructType([T.StructField(f"c{i}", dim_versions.schema[c].dataType) for i, c in enumerate(attrs)])
+    held = [f"__f{i}" for i in range(len(fact.columns))]
     placed = fact.where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
     rows = placed.select(
         F.col(key).alias("__k"), F.col(date_col).alias("__d"), F.lit(1).alias("__kind"), F.xxhash64(*fact.columns).alias("__spread"),
-        F.lit(None).cast(vtype).alias("__v"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(fact.columns)]).alias("__fact"),
+        F.lit(None).cast(vtype).alias("__v"), *[F.col(c).alias(f) for c, f in zip(fact.columns, held)],
     )
     versions = dim_versions.where(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
         F.col(key).alias("__k"), F.col(valid_from).cast(fact.schema[date_col].dataType).alias("__d"), F.lit(0).alias("__kind"),
         F.unix_date(F.col(valid_to).cast("date")).cast("bigint").alias("__spread"),
-        F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(attrs)]).alias("__v"), F.lit(None).cast(ftype).alias("__fact"),
+        F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(attrs)]).alias("__v"),
+        *[F.lit(None).cast(fact.schema[c].dataType).alias(f) for c, f in zip(fact.columns, held)],
     )
-    order = [F.asc(c) for c in ("__k", "__d", "__kind", "__spread")]
-    found = T.StructType([T.StructField("__found", vtype)])
-    r = scanned_slices(rows.unionByName(versions), order, _last_versions, found, name="as-of")
-    last = F.max_by(F.struct("__k", "__v"), F.when(F.col("__kind") == 0, F.struct("__k", "__d", "__spread")))
-    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = r.groupBy(SLICE).agg(last.alias("__last")).select(SLICE, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
-    j = r.where("__kind = 1").join(F.broadcast(carry), SLICE)
-    j = j.withColumn("__found", F.coalesce("__found", F.when(F.col("__carry.__k") == F.col("__k"), F.col("__carry.__v"))))
+    both = rows.unionByName(versions).withColumn("__bucket", F.pmod(F.xxhash64("__k"), F.lit(KEY_BUCKETS)).cast("int"))
+    counts = both.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("__kind").alias("facts"))
+    full = F.when(F.col("facts") > ROWS_A_TASK, F.struct("__bucket", F.ceil(F.col("facts") / ROWS_A_TASK).cast("int").alias("__places")))
+    total, hot = counts.agg(F.sum("n"), F.collect_list(full)).first()  # at most a bucket for each slice
+    hot = both.sparkSession.createDataFrame(hot, "__bucket int, __places int")
+    places = F.coalesce("__places", F.lit(1))
+    at = F.when(F.col("__kind") == 1, F.array(F.pmod("__spread", places).cast("int"))).otherwise(F.sequence(F.lit(0), places - 1))
+    spread = both.join(F.broadcast(hot), "__bucket", "left").select("__k", "__d", "__kind", "__spread", "__v", *held, F.explode(at).alias("__place"))
+    upto = Window.partitionBy("__k", "__place").orderBy("__d", "__kind", "__spread").rowsBetween(Window.unboundedPreceding, 0)
+    j = dealt(spread, ["__k", "__place"], total or 0).withColumn("__found", F.last("__v", ignorenulls=True).over(upto)).where("__kind = 1")
     end = F.col(f"__found.c{attrs.index(valid_to)}")
     j = j.withColumn("__found", F.when(F.col("__d") <= end, F.col("__found")))
-    out = j.select(*[F.col(f"__fact.c{i}").alias(c) for i, c in enumerate(fact.columns)],
-                   *[F.col(f"__found.c{i}").alias(c) for i, c in enumerate(attrs)])
+    out = j.select(*[F.col(f).alias(c) for c, f in zip(fact.columns, held)], *[F.col(f"__found.c{i}").alias(c) for i, c in enumerate(attrs)])
     unplaced = fact.where(F.col(key).isNull() | F.col(date_col).isNull())
     return out.union(unplaced.select(*fact.columns, *[F.lit(None).cast(dim_versions.schema[c].dataType).alias(c) for c in attrs]))

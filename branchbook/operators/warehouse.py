@@ -12,8 +12,9 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from branchbook.operators.joins import checked_broadcast
+from branchbook.operators.joins import checked_broadcast, dealt
 
 # Fixed values of the slowly changing dimensions.
 OPEN_END = _dt.date(9999, 12, 31)
@@ -87,6 +88,7 @@ def scd_merge(versions: DataFrame, staged: DataFrame, key: str, type2: list[str]
 
 
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current", "observed")
+VERSIONS_A_TASK = 50_000  # versions and staged rows that one task merges
 
 
 def _known(attrs: list[str], prefix: str = "") -> Column:
@@ -100,16 +102,18 @@ def observed_versions(versions: DataFrame, key: str) -> DataFrame:
     return versions.withColumn("observed", F.array(F.struct(F.col("valid_from").alias("day"), _known(attrs).alias("known"))))
 
 
-def scd_history(observations: DataFrame, key: str, type2: list[str], schema_of: DataFrame) -> DataFrame:
+def scd_history(observations: DataFrame, key: str, type2: list[str], schema_of: DataFrame, carried: list[str] | None = None) -> DataFrame:
     """SCD2 versions from (key, __day, __prio, attributes): one version for each stretch of days with the same type-2 values.
 
     A null means "not known" and keeps the value before it. Of rows of one key and day,
     the greatest ``__prio`` wins column by column. The rows of a key are as many as
-    the snapshots that hold it (one per load).
+    the snapshots that hold it (one per load). ``carried`` columns, one value for a key, are handed on.
     """
     attrs = [c for c in schema_of.columns if c not in (key, *VERSION_COLUMNS)]
+    carried = carried or []
+    hand_on = [F.first(c).alias(c) for c in carried]
     known = [F.max(F.when(F.col(c).isNotNull(), F.struct("__prio", F.col(c).alias("v")))).getField("v").alias(c) for c in attrs]
-    days = observations.groupBy(key, "__day").agg(*known).withColumn("__known", _known(attrs))
+    days = observations.groupBy(key, "__day").agg(*known, *hand_on).withColumn("__known", _known(attrs))
     w = Window.partitionBy(key).orderBy("__day")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     filled = days.withColumns({c: F.last(c, ignorenulls=True).over(upto) for c in attrs})
@@ -120,10 +124,11 @@ def scd_history(observations: DataFrame, key: str, type2: list[str], schema_of:
     spans = numbered.groupBy(key, "__version").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__day"))).alias(c) for c in attrs],
         F.min("__day").alias("valid_from"), F.sort_array(F.collect_list(F.struct(F.col("__day").alias("day"), F.col("__known").alias("known")))).alias("observed"),
+        *hand_on,
     )
     after = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
     out = spans.withColumn("valid_to", F.coalesce(F.date_sub(after, 1), F.lit(OPEN_END)))
-    return out.withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END)).select(*schema_of.columns)
+    return out.withColumn("is_current", F.col("valid_to") == F.lit(OPEN_END)).select(*schema_of.columns, *carried)
 
 
 def scd_merge_any_order(versions: DataFrame, staged: DataFrame, key: str, type2: list[str], type1: list[str],
@@ -139,40 +144,49 @@ def scd_merge_any_order(versions: DataFrame, staged: DataFrame, key: str, type2:
     the same values become one. A later snapshot of the same day overwrites. Type-1 columns
     take the values of the key's latest day on every version. A column of neither type
     has one value in a version, the last known. Keys that are not in the snapshot stay
-    as they are.
+    as they are. Versions and snapshot meet by one exchange on the key, without a join, so
+    that neither is broadcast however small its files are; the snapshot has a row for a key.
     """
     attrs = [c for c in versions.columns if c not in (key, *VERSION_COLUMNS)]
     types = dict(versions.dtypes)
-    stg = staged.select(key, *[(F.col(c) if c in staged.columns else F.lit(None)).cast(types[c]).alias(c) for c in attrs])
-    s = stg.select(F.col(key).alias("__k"), F.lit(True).alias("__staged"), *[F.col(c).alias(f"__s_{c}") for c in attrs])
-    open_rows = versions.where("is_current").join(s, F.col(key) == F.col("__k"))
+    staged_row = F.struct(*[(F.col(c) if c in staged.columns else F.lit(None)).cast(types[c]).alias(c) for c in attrs])
+    none = F.lit(None)
+    rows = versions.select(key, *attrs, *VERSION_COLUMNS, none.cast(T.StructType([versions.schema[c] for c in attrs])).alias("__staged")).unionByName(
+        staged.select(F.col(key).cast(types[key]).alias(key), *[none.cast(types[c]).alias(c) for c in (*attrs, *VERSION_COLUMNS)], staged_row.alias("__staged")))
+    rows = dealt(rows, [key], versions.count() + staged.count(), VERSIONS_A_TASK)
+    # what a key's rows need of each other, by one exchange on the key; rows without a key meet nothing
+    of_key = Window.partitionBy(key)
+    is_staged, has_key = F.col("__staged").isNotNull(), F.col(key).isNotNull()
+    rows = rows.withColumns({
+        "__version": ~is_staged,
+        "__s": F.when(has_key, F.first("__staged", ignorenulls=True).over(of_key)),
+        "__known_key": F.when(has_key, F.max(~is_staged).over(of_key)),
+        "__last": F.when(has_key, F.max(F.array_max("observed.day")).over(of_key)),
+        **{f"__t0_{c}": F.when(has_key, F.max_by(c, "valid_from").over(of_key)) for c in type1},
+    })
     differs = F.lit(False)
     for c in type2:
-        differs = differs | F.coalesce(F.col(c) != F.col(f"__s_{c}"), F.lit(False))
+        differs = differs | F.coalesce(F.col(c) != F.col(f"__s.{c}"), F.lit(False))
     late = F.array_max("observed.day") >= F.lit(as_of)
-    seen = F.struct(F.lit(as_of).alias("day"), _known(attrs, "__s_").alias("known"))
-    plan = open_rows.select("__k", (late | differs).alias("__redo"), seen.alias("__seen"))
-    placed = versions.join(plan, F.col(key) == F.col("__k"), "left").drop("__k")
-    confirmed = F.coalesce(~F.col("__redo"), F.lit(False)) & F.col("is_current")
-    kept = placed.where(~F.coalesce("__redo", F.lit(False))).withColumn(
-        "observed", F.when(confirmed, F.array_append("observed", F.col("__seen"))).otherwise(F.col("observed")))
-    old = placed.where("__redo").select(key, *attrs, F.explode("observed").alias("__o")).select(
-        key, F.col("__o.day").alias("__day"), F.lit(0).alias("__prio"),
-        *[F.when(F.col("__o.known").bitwiseAND(F.lit(1 << i)) != 0, F.col(c)).alias(c) for i, c in enumerate(attrs)])
-    redo_keys = plan.where("__redo").select("__k")
-    new_keys = stg.join(versions.select(F.col(key).alias("__k")).distinct(), F.col(key) == F.col("__k"), "left_anti")
-    redo = stg.join(redo_keys, F.col(key) == F.col("__k"), "left_semi").unionByName(new_keys)
-    fresh = redo.select(key, F.lit(as_of).alias("__day"), F.lit(1).alias("__prio"), *attrs)
-    out = kept.select(*versions.columns).unionByName(scd_history(old.unionByName(fresh), key, type2, versions))
-    if not type1:
-        return out
-    # the latest day's values: the snapshot's, unless the key has been seen on a later day
-    last = versions.groupBy(F.col(key).alias("__k")).agg(F.max(F.array_max("observed.day")).alias("__last"))
-    t1 = stg.join(last, F.col(key) == F.col("__k"), "left").where(F.col("__last").isNull() | (F.col("__last") <= F.lit(as_of)))
-    t1 = t1.select(F.col(key).alias("__k1"), *[F.col(c).alias(f"__t1_{c}") for c in type1])
-    old1 = versions.groupBy(F.col(key).alias("__k0")).agg(*[F.max_by(c, "valid_from").alias(f"__t0_{c}") for c in type1])
-    out = out.join(t1, F.col(key) == F.col("__k1"), "left").join(old1, F.col(key) == F.col("__k0"), "left")
-    return out.select(*[F.coalesce(f"__t1_{c}", f"__t0_{c}", c).alias(c) if c in type1 else F.col(c) for c in versions.columns])
+    met = F.col("__version") & F.col("is_current") & F.col("__s").isNotNull()
+    rows = rows.withColumn("__redo", F.when(has_key, F.max(F.when(met, late | differs)).over(of_key)))
+    redo = F.coalesce("__redo", F.lit(False))
+    # type 1: the latest day's values, the snapshot's unless the key has been seen on a later day
+    newest = F.col("__last").isNull() | (F.col("__last") <= F.lit(as_of))
+    over = {f"__t1_{c}": F.coalesce(F.when(has_key & newest, F.col(f"__s.{c}")), F.col(f"__t0_{c}")) for c in type1}
+    rows = rows.withColumns(over)
+    seen = F.struct(F.lit(as_of).alias("day"), _known(attrs, "__s.").alias("known"))
+    kept = rows.where(F.col("__version") & ~redo).withColumn(
+        "observed", F.when(met, F.array_append("observed", seen)).otherwise(F.col("observed")))
+    # a redone key's versions are taken apart by the days that confirmed them, its snapshot is one more day
+    own = F.transform("observed", lambda o: F.struct(o["day"].alias("day"), F.lit(0).alias("prio"), F.struct(
+        *[F.when(o["known"].bitwiseAND(F.lit(1 << i)) != 0, F.col(c)).alias(c) for i, c in enumerate(attrs)]).alias("row")))
+    fresh = F.array(F.struct(F.lit(as_of).alias("day"), F.lit(1).alias("prio"), F.col("__staged").alias("row")))
+    apart = rows.where(redo | (~F.col("__version") & ~F.coalesce("__known_key", F.lit(False)))).select(
+        key, *over, F.explode(F.when(F.col("__version"), own).otherwise(fresh)).alias("__o"))
+    apart = apart.select(key, *over, F.col("__o.day").alias("__day"), F.col("__o.prio").alias("__prio"), *[F.col(f"__o.row.{c}").alias(c) for c in attrs])
+    out = kept.select(*versions.columns, *over).unionByName(scd_history(apart, key, type2, versions, list(over)))
+    return out.select(*[F.coalesce(f"__t1_{c}", c).alias(c) if c in type1 else F.col(c) for c in versions.columns])
 
 
 def changed_or_new(current: DataFrame, staged: DataFrame, key: str, cols: list[str]) -> DataFrame:
