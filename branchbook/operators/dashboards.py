@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from branchbook.functions.numeric import dbl, div0
 from branchbook.functions.periods import month_number
-from branchbook.operators.joins import checked_broadcast
+from branchbook.operators.joins import checked_broadcast, dealt
 from branchbook.operators.windows import running_total
 
 
@@ -32,9 +32,22 @@ def waterfall(by_product: DataFrame, value: str = "revenue", key: str = "product
     )
 
 
-def pivot_sum(df: DataFrame, row: str, col: str, value: str, values: list) -> DataFrame:
-    """Matrix with one column per value of ``col`` (explicit list: no extra job), missing = 0."""
-    return df.groupBy(row).pivot(col, values).agg(F.sum(value)).fillna(0)
+def sums_of_many(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Sums by keys that are almost as many as the rows: dealt in counted slices first, as a map-side combine would hold each task's rows and save little."""
+    return dealt(df.select(*keys, value), keys).groupBy(*keys).agg(F.sum(value).alias(value))
+
+
+def pivot_sum(df: DataFrame, row: str, col: str, value: str, values: list, many_rows: bool = False) -> DataFrame:
+    """Matrix with one column per value of ``col`` (explicit list: no extra job), missing = 0.
+
+    With ``many_rows`` (rows that grow with the data) the sums are dealt by row into counted
+    slices before they are spread over the columns, so that the wide rows are made once, where
+    they stay. A row of very many facts meets there as its sums, one for each column.
+    """
+    if not many_rows:
+        return df.groupBy(row).pivot(col, values).agg(F.sum(value)).fillna(0)
+    sums = sums_of_many(df, [row, col], value)
+    return dealt(sums, [row], df.count()).groupBy(row).pivot(col, values).agg(F.max(value)).fillna(0)
 
 
 def top_n(df: DataFrame, value: str, n: int, key: str) -> DataFrame:

@@ -356,8 +356,8 @@ def q_account_pareto(spark, sf_dir):
 select inc_gk, filial_id, cast(sum(summa) as double) as revenue from fact_operations group by inc_gk, filial_id
 """, "fact_operations"))
 def q_matrix_account_branch(spark, sf_dir):
-    g = star(spark, sf_dir).fact().groupBy("inc_gk", "filial_id").agg(F.sum("summa").alias("rev"))
-    return g.select("inc_gk", "filial_id", dbl("rev").alias("revenue"))
+    g = db.sums_of_many(star(spark, sf_dir).fact(), ["inc_gk", "filial_id"], "summa")
+    return g.select("inc_gk", "filial_id", dbl("summa").alias("revenue"))
 
 
 # The branch codes and calendar months that the matrices below spread over columns.
@@ -369,7 +369,7 @@ MONTHS = [f"{y}_{m}" for y in range(1992, 1999) for m in range(1, 13)]
     f"coalesce(cast(sum(case when filial_id = {b} then summa end) as double), 0) as branch_{b}" for b in BRANCHES)
     + " from fact_operations group by inc_gk", "fact_operations"))
 def q_matrix_account_branch_wide(spark, sf_dir):
-    m = db.pivot_sum(star(spark, sf_dir).fact(), "inc_gk", "filial_id", "summa", BRANCHES)
+    m = db.pivot_sum(star(spark, sf_dir).fact(), "inc_gk", "filial_id", "summa", BRANCHES, many_rows=True)
     return m.select("inc_gk", *[dbl(F.col(f"`{b}`")).alias(f"branch_{b}") for b in BRANCHES])
 
 
