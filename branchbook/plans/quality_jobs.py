@@ -19,7 +19,8 @@ RAW_REST = ["INC_NAME", "WEIGHT", "CNT", "SUMMA"]
 
 @register("dedup_exact", "V1", with_ctes("select distinct * from faulty_operations", "faulty_operations"))
 def q_dedup_exact(spark, sf_dir):
-    return q.dedup_exact(fx.faulty_operations(star(spark, sf_dir)))
+    s = star(spark, sf_dir)
+    return q.dedup_exact(fx.faulty_operations(s), s.fact().count())  # and the few loaded twice
 
 
 @register("dup_stats", "V2", with_ctes("""
