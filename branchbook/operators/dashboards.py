@@ -32,9 +32,9 @@ def waterfall(by_product: DataFrame, value: str = "revenue", key: str = "product
     )
 
 
-def sums_of_many(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+def sums_of_many(df: DataFrame, keys: list[str], value: str, rows: int | None = None) -> DataFrame:
     """Sums by keys that are almost as many as the rows: dealt in counted slices first, as a map-side combine would hold each task's rows and save little."""
-    return dealt(df.select(*keys, value), keys).groupBy(*keys).agg(F.sum(value).alias(value))
+    return dealt(df.select(*keys, value), keys, rows).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
 def pivot_sum(df: DataFrame, row: str, col: str, value: str, values: list, many_rows: bool = False) -> DataFrame:
@@ -46,8 +46,9 @@ def pivot_sum(df: DataFrame, row: str, col: str, value: str, values: list, many_
     """
     if not many_rows:
         return df.groupBy(row).pivot(col, values).agg(F.sum(value)).fillna(0)
-    sums = sums_of_many(df, [row, col], value)
-    return dealt(sums, [row], df.count()).groupBy(row).pivot(col, values).agg(F.max(value)).fillna(0)
+    n = df.count()
+    sums = sums_of_many(df, [row, col], value, n)
+    return dealt(sums, [row], n).groupBy(row).pivot(col, values).agg(F.max(value)).fillna(0)
 
 
 def top_n(df: DataFrame, value: str, n: int, key: str) -> DataFrame:
