@@ -330,8 +330,8 @@ select filial_id, product, cast(rev as double) as revenue, cast(rn as int) as ra
 """, "fact_operations", "dim_products"))
 def q_top3_products(spark, sf_dir):
     s = star(spark, sf_dir)
-    acct = s.fact().groupBy("filial_id", "inc_gk").agg(F.sum("summa").alias("rev"))
-    g = db.with_product(acct, s.dim_products(), ("product",)).groupBy("filial_id", "product").agg(F.sum("rev").alias("rev"))
+    acct = db.sums_of_many(s.fact(), ["filial_id", "inc_gk"], "summa")
+    g = db.with_product(acct, s.dim_products(), ("product",)).groupBy("filial_id", "product").agg(F.sum("summa").alias("rev"))
     t = db.top_n_per_group(g, "filial_id", "rev", 3, "product")
     return t.select("filial_id", "product", dbl("rev").alias("revenue"), F.col("rank_in_group").cast("int").alias("rank_in_group"))
 
